@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loam.llm import line_dedup, quality_classifier, quality_rules, source_mix, suffix_tree_lm, url_filter
+from loam.llm import line_dedup, ngram_join, quality_classifier, quality_rules, source_mix, suffix_tree_lm, url_filter
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.op1_quality_classifier,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_suffix_tree_lm": suffix_tree_lm.op4_suffix_tree_lm,
     "op5_url_filter": url_filter.op5_url_filter,
+    "op9_ngram_join": ngram_join.op9_ngram_join,
     "op8_source_mix": source_mix.op8_source_mix,
 }
 ORACLE_SQL = {
