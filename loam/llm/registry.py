@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from loam.llm import line_dedup, ngram_join, quality_classifier, quality_rules, source_mix, suffix_tree_lm, url_filter
+from loam.llm import fingerprints, line_dedup, ngram_join, quality_classifier, quality_rules, source_mix, suffix_tree_lm, url_filter
 
 QUERIES = {
+    "op10_fingerprints": fingerprints.op10_fingerprints,
     "op1_quality_classifier": quality_classifier.op1_quality_classifier,
     "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_quality_rules": quality_rules.op3_quality_rules,
