@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loam.llm import fingerprints, line_dedup, ngram_join, quality_classifier, quality_rules, source_mix, suffix_tree_lm, url_filter
+from loam.llm import chat_views, fingerprints, line_dedup, ngram_join, quality_classifier, quality_rules, sentence_pieces, source_mix, suffix_tree_lm, url_filter
 
 QUERIES = {
     "op10_fingerprints": fingerprints.op10_fingerprints,
@@ -12,9 +12,12 @@ QUERIES = {
     "op4_suffix_tree_lm": suffix_tree_lm.op4_suffix_tree_lm,
     "op5_url_filter": url_filter.op5_url_filter,
     "op9_ngram_join": ngram_join.op9_ngram_join,
+    "op6_chat_views": chat_views.op6_chat_views,
+    "op7_sentence_pieces": sentence_pieces.op7_sentence_pieces,
     "op8_source_mix": source_mix.op8_source_mix,
 }
 ORACLE_SQL = {
     "op2_line_dedup": line_dedup.OP2_SQL,
+    "op6_chat_views": chat_views.OP6_SQL,
     "op8_source_mix": source_mix.OP8_SQL,
 }
