@@ -2,5 +2,6 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from loam.plans.queries import QUERIES, SQL as ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
