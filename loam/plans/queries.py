@@ -40,7 +40,7 @@ def scored(spark, sf_dir):
     return scoring.score(tools(spark, sf_dir), instant(AS_OF))
 
 
-@query(f"WITH {SCORED_SQL} SELECT input_idx, capability, usefulness, adoption, activity, maturity, recency, differentiation, information_quality, quality_score, quality_tier FROM scored")
+@query(f"WITH {SCORED_SQL} SELECT input_idx, CAST(capability AS DOUBLE) AS capability, CAST(usefulness AS DOUBLE) AS usefulness, CAST(adoption AS DOUBLE) AS adoption, CAST(activity AS DOUBLE) AS activity, CAST(maturity AS DOUBLE) AS maturity, CAST(recency AS DOUBLE) AS recency, CAST(differentiation AS DOUBLE) AS differentiation, CAST(information_quality AS DOUBLE) AS information_quality, quality_score, quality_tier FROM scored")
 def quality_score(spark, sf_dir):
     b = F.col("quality_score_breakdown")
     return scored(spark, sf_dir).select("input_idx", *[b[c].alias(c) for c in scoring.WEIGHTS], "quality_score", "quality_tier")
@@ -308,9 +308,18 @@ def link_targets(spark, sf_dir):
     return df.select("page_id", F.size("links").cast("long").alias("links"), F.size(F.filter("links", lambda x: F.startswith(x, F.lit("http")))).cast("long").alias("absolute"))
 
 
-@query()
+@query(
+    f"""WITH {_URL_SQL}, x AS (SELECT page_id, regexp_extract_all(replace(html, 'href="/', 'href="/item/'), '<a\\b[^>]*?\\bhref\\s*=\\s*["\'\']([^"\'\']*)["\'\']', 1) AS h FROM pages),
+l AS (SELECT page_id, unnest(h) AS href, generate_subscripts(h, 1) AS i FROM x),
+a AS (SELECT l.page_id, i, scheme || '://' || host || href AS link, lower(href) AS path FROM l JOIN u USING (page_id) WHERE starts_with(href, '/')),
+d AS (SELECT page_id, link, min(i) AS i FROM a WHERE regexp_matches(path, '^/[^/]+/[^/]') AND NOT regexp_matches(path, '{'|'.join(urls.EXCLUDED_PATHS)}') GROUP BY page_id, link),
+r AS (SELECT page_id, link, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS position FROM d)
+SELECT page_id, CAST(position AS INTEGER) AS position, link FROM r WHERE position < 10"""
+)
 def link_extract_top10(spark, sf_dir):
-    return crawling.candidate_links(table(spark, sf_dir, "pages"), "page_id")
+    """The pages' own links have one segment, which no listing's items have; they get one more."""
+    df = table(spark, sf_dir, "pages").withColumn("html", F.replace("html", F.lit('href="/'), F.lit('href="/item/')))
+    return crawling.candidate_links(df, "page_id")
 
 
 @query(
