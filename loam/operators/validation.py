@@ -51,9 +51,11 @@ def row_errors() -> Column:
         _error(~_empty("logo_url") & (logo.scheme != "") & (logo.host != "") & ~F.coalesce(urls.same_site(F.col("logo_url"), F.col("official_website")), F.lit(False)) & ~cdn, "Official Links: logo host '", logo_host, "' is neither official domain nor authorized CDN"),
         *[_error(text.is_forbidden(F.col(c)), f"Data Cleanliness: field '{c}' contains literal string '", F.col(c), "' instead of proper null") for c in CLEAN_FIELDS],
     ]
-    lists = [
-        F.transform(F.filter(c, lambda x: text.is_forbidden(x)), lambda x, c=c: F.concat(F.lit(f"Data Cleanliness: list field '{c}' contains forbidden literal item '"), x, F.lit("'"))) for c in schemas.LISTS
-    ]
+    def bad_items(c: str) -> Column:
+        found = F.filter(c, lambda x: text.is_forbidden(x))
+        return F.transform(found, lambda x: F.concat(F.lit(f"Data Cleanliness: list field '{c}' contains forbidden literal item '"), x, F.lit("'")))
+
+    lists = [bad_items(c) for c in schemas.LISTS]
     empty = F.array().cast("array<string>")
     return F.concat(F.array_compact(F.array(*single)), *[F.coalesce(x, empty) for x in lists])
 
