@@ -34,7 +34,9 @@ BANDS = (
     Band(4096, 0.442, 0.72),
     Band(8192, 0.422, 0.70),
     Band(16384, 0.405, 0.68),
-    Band(float("inf"), 0.385, 0.66),
+    Band(65536, 0.385, 0.66),
+    Band(262144, 0.36, 0.66),
+    Band(float("inf"), 0.30, 0.66),
 )
 
 

@@ -80,17 +80,19 @@ def gram_scores(spark: SparkSession, counts: DataFrame) -> DataFrame:
 
 def calibrated(scored: DataFrame) -> float:
     """The threshold of (label, norm) that splits accepted from rejected best: highest sum of both classes' shares on
-    their own side, then nearest to 0, then lowest. 0 if a class is missing."""
+    their own side, in the middle of the gap below the first score above it, then nearest to 0. 0 if a class is missing."""
     bins = scored.groupBy(F.floor(F.col("norm") / STEP).alias("bin")).agg(F.count_if(F.col("label") == "allow").alias("a"), F.count_if(F.col("label") == "block").alias("r"))
     n = bins.agg(F.sum("a").alias("a"), F.sum("r").alias("r")).first()
     if not n.a or not n.r:
         return 0.0
     # at most some thousand bins, as symbols' scores are bounded
-    below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.orderBy("bin")
+    below = order.rowsBetween(Window.unboundedPreceding, -1)
     right = F.lit(n.a) - F.coalesce(F.sum("a").over(below), F.lit(0)), F.coalesce(F.sum("r").over(below), F.lit(0))
     gain = right[0] / F.lit(float(n.a)) + right[1] / F.lit(float(n.r))
-    best = bins.withColumn("gain", gain).orderBy(F.desc("gain"), F.abs("bin"), "bin").first()
-    return float(best.bin * STEP)
+    at = (F.col("bin") + F.coalesce(F.lag("bin").over(order) + 1, F.col("bin"))) * (STEP / 2)
+    best = bins.select(gain.alias("gain"), at.alias("at")).orderBy(F.desc("gain"), F.abs("at"), "at").first()
+    return float(best["at"])
 
 
 def filter_urls(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
