@@ -17,6 +17,7 @@ QUERIES = {
     "op8_source_mix": source_mix.op8_source_mix,
 }
 ORACLE_SQL = {
+    "op5_url_filter": url_filter.OP5_SQL,
     "op2_line_dedup": line_dedup.OP2_SQL,
     "op6_chat_views": chat_views.OP6_SQL,
     "op8_source_mix": source_mix.OP8_SQL,

@@ -118,3 +118,37 @@ def filter_urls(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, s
 
 def op5_url_filter(spark, sf_dir: str) -> DataFrame:
     return filter_urls(common.table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _smoothed(c: str) -> str:
+    """SQL for ln P(z | xy) by the counts of class c."""
+    p1 = f"(({c}z + 1.0) / CAST({c}n + {len(ALPHABET)} AS DOUBLE))"
+    p2 = f"(({c}yz + {PRIOR} * {p1}) / ({c}y + {PRIOR}))"
+    return f"ln(({c} + {PRIOR} * {p2}) / ({c}xy + {PRIOR}))"
+
+
+_LONGEST_FIRST = sorted(RULES, key=lambda r: -len(r[0]))
+_FITS = {rule: f"(host = '{rule.partition('/')[0]}' OR ends_with(host, '.{rule.partition('/')[0]}')) AND starts_with(path, '/{rule.partition('/')[2]}')" for rule, _ in RULES}
+
+OP5_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END, '') AS rest FROM pages),
+h AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM p),
+u AS (SELECT page_id, rest, translate(raw, '{UPPER}', '{LOWER}') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+r AS (SELECT *, CASE {' '.join(f"WHEN {_FITS[x]} THEN '{x}'" for x, _ in _LONGEST_FIRST)} END AS rule FROM u),
+l AS (SELECT *, CASE rule {' '.join(f"WHEN '{x}' THEN '{v}'" for x, v in RULES)} END AS label,
+  '^^' || regexp_replace(regexp_replace(translate(rest, '{UPPER}', '{LOWER}'), '[0-9]', '0', 'g'), '[^a-z0./\\-?=_&#:%]', '*', 'g') || '$' AS s FROM r),
+g AS (SELECT page_id, label, substr(s, CAST(i AS BIGINT), 3) AS gram FROM l, unnest(range(1, length(s) - 1)) AS t(i)),
+c AS (SELECT gram, count(*) FILTER (label = 'allow') AS a, count(*) FILTER (label = 'block') AS r FROM g WHERE label IS NOT NULL GROUP BY gram),
+y AS (SELECT substr('{ALPHABET}', CAST(i AS BIGINT), 1) AS s FROM range(1, {len(ALPHABET) + 1}) AS t(i)),
+f AS (SELECT a1.s || a2.s || a3.s AS gram, a1.s AS x, a2.s AS y, a3.s AS z FROM y a1, y a2, y a3),
+n AS (SELECT f.*, coalesce(a, 0) AS a, coalesce(r, 0) AS r FROM f LEFT JOIN c USING (gram)),
+w AS (SELECT gram, a, r, {', '.join(f"sum({k}) OVER (PARTITION BY {", ".join(by)}) AS {k}{by}" for k in 'ar' for by in ('xy', 'yz', 'y', 'z'))}, sum(a) OVER () AS an, sum(r) OVER () AS rn FROM n),
+m AS (SELECT gram, CAST(round(({_smoothed('a')} - {_smoothed('r')}) * {UNIT}) AS BIGINT) AS llr FROM w),
+s AS (SELECT page_id, label, sum(llr) / CAST(count(*) AS DOUBLE) AS norm FROM g JOIN m USING (gram) GROUP BY page_id, label),
+b AS (SELECT floor(norm / {STEP}) AS bin, count(*) FILTER (label = 'allow') AS a, count(*) FILTER (label = 'block') AS r FROM s WHERE label IS NOT NULL GROUP BY 1),
+e AS (SELECT (sum(a) OVER () - coalesce(sum(a) OVER o, 0)) / CAST(sum(a) OVER () AS DOUBLE) + coalesce(sum(r) OVER o, 0) / CAST(sum(r) OVER () AS DOUBLE) AS gain,
+  (bin + coalesce(lag(bin) OVER (ORDER BY bin) + 1, bin)) * {STEP / 2} AS mid, sum(a) OVER () AS na, sum(r) OVER () AS nr
+  FROM b WINDOW o AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT coalesce((SELECT mid FROM e WHERE na > 0 AND nr > 0 ORDER BY gain DESC, abs(mid), mid LIMIT 1), 0.0) AS threshold)
+SELECT l.page_id, l.host, l.path, l.rule, coalesce(l.label, CASE WHEN s.norm >= (SELECT threshold FROM t) THEN 'allow' ELSE 'block' END) AS verdict FROM l JOIN s USING (page_id)
+"""
