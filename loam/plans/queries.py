@@ -482,9 +482,10 @@ def merge_cluster(spark, sf_dir):
 _CLAIMS_SQL = "c AS (SELECT event_type AS source, 'https://item.example/' || (user_id % 97) AS normalized_url, 'w' || (event_id % 7) AS worker_id, event_id AS event_order FROM events)"
 
 
-def _requests(spark, sf_dir):
+def _requests(spark, sf_dir, events=None):
     url = F.concat(F.lit("https://Item.example/"), F.col("user_id") % 97, F.when(F.col("event_id") % 2 == 0, "/?utm_source=x#a").otherwise(""))
-    return table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), url.alias("url"), F.concat(F.lit("w"), F.col("event_id") % 7).alias("worker_id"), F.col("event_id").alias("event_order"))
+    events = table(spark, sf_dir, "events") if events is None else events
+    return events.select(F.col("event_type").alias("source"), url.alias("url"), F.concat(F.lit("w"), F.col("event_id") % 7).alias("worker_id"), F.col("event_id").alias("event_order"))
 
 
 @query(f"WITH {_CLAIMS_SQL} SELECT source, normalized_url, arg_min(worker_id, event_order) AS worker_id, 'CLAIMED' AS status, min(event_order) AS event_order FROM c WHERE NOT (source = 'click' AND normalized_url = 'https://item.example/5') GROUP BY 1, 2")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
-from loam.plans.queries import QUERIES, SQL as ORACLE_SQL
+from loam.plans import queries, streams
 
-__all__ = ["ORACLE_SQL", "QUERIES"]
+QUERIES = queries.QUERIES | streams.QUERIES
+ORACLE_SQL = queries.SQL | streams.SQL
