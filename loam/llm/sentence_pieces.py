@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,8 +26,8 @@ CHUNK_CACHE, CACHE_CHARS, AT_ONCE = 250_000, 2_500_000, 150_000
 SLICE_BYTES = 1 << 20
 #: A chunk longer than this is cut where no piece crosses.
 LONG = 48
-#: States whose ln mass lies this far below the first one's are out of reach.
-FAINT = 100.0
+#: States whose ln mass lies this far below the first one's are out of reach of a draw's 52 bits.
+FAINT = 41.0
 
 _GOLD, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -96,6 +97,11 @@ class Vocabulary:
             own = order[rank == r]
             slot_key[place[own]], slot_value[place[own]] = keys[own], values[own]
         self.pairs = pairs
+        # no piece has a line end, nor one of these marks behind a letter or digit
+        self.marks = "".join(c for c in ",.;:!?" if not any(b == c and a.isalnum() for a, b in pairs))
+        end = "" if any("\n" in x for x in pairs) else r"\n"
+        stop = f"{BLANK}{re.escape(self.marks)}{end}"
+        self.parts = re.compile("|".join([f"{BLANK}*[^{stop}]+", *[end] * bool(end), *[f"{BLANK}*[{re.escape(self.marks)}]+[^{stop}]*"] * bool(self.marks), f"{BLANK}+"]))
 
     @staticmethod
     def _step(h, c):
@@ -128,19 +134,14 @@ class Vocabulary:
         """Parts of a text, with blanks written as the model writes them, that no piece crosses."""
         if not text:
             return []
-        literal = BLANK in text
-        if literal:
+        if BLANK in text:
             text = text.replace(BLANK, "\ud800")  # no text has a lone surrogate
-        out = [f"{BLANK}{w}" for w in text.split(" ")]
-        if BLANK in out:  # runs of blanks stay with the word after them
-            joined, blanks = [], ""
-            for w in out:
-                if w == BLANK:
-                    blanks += w
-                else:
-                    joined.append(blanks + w)
-                    blanks = ""
-            out = joined + [blanks] * bool(blanks)
+        out = self.parts.findall(BLANK + text.replace(" ", BLANK))
+        marked = [i for i, c in enumerate(out) if c[0] in self.marks]
+        if bad := [i for i in marked if i and not out[i - 1][-1].isalnum()]:  # a piece may cross here
+            for i in reversed(bad):
+                if out[i - 1] != "\n":
+                    out[i - 1 : i + 1] = [out[i - 1] + out[i]]
         if max(map(len, out)) > LONG:
             out = [part for w in out for part in (self._cut(w) if len(w) > LONG else (w,))]
         return out
@@ -173,15 +174,16 @@ class Lattices:
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.start, self.end = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of chunks: their places
-        self.total = np.zeros(0)  # ln of a chunk's weight over all its segmentations
-        self.edge = np.zeros(1, np.int64)  # of places: the first edge
-        self.ways = np.zeros(0)  # of places: how many segmentations go on from there
-        self.upto = np.zeros(0, np.float32)
-        self.id, self.length = np.zeros(0, np.int32), np.zeros(0, np.int16)
+        self.chunks = self.places = self.edges = 0
+        self.start, self.end = np.zeros(1, np.int64), np.zeros(1, np.int64)  # of chunks: their places
+        self.total = np.zeros(1)  # ln of a chunk's weight over all its segmentations
+        self.edge = np.zeros(1, np.int32)  # of places: the first edge
+        self.ways = np.zeros(1, np.float32)  # of places: how many segmentations go on from there
+        self.upto = np.zeros(1, np.float32)
+        self.id, self.length = np.zeros(1, np.int32), np.zeros(1, np.int16)
 
     def numbers(self, chunks: list[str]) -> np.ndarray:
-        if len(self.number) > CHUNK_CACHE or len(self.ways) > CACHE_CHARS:
+        if len(self.number) > CHUNK_CACHE or self.places > CACHE_CHARS:
             self.clear()
         known = self.number
         new = [c for c in dict.fromkeys(chunks) if c not in known]
@@ -197,13 +199,15 @@ class Lattices:
         return np.array(list(map(known.__getitem__, chunks)), np.int64)
 
     def _append(self, made: list[dict]) -> None:
-        place, edge = len(self.ways), len(self.upto)
         for m in made:
-            m["start"], m["end"], m["edge"] = m["start"] + place, m["end"] + place, m["edge"] + edge
-            place, edge = place + len(m["ways"]), edge + len(m["upto"])
-        for name in ("start", "end", "total", "ways", "upto", "id", "length"):
-            setattr(self, name, np.concatenate([getattr(self, name), *[m[name] for m in made]]))
-        self.edge = np.concatenate([self.edge, *[m["edge"][1:] for m in made]])
+            m["start"], m["end"], m["edge"] = m["start"] + self.places, m["end"] + self.places, m["edge"][1:] + self.edges
+            for name, at in (("start", self.chunks), ("end", self.chunks), ("total", self.chunks), ("ways", self.places), ("edge", self.places + 1), ("upto", self.edges), ("id", self.edges), ("length", self.edges)):
+                own, new = getattr(self, name), m[name]
+                if at + len(new) > len(own):  # twice the room, so that copying stays in proportion
+                    own = np.concatenate([own[:at], np.zeros(max(len(new), at + 1024), own.dtype)])
+                    setattr(self, name, own)
+                own[at : at + len(new)] = new
+            self.chunks, self.places, self.edges = self.chunks + len(m["total"]), self.places + len(m["ways"]), self.edges + len(m["upto"])
 
     def _made(self, new: list[str]) -> dict[str, np.ndarray]:
         v = self.v
@@ -375,7 +379,6 @@ class Search:
             return
         log = path.log[since:]
         ahead = path.log[:since].sum() + np.cumsum(log) - log
-        # a draw has 52 bits, so no state of a mass so far below the path's can come before all the others
         log = log[: max(1, int(np.searchsorted(-ahead, FAINT - ahead[0], side="right")))]
         ahead = ahead[: len(log)]
         with np.errstate(divide="ignore"):
