@@ -19,10 +19,21 @@ WORD = f"[^{SPACE}]+"
 SLICE_BYTES = 4 << 20
 
 
+#: Rows of an Arrow batch: texts can be long, and the JVM and Python hold a batch each.
+BATCH_ROWS = 1_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let batches that go to Python have BATCH_ROWS rows at most."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share; only where the cluster names none (tests) one of our own."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -147,6 +147,7 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text")
     Documents are dealt by ranges of the key and ordered there, so that all but a range's last have their next one
     beside them; the last ones meet the first ones of the following ranges in a table of two rows a range.
     """
+    common.bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 

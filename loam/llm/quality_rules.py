@@ -119,6 +119,7 @@ def quality_rules(docs: DataFrame, text: str = "text", keep: Sequence[str] | Non
     Null and empty texts have no words and so fail the base rule; their ratio is null. Repeated rows are judged
     alike. Columns of docs that share a name with one of OUTPUT are left out. One pass, no shuffle.
     """
+    common.bounded_batches(docs.sparkSession)
     added = [f.split()[0] for f in OUTPUT.split(", ")]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
     source = docs.select(*kept, docs[text].alias("__text"))

@@ -22,7 +22,7 @@ SAMPLES = 3
 #: The blank that pieces begin with, and a number beyond all code points for that character in a text.
 BLANK, LITERAL = "▁", 0x110000
 #: Distinct chunks of text whose lattices a task remembers, and how many characters of them it makes at once.
-CHUNK_CACHE, CACHE_CHARS, AT_ONCE = 250_000, 2_500_000, 150_000
+CHUNK_CACHE, CACHE_CHARS, AT_ONCE = 120_000, 1_000_000, 100_000
 SLICE_BYTES = 1 << 20
 #: A chunk longer than this is cut where no piece crosses.
 LONG = 48
@@ -468,6 +468,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[
     segmentation, of no pieces; texts with fewer segmentations than samples give all of theirs. Null keys share a seed.
     The model is read by the driver and sent to the tasks. One pass, no shuffle.
     """
+    common.bounded_batches(docs.sparkSession)
     kept = [key] if keep is None else [c for c in keep if c not in [f.split()[0] for f in SAMPLE.split(", ")]]
     source = docs.select(*kept, F.coalesce(docs[key].cast("string"), F.lit("")).alias("__key"), docs[text].alias("__text"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-2]] + [SAMPLE])
