@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loam.llm import common
@@ -17,21 +19,30 @@ from loam.llm import common
 FOLDS, HELD = 5, 1
 #: Longest context, in words.
 MAX_DEPTH = 3
-#: Words and sequences with a smaller share of all tokens aren't considered for contexts or as symbols after them, so
-#: there are at most 1 / MIN_SHARE of each length, whatever the input: the tree has a bounded size.
-MIN_SHARE, MIN_COUNT = 5e-6, 5
+#: Sequences that training texts have less often are no contexts, nor symbols after them; the same at every size.
+MIN_COUNT = 5
+#: Words of at least this share of all tokens, at most 1 / SHARED_SHARE, are scored in the pass over the texts, the others
+#: by a join. This decides where, not what.
+SHARED_SHARE = 5e-6
 #: A symbol diverges after a context if it comes this many times as often as after the context's longest retained
 #: suffix, with a likelihood gain of this many nats. Contexts without a diverging symbol aren't retained.
 MIN_RATIO, MIN_GAIN = 1.5, 6.0
 #: Weight of the shorter context's distribution in the smoothing, as so many observations.
 PRIOR = 2.0
-#: Words that aren't in the tree; the end of a text, which is a token; its start, which is only a context.
-RARE, END, START = -1, 0, 1
+#: A text's start, which is only a context, and its end, which is a token. No word has a blank.
+START, END = b" <", b" >"
 #: Distinct words, or sequences, that a task counts before it hands them on.
 FLUSH = 300_000
 GRAM_FLUSH = 2_000_000
-#: Documents of a block, whose word lists are exchanged together.
+#: Documents of a block, whose lists of words and sequences are exchanged together; texts handled at once.
 BLOCK_DOCS, BLOCK_BYTES = 16_384, 24 << 20
+SLICE_DOCS = 4_096
+#: Sequences of a table that is broadcast for a join; weights that every task holds, those of the most frequent sequences.
+#: All others are joined by shuffle.
+MAX_BROADCAST_ROWS = 500_000
+MAX_SHARED_WEIGHTS = 2_000_000
+#: Bits of a filter, least and most, and of one of its pages.
+FILTER_BITS, PAGE_BITS = (1 << 17, 1 << 28), 1 << 17
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -39,100 +50,73 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def place(values: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """Each value's place in a sorted array; RARE where it isn't there."""
-    if not len(of):
-        return np.full(len(values), RARE, np.int64)
-    at = np.minimum(np.searchsorted(of, values), len(of) - 1)
-    return np.where((of[at] == values) & (values >= 0), at, RARE)
+class Hashes(dict):
+    """64 bits for each word, remembered for a bounded number of words."""
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > FLUSH:
+            self.clear()
+        found = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return found
 
-@dataclass
-class SuffixTree:
-    """Frequent sequences by length as sorted keys, key = place of the sequence without its last word * n + that word.
 
-    A sequence of k words is a context of depth k; followed by a diverging word it is one of length k + 1 whose entry in
-    `gain` is log10 P(word | context) - log10 P(word). `fall` has, for each context, what all other words lose."""
+def mix(head: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """The key of a sequence from the keys of it without its last and without its first word."""
+    x = head * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(32)
+    x = (x + suffix) * np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
 
-    n: int  # words
-    root: np.ndarray  # log10 P(word) by word
-    grams: list[np.ndarray] = field(default_factory=list)  # grams[j]: keys of length j + 2
-    gain: list[np.ndarray] = field(default_factory=list)  # by place in grams[j]; nan: no diverging word
-    fall: list[np.ndarray] = field(default_factory=list)  # fall[k]: by place of a context of k + 1 words; nan: not retained
 
-    def chain(self, ids: np.ndarray) -> list[np.ndarray]:
-        """For each token, places of the sequences of 1, 2, ... words that end with it."""
-        found = [ids]
-        for keys in self.grams:
-            key = np.full(len(ids), RARE, np.int64)
-            key[1:] = np.where((found[-1][:-1] >= 0) & (ids[1:] >= 0), found[-1][:-1] * self.n + ids[1:], RARE)
-            found.append(place(key, keys))
-        return found
+def read_words(texts: list[list[bytes]], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all texts as keys, each text's between START and END, and the number of the text they belong to."""
+    sizes = np.array([len(ws) + 2 for ws in texts], np.int64)
+    start, end = hashes[START], hashes[END]
+    flat = itertools.chain.from_iterable(itertools.chain((start,), map(hashes.__getitem__, ws), (end,)) for ws in texts)
+    return np.fromiter(flat, np.uint64, int(sizes.sum())), np.repeat(np.arange(len(texts)), sizes)
+
+
+def longer(keys: np.ndarray) -> np.ndarray:
+    """Keys of the sequences one word longer, by their first word's place."""
+    return mix(keys[:-1], keys[1:])
+
+
+def inside(of: np.ndarray, size: int) -> np.ndarray:
+    """Of `size` sequences by their first word's place: those within one text."""
+    return of[:size] == of[len(of) - size :]
+
+
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for some in common.slices(batch, "text"):
+            for i in range(0, some.num_rows, SLICE_DOCS):
+                yield some.slice(i, SLICE_DOCS)
 
-    def gains(self, ids: np.ndarray) -> float:
-        """What contexts add to the log10 probability of the tokens ids[1:]; ids[0] is START."""
-        found = self.chain(ids)
-        total, open_ = 0.0, np.ones(len(ids), bool)
-        open_[0] = False
-        for k in range(len(self.fall) - 1, -1, -1):  # the longest context first
-            context = found[k][:-1]
-            retained = np.zeros(len(ids), bool)
-            ok = context >= 0
-            falls = np.full(len(context), np.nan)
-            falls[ok] = self.fall[k][context[ok]]
-            retained[1:] = ~np.isnan(falls)
-            retained &= open_
-            if not retained.any():
-                continue
-            at = np.flatnonzero(retained)
-            gram = found[k + 1][at]
-            gains = np.full(len(at), np.nan)
-            gains[gram >= 0] = self.gain[k][gram[gram >= 0]]
-            hit = ~np.isnan(gains)
-            total += float(gains[hit].sum()) + float(falls[at[~hit] - 1].sum())
-            open_[at[hit]] = False
-        return total
-
-
-def grow(tree: SuffixTree, singles: np.ndarray, counts: list[np.ndarray]) -> None:
-    """Set gain and fall from counts of the tree's sequences, counts[j] by place in grams[j]; singles by word."""
-    suffixes: list[np.ndarray] = [np.zeros(tree.n, np.int64)]  # of each sequence: the place of the one without its first word
-    tree.gain, tree.fall = [], []
-    for j, keys in enumerate(tree.grams):
-        head, word = keys // tree.n, keys % tree.n  # the context, of j + 1 words, and the symbol
-        own = suffixes[j][head] if j else np.zeros(len(keys), np.int64)
-        suffixes.append(word if not j else place(own * tree.n + word, tree.grams[j - 1]))
-        before = _given_suffixes(tree, j, suffixes, word, np.arange(len(keys)))
-        of_head = singles if not j else counts[j - 1]
-        p = (counts[j] + PRIOR * 10.0 ** before) / (of_head[head] + PRIOR)
-        ratio = counts[j] / of_head[head] / 10.0**before
-        diverges = (ratio >= MIN_RATIO) & (counts[j] * np.log(np.maximum(ratio, 1e-300)) >= MIN_GAIN)
-        size = len(of_head)
-        mass = np.bincount(head[diverges], p[diverges], size)
-        was = np.bincount(head[diverges], 10.0 ** before[diverges], size)
-        any_ = np.bincount(head[diverges], minlength=size) > 0
-        with np.errstate(divide="ignore", invalid="ignore"):
-            tree.fall.append(np.where(any_, np.log10(np.maximum(1 - mass, 1e-12) / np.maximum(1 - was, 1e-12)), np.nan))
-        tree.gain.append(np.where(diverges, np.log10(p) - tree.root[word], np.nan))
-
-
-def _given_suffixes(tree: SuffixTree, j: int, suffixes: list[np.ndarray], word: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """log10 P(word | the longest retained proper suffix of its context of j + 1 words)."""
-    total = np.zeros(len(word))
-    open_ = np.ones(len(word), bool)
-    gram = at
-    context = tree.grams[j] // tree.n if len(tree.grams) > j else np.zeros(0, np.int64)
-    for k in range(j - 1, -1, -1):  # contexts of k + 1 words
-        context = suffixes[k + 1][context]
-        gram = suffixes[k + 2][gram]
-        falls = np.where(context >= 0, tree.fall[k][np.maximum(context, 0)], np.nan)
-        gains = np.where(gram >= 0, tree.gain[k][np.maximum(gram, 0)], np.nan)
-        hit = open_ & ~np.isnan(falls) & ~np.isnan(gains)
-        total[hit] += gains[hit]
-        miss = open_ & ~np.isnan(falls) & np.isnan(gains)
-        total[miss] += falls[miss]
-        open_ &= ~hit
-    return total + tree.root[word]
+
+def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & np.uint64(len(bits) * 8 - 1)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def mark(keys: DataFrame, n: int) -> np.ndarray:
+    """Bits that are set for each of n keys. Others may share one of its bits, more often the more keys there are: who
+    asks the filter compares afterwards."""
+    size = min(max(1 << (16 * n).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+
+    def page(of: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.zeros(PAGE_BITS, bool)
+        for batch in batches:
+            flags[batch.column("bit").to_numpy() % PAGE_BITS] = True
+        yield pa.RecordBatch.from_arrays([pa.array([of[0].as_py()], pa.int64()), pa.array([np.packbits(flags, bitorder="little").tobytes()])], names=["page", "bits"])
+
+    at = F.col("key").bitwiseAND(F.lit(size - 1))
+    pages = keys.select(at.alias("bit"), F.shiftright(at, PAGE_BITS.bit_length() - 1).alias("page")).groupBy("page").applyInArrow(page, "page long, bits binary")
+    out = np.zeros(size // 8, np.uint8)
+    for r in pages.toLocalIterator():
+        out[r.page * PAGE_BITS // 8 : (r.page + 1) * PAGE_BITS // 8] = np.frombuffer(bytes(r.bits), np.uint8)
+    return out
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -158,62 +142,101 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text", "held_out").mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def number(ws: list[bytes], ids: dict[bytes, int]) -> np.ndarray:
-    """A text's tokens as numbers, between START and END."""
-    return np.array([START, *[ids.get(w, RARE) for w in ws], END], np.int64)
-
-
-def _count_grams(docs: DataFrame, tree: SuffixTree, ids, least: int) -> list:
-    """Sequences one word longer than the tree's, made of a frequent one and a frequent word, that training texts have
-    `least` times. Every task sends each sequence it has once, with its count."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+def count_sequences(docs: DataFrame, k: int, known: DataFrame, n_known: int, least: int) -> DataFrame:
+    """(key, head, suffix, n): sequences of k words that training texts have `least` times, with the keys of them without
+    their last and without their first word. known: those of k - 1 words. Every task sends each sequence it has once,
+    with its count, if `known` may have its head and its suffix."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(mark(known, n_known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, held, size = shared.value, [], 0
+        hashes, held, size = Hashes(), [], 0
 
         def handed() -> pa.RecordBatch:
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+            heads, suffixes = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "n"])
-
-        for batch in batches:
-            for text in batch.column("text"):
-                numbers = number(tokens(text.as_py()), ids.value)
-                heads = own.chain(numbers)[-1][:-1]
-                ok = (heads >= 0) & (numbers[1:] >= 0)
-                held.append(heads[ok] * own.n + numbers[1:][ok])
-                size += len(held[-1])
-                if size > GRAM_FLUSH:
-                    yield handed()
-                    size = 0
+            _, at, counts = np.unique(mix(heads, suffixes), return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(heads[at].view(np.int64)), pa.array(suffixes[at].view(np.int64)), pa.array(counts)], names=["head", "suffix", "n"])
+
+        for part in parts(batches):
+            keys, of = read_words([tokens(t.as_py()) for t in part.column("text")], hashes)
+            for _ in range(k - 2):
+                keys = longer(keys)
+            ok = marked(shared.value, keys)
+            ok = ok[:-1] & ok[1:] & inside(of, max(len(keys) - 1, 0))
+            held.append((keys[:-1][ok], keys[1:][ok]))
+            size += len(held[-1][0])
+            if size > GRAM_FLUSH:
+                yield handed()
+                size = 0
         if held:
             yield handed()
 
-    grams = docs.where(~F.col("held_out")).select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return sorted(tuple(r) for r in grams.where(F.col("n") >= least).collect())
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            head, suffix = (np.array(batch.column(c)).view(np.uint64) for c in ("head", "suffix"))
+            yield pa.RecordBatch.from_arrays([pa.array(mix(head, suffix).view(np.int64)), *batch.columns], names=["key", *batch.schema.names])
+
+    counts = docs.where(~F.col("held_out")).select("text").mapInArrow(run, "head long, suffix long, n long").groupBy("head", "suffix").agg(F.sum("n").alias("n"))
+    return counts.where(F.col("n") >= least).mapInArrow(keyed, "key long, head long, suffix long, n long")
 
 
-def fit(docs: DataFrame, frequent: list, base, texts: int, least: int, max_depth: int = MAX_DEPTH):
-    """The tree, and its words' numbers, from training texts: sequences are counted length by length, each from the
-    frequent ones of the length before. docs: text, held_out; frequent: (token, c) of the words with `least`."""
-    spark = docs.sparkSession
-    frequent = sorted(frequent)
-    ids = spark.sparkContext.broadcast({w: i + 2 for i, (w, _) in enumerate(frequent)})
-    singles = np.array([texts, texts, *[c for _, c in frequent]], np.float64)
-    root = base(singles)
-    root[START] = -np.inf
-    tree, counts = SuffixTree(len(singles), root), []
-    for _ in range(max_depth if texts else 0):
-        found = _count_grams(docs, tree, ids, least)
-        if not found:
-            break
-        tree.grams.append(np.array([k for k, _ in found], np.int64))
-        counts.append(np.array([c for _, c in found], np.float64))
-    grow(tree, singles, counts)
-    return tree, ids
-
-
-def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", max_depth: int = MAX_DEPTH, min_share: float = MIN_SHARE, min_count: int = MIN_COUNT) -> DataFrame:
+def key_words(vocabulary: DataFrame) -> DataFrame:
+    """(key, n) from (token, c)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = Hashes()
+        for batch in batches:
+            keys = np.fromiter((hashes[w] for w in batch.column("token").to_pylist()), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column("c")], names=["key", "n"])
+
+    return vocabulary.select("token", "c").mapInArrow(run, "key long, n long")
+
+
+def weigh(docs: DataFrame, vocabulary: DataFrame, root, texts: int, least: int, max_depth: int) -> DataFrame:
+    """(key, weight, n): what each occurrence of a sequence adds to the log10 probability of its text by single words.
+
+    A token's probability is that of the longest retained context before it. If the token diverges there, this is its own
+    p; else it is `fall` times its probability after the next shorter one. In logarithms that is a sum: a retained
+    context adds `fall` to the token behind it, and a context with a diverging token adds the rest up to p. docs: text,
+    held_out; root: log10 probability of a count."""
+    ends = docs.sparkSession.createDataFrame([(START, texts), (END, texts)], "token binary, c long")
+    known = key_words(vocabulary.where(F.col("c") >= least).select("token", "c").unionByName(ends)).withColumn("log_p", root(F.col("n")))
+    known, weights = common.shared_table(known, "lm-sequences-1"), []
+    for k in range(2, max_depth + 2 if texts else 0):
+        n = known.count()
+        found = common.shared_table(count_sequences(docs, k, known, n, least), f"lm-counts-{k}")
+        of_head = common.bounded_broadcast(known.select(F.col("key").alias("head"), F.col("n").alias("n_head")), n, MAX_BROADCAST_ROWS)
+        of_suffix = common.bounded_broadcast(known.select(F.col("key").alias("suffix"), F.col("log_p").alias("before")), n, MAX_BROADCAST_ROWS)
+        was = F.pow(F.lit(10.0), "before")
+        ratio = F.col("n") / F.col("n_head") / was
+        p = (F.col("n") + PRIOR * was) / (F.col("n_head") + PRIOR)
+        diverges = (ratio >= MIN_RATIO) & (F.col("n") * F.log(ratio) >= MIN_GAIN)
+        own = common.shared_table(found.join(of_head, "head").join(of_suffix, "suffix").select("key", "head", "n", "n_head", "before", was.alias("was"), p.alias("p"), diverges.alias("diverges")), f"lm-own-{k}")
+        left = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-12))
+        falls = common.shared_table(own.where("diverges").groupBy("head").agg(F.log10(left("p") / left("was")).alias("fall"), F.first("n_head").alias("n_of_head")), f"lm-falls-{k}")
+        joined = own.join(common.bounded_broadcast(falls, falls.count(), MAX_BROADCAST_ROWS), "head", "left")
+        log_p = F.when(F.col("diverges"), F.log10("p")).otherwise(F.col("before") + F.coalesce(F.col("fall"), F.lit(0.0)))
+        known = common.shared_table(joined.select("key", "n", log_p.alias("log_p"), "diverges", (F.log10("p") - F.col("before") - F.col("fall")).alias("rest")), f"lm-sequences-{k}")
+        weights += [falls.select(F.col("head").alias("key"), F.col("fall").alias("weight"), F.col("n_of_head").alias("n")), known.where("diverges").select("key", F.col("rest").alias("weight"), "n")]
+    if not weights:
+        return docs.sparkSession.createDataFrame([], "key long, weight double, n long")
+    return common.shared_table(reduce(DataFrame.unionByName, weights).groupBy("key").agg(F.sum("weight").alias("weight"), F.max("n").alias("n")), "lm-weights")
+
+
+def least_shared(weights: DataFrame, limit: int) -> int:
+    """The smallest power of two such that at most `limit` sequences come so often."""
+    total, found = 0, 1 << 62
+    sizes = weights.groupBy(F.floor(F.log2("n")).alias("e")).agg(F.count("*").alias("c"))
+    for e, c in sorted(map(tuple, sizes.collect()), reverse=True):
+        total += c
+        if total > limit:
+            return found
+        found = 1 << e
+    return 1
+
+
+def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", max_depth: int = MAX_DEPTH, min_share: float = 0.0, min_count: int = MIN_COUNT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text.
 
     A text's tokens are its words and one end. base_score adds log10 of their add-half probabilities. score is their
@@ -221,9 +244,12 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", max_de
     context before it, which may reach back to the text's start. Null texts are empty. Null ids are not held out and so
     train. Repeated rows count and score as often as they come; other columns aren't read.
 
-    All words are counted by shuffle. The frequent ones, of bounded number, are scored in the pass over the texts, the
-    others by a join on the word: a block of documents sends each of its words once, with the documents that have it.
+    All words and sequences are counted by shuffle, and the tree is a table that grows with the input. Frequent words, of
+    bounded number, are scored in the pass over the texts, the others by a join on the word: a block of documents sends
+    each of its words once, with the documents that have it. The tree's weights likewise, by sequence.
+    Words and sequences have keys of 64 bits.
     """
+    spark = docs.sparkSession
     held = F.coalesce(common.remainder(F.col(key), FOLDS) == HELD, F.lit(False))
     rows = docs.select(F.col(key), held.alias("held_out"), F.col(text).alias("text"))
     texts = rows.where(~F.col("held_out")).count()
@@ -234,69 +260,110 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", max_de
     def base(c) -> np.ndarray:
         return np.log10((np.asarray(c, np.float64) + 0.5) / (n + 0.5 * (v + 1)))
 
+    def root(c: Column) -> Column:
+        return F.log10((c + F.lit(0.5)) / F.lit(n + 0.5 * (v + 1)))
+
     least = max(min_count, int(np.ceil(min_share * n)))
-    frequent = [(bytes(r.token), r.c) for r in vocabulary.where(F.col("c") >= least).collect()]  # 1 / min_share rows at most
-    tree, ids = fit(rows.select("text", "held_out"), frequent, base, texts, least, max_depth)
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+    weights = weigh(rows.select("text", "held_out"), vocabulary, root, texts, least, max_depth)
+    often = F.col("n") >= least_shared(weights, MAX_SHARED_WEIGHTS)
+    found, rest = weights.where(often).select("key", "weight").toArrow(), weights.where(~often)
+    keys = np.array(found.column("key"), np.int64).view(np.uint64)
+    order, n_rest = np.argsort(keys), rest.count()
+    tree = keys[order], np.array(found.column("weight"), np.float64)[order], mark(rest, n_rest) if n_rest else None
+    tree = spark.sparkContext.broadcast(tree)
+    frequent = vocabulary.where(F.col("c") >= max(min_count, int(np.ceil(SHARED_SHARE * n)))).toArrow()  # 1 / SHARED_SHARE rows at most
+    known = spark.sparkContext.broadcast(dict(zip(frequent.column("token").to_pylist(), base(frequent.column("c").to_numpy()).tolist(), strict=True)))
+    of_end = float(base(texts))
     id_type = docs.schema[key].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of documents, and for each block and infrequent word a row with the places of the documents that have it."""
-        block, own, known = TaskContext.get().partitionId() << 32, shared.value, ids.value
-        head, lists, size = [], {}, 0
-        names = ["block", "place", key, "held_out", "n_tokens", "known", "base", "gain", "token", "places"]
-        kinds = [pa.int64(), pa.int32(), None, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary()]
+        """Rows of documents, and for each block and infrequent word, or sequence of the tree that isn't shared, a row with
+        the places of the documents that have it."""
+        block, own, shared, hashes = TaskContext.get().partitionId() << 32, known.value, tree.value, Hashes()
+        head, lists, grams, size = [], {}, [], 0
+        names = ["block", "place", key, "held_out", "n_tokens", "known", "base", "gain", "token", "gram", "places"]
+        kinds = [pa.int64(), pa.int32(), None, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64(), pa.binary()]
+
+        def listed(ks: list, words: list | None, sequences: np.ndarray | None, packed: list) -> pa.RecordBatch:
+            m = len(packed)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([block] * m, ks[0]), *[pa.nulls(m, k) for k in ks[1:8]], pa.nulls(m, ks[8]) if words is None else pa.array(words, ks[8]), pa.nulls(m, ks[9]) if sequences is None else pa.array(sequences, ks[9]), pa.array(packed, ks[10])], names=names
+            )
 
         def handed(id_kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-            nonlocal block, head, lists, size
+            nonlocal block, head, lists, grams, size
             cols = list(zip(*head, strict=True))
             ks = [k or id_kind for k in kinds]
-            yield pa.RecordBatch.from_arrays([pa.array([block] * len(head), ks[0])] + [pa.array(c, k) for c, k in zip(cols, ks[1:8], strict=True)] + [pa.nulls(len(head), pa.binary())] * 2, names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(head), ks[0])] + [pa.array(c, k) for c, k in zip(cols, ks[1:8], strict=True)] + [pa.nulls(len(head), k) for k in ks[8:]], names=names)
             ws = list(lists)
             for i in range(0, len(ws), 50_000):
                 some = ws[i : i + 50_000]
-                blank = [pa.nulls(len(some), k) for k in ks[1:8]]
-                packed = [np.array(lists[w], np.uint16).tobytes() for w in some]
-                yield pa.RecordBatch.from_arrays([pa.array([block] * len(some), ks[0]), *blank, pa.array(some, pa.binary()), pa.array(packed, pa.binary())], names=names)
-            block, head, lists, size = block + 1, [], {}, 0
-
-        for batch in batches:
-            id_kind = batch.column(key).type
-            for i, held_out, value in zip(batch.column(key).to_pylist(), batch.column("held_out").to_pylist(), batch.column("text"), strict=True):
-                ws = tokens(value.as_py())
-                numbers = number(ws, known)
-                inside = numbers[1:]
-                hits = inside[inside >= 0]
-                for j in np.flatnonzero(inside < 0).tolist():
+                yield listed(ks, some, None, [np.array(lists[w], np.uint16).tobytes() for w in some])
+            if grams:
+                keys, places = (np.concatenate(x) for x in zip(*grams, strict=True))
+                order = np.argsort(keys)
+                keys, places = keys[order], places[order]
+                edges = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)]), len(keys))
+                for i in range(0, len(edges) - 1, 50_000):
+                    cuts = edges[i : i + 50_001].tolist()
+                    yield listed(ks, None, keys[edges[i : i + 50_001][:-1]].view(np.int64), [places[a:b].tobytes() for a, b in itertools.pairwise(cuts)])
+            block, head, lists, grams, size = block + 1, [], {}, [], 0
+
+        for part in parts(batches):
+            id_kind = part.column(key).type
+            if head and (len(head) + part.num_rows > BLOCK_DOCS or size > BLOCK_BYTES):
+                yield from handed(id_kind)
+            split = [tokens(t.as_py()) for t in part.column("text")]
+            gains, (keys, of) = np.zeros(len(split)), read_words(split, hashes)
+            for _ in range(max_depth + 1):
+                at = of[: len(keys)]
+                ok = inside(of, len(keys))
+                hit = np.zeros(len(keys), bool)
+                if len(shared[0]):
+                    place = np.minimum(np.searchsorted(shared[0], keys), len(shared[0]) - 1)
+                    hit = ok & (shared[0][place] == keys)
+                    gains += np.bincount(at[hit], shared[1][place[hit]], len(split))
+                if n_rest:
+                    ok &= ~hit & marked(shared[2], keys)
+                    grams.append((keys[ok], (at[ok] + len(head)).astype(np.uint16)))
+                    size += 10 * int(ok.sum())
+                keys = longer(keys)
+            for i, held_out, ws, gain in zip(part.column(key).to_pylist(), part.column("held_out").to_pylist(), split, gains.tolist(), strict=True):
+                roots = np.fromiter(map(own.get, ws, itertools.repeat(np.nan)), np.float64, len(ws))
+                rare = np.isnan(roots)
+                for j in np.flatnonzero(rare).tolist():
                     lists.setdefault(ws[j], []).append(len(head))
-                head.append((len(head), i, held_out, len(ws) + 1, len(hits) - (not texts), float(own.root[hits].sum()), own.gains(numbers)))
+                head.append((len(head), i, held_out, len(ws) + 1, len(ws) - int(rare.sum()) + (texts > 0), float(roots[~rare].sum()) + of_end, gain))
                 size += 6 * len(ws)
-                if len(head) >= BLOCK_DOCS or size > BLOCK_BYTES:
-                    yield from handed(id_kind)
         if head:
             yield from handed(id_kind)
 
-    schema = f"block long, place int, `{key}` {id_type}, held_out boolean, n_tokens long, known long, base double, gain double, token binary, places binary"
-    parts = common.shared_table(rows.mapInArrow(read, schema), "lm-parts")
-    joined = parts.where("token is not null").select("block", "token", "places").join(vocabulary, "token").select("block", "places", "c")
+    schema = f"block long, place int, `{key}` {id_type}, held_out boolean, n_tokens long, known long, base double, gain double, token binary, gram long, places binary"
+    out = common.shared_table(rows.mapInArrow(read, schema), "lm-parts")
+    joined = out.where("token is not null").select("block", "token", "places").join(vocabulary, "token").select("block", "places", (F.col("c") > 0).cast("int").alias("known"), root(F.col("c")).alias("base"), F.lit(0.0).alias("gain"))
+    if n_rest:
+        more = out.where("gram is not null").select("block", F.col("gram").alias("key"), "places").join(rest.hint("merge"), "key")
+        joined = joined.unionByName(more.select("block", "places", F.lit(0).alias("known"), F.lit(0.0).alias("base"), F.col("weight").alias("gain")))
+    names = ["known", "base", "gain"]
 
     def add(of: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums of a block's documents, to which a batch of rows at a time adds."""
-        known, sums = np.zeros(BLOCK_DOCS), np.zeros(BLOCK_DOCS)
+        sums = np.zeros((3, BLOCK_DOCS))
         for batch in batches:
             lists = batch.column("places").to_pylist()
             sizes = np.fromiter((len(x) // 2 for x in lists), np.int64, len(lists))
-            at, c = np.frombuffer(b"".join(lists), np.uint16), batch.column("c").to_numpy()
-            known += np.bincount(at, np.repeat(c > 0, sizes), BLOCK_DOCS)
-            sums += np.bincount(at, np.repeat(base(c), sizes), BLOCK_DOCS)
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), of[0].as_py())), pa.array(at.astype(np.int32)), pa.array(known[at].astype(np.int64)), pa.array(sums[at])], names=["block", "place", "more_known", "more_base"])
-
-    sums = joined.groupBy("block").applyInArrow(add, "block long, place int, more_known long, more_base double")
-    own = parts.where("token is null").drop("token", "places").join(sums, ["block", "place"], "left").fillna(0, ["more_known", "more_base"])
+            at = np.frombuffer(b"".join(lists), np.uint16)
+            for row, name in zip(sums, names, strict=True):
+                row += np.bincount(at, np.repeat(batch.column(name).to_numpy(), sizes), BLOCK_DOCS)
+        at = np.flatnonzero(sums.any(axis=0))
+        known, base, gain = sums[:, at]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), of[0].as_py())), pa.array(at.astype(np.int32)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(gain)], names=["block", "place", "more_known", "more_base", "more_gain"])
+
+    sums = joined.groupBy("block").applyInArrow(add, "block long, place int, more_known long, more_base double, more_gain double")
+    own = out.where("token is null and gram is null").drop("token", "gram", "places").join(sums, ["block", "place"], "left").fillna(0, ["more_known", "more_base", "more_gain"])
     total = F.col("base") + F.col("more_base")
     return own.select(
-        key, "held_out", "n_tokens", (F.col("known") + F.col("more_known")).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), total.alias("base_score"), (total + F.col("gain")).alias("score")
+        key, "held_out", "n_tokens", (F.col("known") + F.col("more_known")).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), total.alias("base_score"), (total + F.col("gain") + F.col("more_gain")).alias("score")
     )
 
 

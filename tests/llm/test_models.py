@@ -132,6 +132,24 @@ def test_suffix_tree_against_a_plain_one(spark):
     assert sum(p(w, context) for w in singles) + p("unseen", context) == pytest.approx(1)
 
 
+def test_contexts_of_the_least_count_stay_in_a_large_input(spark, monkeypatch):
+    # 1.4 million tokens: a share of 5e-6 of them would be 7, more than a phrase has that comes 6 times
+    rows = [(i, "to and fro " * 1000) for i in range(600)] + [(1000 + i, "to be fair") for i in range(8)]
+    trained = sum(zlib.crc32(str(1000 + i).encode()) % 5 != 1 for i in range(8))
+    assert 5 <= trained < 7
+    df = spark.createDataFrame(rows, DOCS)
+    out = {r.doc_id: r for r in suffix_tree_lm.score_texts(df).collect()}
+    assert math.ceil(out[1000].train_tokens * 5e-6) > trained
+    # its words are certain after their contexts, save for the smoothing
+    assert out[1000].score > -4 and out[1000].base_score < -14
+    # weights joined by block, and tables joined by shuffle, give the same
+    monkeypatch.setattr(suffix_tree_lm, "MAX_BROADCAST_ROWS", 0)
+    for limit in (0, 5):
+        monkeypatch.setattr(suffix_tree_lm, "MAX_SHARED_WEIGHTS", limit)
+        for r in suffix_tree_lm.score_texts(df.repartition(3)).collect():
+            assert r.score == pytest.approx(out[r.doc_id].score) and r.base_score == pytest.approx(out[r.doc_id].base_score) and r.n_known == out[r.doc_id].n_known
+
+
 def test_language_model_edges(spark):
     rows = [(None, "a b"), (1, ""), (1, ""), (2, "z" * 100_000)]
     out = suffix_tree_lm.score_texts(spark.createDataFrame(rows, DOCS)).collect()
