@@ -18,30 +18,38 @@ def _keys(text: Column) -> Column:
     return F.array_distinct(F.transform(lines, lambda x: F.unhex(F.md5(x))))
 
 
-def boilerplate(docs: DataFrame, text: str = "text", host: str = "source", max_ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
+def boilerplate(docs: DataFrame, text: str = "text", host: str = "source", max_ratio: float = 0.1, min_pages: int = 5, groups: DataFrame | None = None) -> DataFrame:
     """(host, line key, pages, total): lines on over max_ratio of a host's pages, and on min_pages of them at least.
 
     Pages of a host with equal texts count as one page, so that copies, which other stages handle, don't turn a
-    page's own lines into boilerplate. A line counts once a page. Only keys of lines are shuffled, counted per task first.
+    page's own lines into boilerplate. With groups (k1, k2, comp, as ngram_join.text_groups gives them) a group's texts are
+    one page of their host, which has the lines of them all. A line counts once a page. Only keys of lines are shuffled, counted per task first.
     """
-    slim = docs.select(F.col(host).alias("host"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("page"), _keys(F.coalesce(F.col(text), F.lit(""))).alias("lines"))
+    hashes = [] if groups is None else [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("2"), text).alias("k2")]
+    slim = docs.select(F.col(host).alias("host"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("page"), _keys(F.coalesce(F.col(text), F.lit(""))).alias("lines"), *hashes)
     pages = common.shared_table(slim.dropDuplicates(["host", "page"]), "lines-pages")
+    rows = pages.select("host", "page", F.explode("lines").alias("line"))
+    if groups is not None:
+        pages = pages.join(groups, ["k1", "k2"], "left").select("host", F.coalesce(F.col("comp").cast("string"), "page").alias("page"), "lines")
+        pages = common.shared_table(pages, "lines-groups")
+        rows = pages.select("host", "page", F.explode("lines").alias("line")).distinct()
+        pages = pages.select("host", "page").distinct()
     totals = pages.groupBy("host").agg(F.count("*").alias("total"))
-    counts = pages.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
+    counts = rows.select("host", "line").groupBy("host", "line").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
     totals = totals.select(F.col("host").alias("h"), "total")
     return counts.join(totals, counts.host.eqNullSafe(totals.h)).where(F.col("pages") > F.lit(max_ratio) * F.col("total")).select("host", "line", "pages", "total")
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", host: str = "source", max_ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", host: str = "source", max_ratio: float = 0.1, min_pages: int = 5, groups: DataFrame | None = None) -> DataFrame:
     """docs without their hosts' boilerplate lines; adds n_lines and n_dropped.
 
     Lines are parts of the text between newlines, compared without white space at their ends; blank lines stay. Null
     hosts are one host. Null texts stay null with 0 lines. A page of boilerplate alone becomes ''. Equal rows are treated
     alike. docs' own columns n_lines and n_dropped are replaced. Texts are not shuffled while the hosts' lists can
-    be broadcast, which their count decides.
+    be broadcast, which their count decides. groups: texts that count as one page, see boilerplate.
     """
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    found = common.shared_table(boilerplate(docs, text, host, max_ratio, min_pages), "lines-boilerplate")
+    found = common.shared_table(boilerplate(docs, text, host, max_ratio, min_pages, groups), "lines-boilerplate")
     n = found.count()
     # a host's list is short: a page of k lines adds k to the sum of its lines' page counts, so at most mean(k) / max_ratio lines pass
     lists = found.groupBy(F.col("host").alias("__host")).agg(F.collect_list("line").alias("__list"))
