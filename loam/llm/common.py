@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute
@@ -19,8 +20,8 @@ WORD = f"[^{SPACE}]+"
 SLICE_BYTES = 4 << 20
 
 
-#: Rows of an Arrow batch: texts can be long, and the JVM and Python hold a batch each.
-BATCH_ROWS = 1_000
+#: Bytes and rows of an Arrow batch: texts can be long, and the JVM and Python hold a batch each. A longer row comes alone.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,28 +30,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Let batches that go to Python have BATCH_ROWS rows at most."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Let batches that go to Python from this session be bounded by bytes; every operator that runs Python asks for it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; only where the cluster names none (tests) one of our own."""
+    """The folder that all executors share, as the cluster names it. Without one only a local master, whose executors are
+    this process, may use its own temporary folder; a cluster must name one."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = os.path.join(tempfile.gettempdir(), "loam-shared")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
+def shared_table(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete the files of shared tables that nothing will read again, and let Spark drop the shuffles of what made them,
+    which it does when the driver's JVM collects garbage."""
+    for df in tables:
+        spark, jvm = df.sparkSession, df.sparkSession.sparkContext._jvm
+        for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    if tables:
+        gc.collect()
+        jvm.System.gc()
+
+
+def free_name(name: str, *taken: Iterable[str]) -> str:
+    """name, with as many _ behind it as make it differ from all column names taken, whatever their case."""
+    used = {c.lower() for names in taken for c in names}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def bounded_broadcast(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
     """Broadcast df only if its counted rows are few; else leave the join to Spark's shuffle."""
     return F.broadcast(df) if rows <= max_rows else df.hint("merge")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 from collections import Counter
 from collections.abc import Iterator
@@ -10,6 +9,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +21,6 @@ FOLDS, HELD = 5, 1
 MAX_DEPTH = 3
 #: Sequences that training texts have less often are no contexts, nor symbols after them; the same at every size.
 MIN_COUNT = 5
-#: Words of at least this share of all tokens, at most 1 / SHARED_SHARE, are scored in the pass over the texts, the others
-#: by a join. This decides where, not what.
-SHARED_SHARE = 5e-6
 #: A symbol diverges after a context if it comes this many times as often as after the context's longest retained
 #: suffix, with a likelihood gain of this many nats. Contexts without a diverging symbol aren't retained.
 MIN_RATIO, MIN_GAIN = 1.5, 6.0
@@ -31,16 +28,14 @@ MIN_RATIO, MIN_GAIN = 1.5, 6.0
 PRIOR = 2.0
 #: A text's start, which is only a context, and its end, which is a token. No word has a blank.
 START, END = b" <", b" >"
-#: Distinct words, or sequences, that a task counts before it hands them on.
-FLUSH = 300_000
-GRAM_FLUSH = 2_000_000
-#: Documents of a block, whose lists of words and sequences are exchanged together; texts handled at once.
-BLOCK_DOCS, BLOCK_BYTES = 16_384, 24 << 20
-SLICE_DOCS = 4_096
-#: Sequences of a table that is broadcast for a join; weights that every task holds, those of the most frequent sequences.
-#: All others are joined by shuffle.
+#: Tokens and texts of a block, the unit that is counted and scored together; a longer text is a block of its own.
+BLOCK_TOKENS, BLOCK_DOCS = 2_000_000, 1 << 16
+#: Tokens of the corpus for each bucket that sequences are dealt to by hash, and buckets at least.
+BUCKET_TOKENS, MIN_BUCKETS = 1_000_000, 32
+#: Sequences that are more frequent, and have more than this share of all tokens, are dealt to buckets with what follows.
+HOT_COUNT, HOT_SHARE = 200_000, 1e-5
+#: Sequences of a table that is broadcast for a join; all others are joined by shuffle.
 MAX_BROADCAST_ROWS = 500_000
-MAX_SHARED_WEIGHTS = 2_000_000
 #: Bits of a filter, least and most, and of one of its pages.
 FILTER_BITS, PAGE_BITS = (1 << 17, 1 << 28), 1 << 17
 
@@ -50,14 +45,16 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-class Hashes(dict):
-    """64 bits for each word, remembered for a bounded number of words."""
+class Numbers(dict):
+    """A number for each word, in the order of first appearance."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > FLUSH:
-            self.clear()
-        found = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return found
+        n = self[word] = len(self)
+        return n
+
+
+def hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def mix(head: np.ndarray, suffix: np.ndarray) -> np.ndarray:
@@ -70,14 +67,6 @@ def mix(head: np.ndarray, suffix: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def read_words(texts: list[list[bytes]], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
-    """The words of all texts as keys, each text's between START and END, and the number of the text they belong to."""
-    sizes = np.array([len(ws) + 2 for ws in texts], np.int64)
-    start, end = hashes[START], hashes[END]
-    flat = itertools.chain.from_iterable(itertools.chain((start,), map(hashes.__getitem__, ws), (end,)) for ws in texts)
-    return np.fromiter(flat, np.uint64, int(sizes.sum())), np.repeat(np.arange(len(texts)), sizes)
-
-
 def longer(keys: np.ndarray) -> np.ndarray:
     """Keys of the sequences one word longer, by their first word's place."""
     return mix(keys[:-1], keys[1:])
@@ -88,11 +77,13 @@ def inside(of: np.ndarray, size: int) -> np.ndarray:
     return of[:size] == of[len(of) - size :]
 
 
-def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for some in common.slices(batch, "text"):
-            for i in range(0, some.num_rows, SLICE_DOCS):
-                yield some.slice(i, SLICE_DOCS)
+def starts(*sorted_keys: np.ndarray) -> np.ndarray:
+    """Where a new combination of keys begins, and the end."""
+    n = len(sorted_keys[0])
+    new = np.ones(n, bool)
+    if n:
+        new[1:] = reduce(np.logical_or, [k[1:] != k[:-1] for k in sorted_keys])
+    return np.append(np.flatnonzero(new), n)
 
 
 def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -119,124 +110,257 @@ def mark(keys: DataFrame, n: int) -> np.ndarray:
     return out
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """(token, c): every word of the texts and how often training texts have it. docs: text, held_out."""
+def read_blocks(docs: DataFrame, key: str) -> DataFrame:
+    """Texts as blocks: ids, held_out and n_tokens of a block's texts, its distinct words, and all its tokens as numbers of
+    those words, in four planes of bytes. Words 0 and 1 are START and END, which enclose each text."""
+    kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trained: Counter[bytes] = Counter()
-        others: set[bytes] = set()
+        block, schema = TaskContext.get().partitionId() << 32, None
+        numbers, ids, held, sizes, found, total = Numbers({START: 0, END: 1}), [], [], [], [], 0
 
         def handed() -> pa.RecordBatch:
-            rest = [w for w in others if w not in trained]
-            out = pa.RecordBatch.from_arrays([pa.array([*trained, *rest], pa.binary()), pa.array([*trained.values(), *[0] * len(rest)], pa.int64())], names=["token", "c"])
-            trained.clear(), others.clear()
+            nonlocal block, numbers, ids, held, sizes, found, total
+            flat = np.concatenate(found)
+            # the most frequent words get the least numbers, whose higher bytes are mostly alike
+            often = np.bincount(flat, minlength=len(numbers))
+            often[:2] = len(flat) + 2, len(flat) + 1
+            order = np.argsort(-often, kind="stable")
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order), dtype=np.uint32)
+            words = list(numbers)
+            packed = rank[flat].view(np.uint8).reshape(-1, 4).T.tobytes()
+            joined = b" ".join([words[i] for i in order[2:].tolist()])
+            cols = [[block], [ids], [held], [sizes], [joined], [packed]]
+            out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, schema, strict=True)], names=["block", "ids", "held", "sizes", "words", "tokens"])
+            block, numbers, ids, held, sizes, found, total = block + 1, Numbers({START: 0, END: 1}), [], [], [], [], 0
             return out
 
         for batch in batches:
-            for text, held in zip(batch.column("text"), batch.column("held_out").to_pylist(), strict=True):
-                (others if held else trained).update(tokens(text.as_py()))
-                if len(trained) + len(others) > FLUSH:
+            schema = [pa.int64(), pa.list_(batch.column(0).type), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+            for i, held_out, text in zip(batch.column(0).to_pylist(), batch.column("held_out").to_pylist(), batch.column("text"), strict=True):
+                ws = tokens(text.as_py())
+                if total and (total + len(ws) > BLOCK_TOKENS or len(ids) == BLOCK_DOCS):
                     yield handed()
-        yield handed()
+                found.append(np.fromiter(itertools.chain((0,), map(numbers.__getitem__, ws), (1,)), np.uint32, len(ws) + 2))
+                ids.append(i), held.append(held_out), sizes.append(len(ws) + 1)
+                total += len(ws) + 2
+        if total:
+            yield handed()
 
-    return docs.select("text", "held_out").mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
+    rows = docs.select(key, "held_out", "text").mapInArrow(run, f"block long, ids array<{kind}>, held array<boolean>, sizes array<long>, words binary, tokens binary")
+    return common.shared_table(rows, "lm-blocks", compression="zstd")
 
 
-def count_sequences(docs: DataFrame, k: int, known: DataFrame, n_known: int, least: int) -> DataFrame:
-    """(key, head, suffix, n): sequences of k words that training texts have `least` times, with the keys of them without
-    their last and without their first word. known: those of k - 1 words. Every task sends each sequence it has once,
-    with its count, if `known` may have its head and its suffix."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(mark(known, n_known))
+class Block:
+    """What a row of read_blocks holds: words, and for every token its number and the place of its text."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = Hashes(), [], 0
+    def __init__(self, words: bytes, packed: bytes, sizes: np.ndarray, held: np.ndarray) -> None:
+        self.words = [START, END, *words.split()]
+        self.numbers = np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+        self.of = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes + 1)
+        self.trains = np.repeat(~held, sizes + 1)
 
-        def handed() -> pa.RecordBatch:
-            heads, suffixes = (np.concatenate(x) for x in zip(*held, strict=True))
-            held.clear()
-            _, at, counts = np.unique(mix(heads, suffixes), return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(heads[at].view(np.int64)), pa.array(suffixes[at].view(np.int64)), pa.array(counts)], names=["head", "suffix", "n"])
 
-        for part in parts(batches):
-            keys, of = read_words([tokens(t.as_py()) for t in part.column("text")], hashes)
+def each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            block, words, packed = (batch.column(c)[i].as_py() for c in ("block", "words", "tokens"))
+            yield block, Block(words, packed, batch.column("sizes")[i].values.to_numpy(), batch.column("held")[i].values.to_numpy(zero_copy_only=False))
+
+
+def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The runs of a sorted array of buckets."""
+    cuts = starts(bucket)
+    for a, b in itertools.pairwise(cuts.tolist()):
+        yield int(bucket[a]), slice(a, b)
+
+
+def count_words(blocks: DataFrame, buckets: int, least: int) -> DataFrame:
+    """Counts of words in training texts. Each block sends its words to buckets by hash, with the places of the texts that
+    have them; a bucket adds up. Rows with a block: for texts (places) how many of their words are known, and the sum of
+    log10(c + 0.5) of all. Other rows: keys and counts n of a bucket's words of `least` occurrences, and how many tokens
+    and distinct words training texts have."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, b in each_block(batches):
+            own = b.numbers > 1
+            numbers, of = b.numbers[own], b.of[own]
+            times = np.bincount(numbers[b.trains[own]], minlength=len(b.words)).astype(np.uint32)
+            sizes = np.bincount(numbers, minlength=len(b.words)).astype(np.uint32)
+            places = of[np.argsort(numbers, kind="stable")]
+            ends = np.cumsum(sizes, dtype=np.int64)
+            to = (hashes(b.words) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(to[2:], kind="stable") + 2
+            rows = []
+            for bucket, at in by_bucket(to[order]):
+                ws = order[at]
+                took = np.concatenate([places[ends[w] - sizes[w] : ends[w]] for w in ws.tolist()])
+                rows.append((bucket, block, b" ".join([b.words[w] for w in ws.tolist()]), times[ws].tobytes(), sizes[ws].tobytes(), took.tobytes()))
+            if rows:
+                kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "block", "words", "times", "sizes", "places"])
+
+    def add(of: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[bytes] = Counter()
+        rows = [r for batch in batches for r in batch.to_pylist()]
+        for r in rows:
+            for w, c in zip(r["words"].split(), np.frombuffer(r["times"], np.uint32).tolist(), strict=True):
+                counts[w] += c
+        out = []
+        for r in rows:
+            ws, sizes, places = r["words"].split(), np.frombuffer(r["sizes"], np.uint32), np.frombuffer(r["places"], np.uint16)
+            c = np.fromiter(map(counts.__getitem__, ws), np.float64, len(ws))
+            here, at = np.unique(places, return_inverse=True)
+            known, base = np.bincount(at, np.repeat(c > 0, sizes), len(here)), np.bincount(at, np.repeat(np.log10(c + 0.5), sizes), len(here))
+            out.append((r["block"], here.tobytes(), known.astype(np.int32).tobytes(), base.tobytes(), None, None, None, None))
+        c = np.fromiter(counts.values(), np.int64, len(counts))
+        keys = hashes(list(counts))[c >= least].view(np.int64)
+        out.append((None, None, None, None, keys, c[c >= least], int(c.sum()), int((c > 0).sum())))
+        kinds = [pa.int64(), *[pa.binary()] * 3, pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["block", "places", "known", "base", "keys", "n", "tokens", "distinct"])
+
+    sent = blocks.mapInArrow(send, "bucket int, block long, words binary, times binary, sizes binary, places binary")
+    return common.shared_table(sent.groupBy("bucket").applyInArrow(add, "block long, places binary, known binary, base binary, keys array<long>, n array<long>, tokens long, distinct long"), "lm-words")
+
+
+def count_sequences(blocks: DataFrame, k: int, known: DataFrame, n_known: int, buckets: int, least: int, tokens_: int) -> DataFrame:
+    """(key, head, suffix, n): sequences of k words that training texts have `least` times, with the keys of them without
+    their last and without their first word. known: those of k - 1 words. Every block sends each sequence it has once,
+    with its count, if `known` may have its head and its suffix, to the bucket of its head. What follows a head that is
+    very frequent is dealt to all buckets."""
+    spark = blocks.sparkSession
+    hot = known.where(F.col("n") >= max(HOT_COUNT, HOT_SHARE * tokens_)).select("key").toArrow()  # 1 / HOT_SHARE rows at most
+    hot = np.sort(np.array(hot.column("key"), np.int64).view(np.uint64))
+    shared = spark.sparkContext.broadcast((mark(known, n_known), hot))
+    # of a corpus so large that 1 / HOT_SHARE buckets are few, all heads are split by what follows, into so many parts
+    split = max(0, int(buckets * HOT_SHARE)).bit_length()
+
+    def bucket_of(head: np.ndarray, suffix: np.ndarray, hot: np.ndarray) -> np.ndarray:
+        often = hot[np.minimum(np.searchsorted(hot, head), len(hot) - 1)] == head if len(hot) else np.zeros(len(head), bool)
+        part = suffix >> np.uint64(64 - split) if split else np.uint64(0)
+        return mix(head, np.where(often, suffix, part)) % np.uint64(buckets)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, hot = shared.value
+        for _, b in each_block(batches):
+            keys = hashes(b.words)[b.numbers]
             for _ in range(k - 2):
                 keys = longer(keys)
-            ok = marked(shared.value, keys)
-            ok = ok[:-1] & ok[1:] & inside(of, max(len(keys) - 1, 0))
-            held.append((keys[:-1][ok], keys[1:][ok]))
-            size += len(held[-1][0])
-            if size > GRAM_FLUSH:
-                yield handed()
-                size = 0
-        if held:
-            yield handed()
+            ok = marked(bits, keys)
+            ok = ok[:-1] & ok[1:] & b.trains[: max(len(keys) - 1, 0)] & inside(b.of, max(len(keys) - 1, 0))
+            at = np.flatnonzero(ok)
+            key = mix(keys[at], keys[at + 1])
+            order = np.argsort(key)
+            cuts = starts(key[order])
+            at, times = at[order[cuts[:-1]]], np.diff(cuts).astype(np.uint32)
+            head, suffix = keys[at], keys[at + 1]
+            to = bucket_of(head, suffix, hot)
+            order = np.argsort((to << np.uint64(40)) | (head >> np.uint64(24)))
+            head, suffix, times, to = head[order], suffix[order], times[order], to[order]
+            rows = []
+            for bucket, s in by_bucket(to):
+                cuts = starts(head[s])
+                rows.append((bucket, head[s][cuts[:-1]].tobytes(), np.diff(cuts).astype(np.uint32).tobytes(), suffix[s].tobytes(), times[s].tobytes()))
+            if rows:
+                kinds = [pa.int32(), *[pa.binary()] * 4]
+                yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "heads", "runs", "suffixes", "times"])
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            head, suffix = (np.array(batch.column(c)).view(np.uint64) for c in ("head", "suffix"))
-            yield pa.RecordBatch.from_arrays([pa.array(mix(head, suffix).view(np.int64)), *batch.columns], names=["key", *batch.schema.names])
-
-    counts = docs.where(~F.col("held_out")).select("text").mapInArrow(run, "head long, suffix long, n long").groupBy("head", "suffix").agg(F.sum("n").alias("n"))
-    return counts.where(F.col("n") >= least).mapInArrow(keyed, "key long, head long, suffix long, n long")
-
-
-def key_words(vocabulary: DataFrame) -> DataFrame:
-    """(key, n) from (token, c)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
+    def add(of: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
         for batch in batches:
-            keys = np.fromiter((hashes[w] for w in batch.column("token").to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column("c")], names=["key", "n"])
+            for r in batch.to_pylist():
+                found.append((np.repeat(np.frombuffer(r["heads"], np.uint64), np.frombuffer(r["runs"], np.uint32)), np.frombuffer(r["suffixes"], np.uint64), np.frombuffer(r["times"], np.uint32)))
+        head, suffix, times = (np.concatenate(x) for x in zip(*found, strict=True))
+        key = mix(head, suffix)
+        order = np.argsort(key)
+        cuts = starts(key[order])
+        n = np.add.reduceat(times[order].astype(np.int64), cuts[:-1])
+        at = order[cuts[:-1][n >= least]]
+        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (key[at], head[at], suffix[at], n[n >= least])], names=["key", "head", "suffix", "n"])
 
-    return vocabulary.select("token", "c").mapInArrow(run, "key long, n long")
+    sent = blocks.mapInArrow(send, "bucket int, heads binary, runs binary, suffixes binary, times binary")
+    return common.shared_table(sent.groupBy("bucket").applyInArrow(add, "key long, head long, suffix long, n long"), f"lm-counts-{k}")
 
 
-def weigh(docs: DataFrame, vocabulary: DataFrame, root, texts: int, least: int, max_depth: int) -> DataFrame:
-    """(key, weight, n): what each occurrence of a sequence adds to the log10 probability of its text by single words.
+def weigh(blocks: DataFrame, known: DataFrame, root, buckets: int, least: int, max_depth: int, n_tokens: int) -> DataFrame | None:
+    """(key, weight): what each occurrence of a sequence adds to the log10 probability of its text by single words.
 
     A token's probability is that of the longest retained context before it. If the token diverges there, this is its own
     p; else it is `fall` times its probability after the next shorter one. In logarithms that is a sum: a retained
-    context adds `fall` to the token behind it, and a context with a diverging token adds the rest up to p. docs: text,
-    held_out; root: log10 probability of a count."""
-    ends = docs.sparkSession.createDataFrame([(START, texts), (END, texts)], "token binary, c long")
-    known = key_words(vocabulary.where(F.col("c") >= least).select("token", "c").unionByName(ends)).withColumn("log_p", root(F.col("n")))
-    known, weights = common.shared_table(known, "lm-sequences-1"), []
-    for k in range(2, max_depth + 2 if texts else 0):
+    context adds `fall` to the token behind it, and a context with a diverging token adds the rest up to p. known:
+    (key, n) of single words; root: log10 probability of a count."""
+    known, weights = common.shared_table(known.withColumn("log_p", root(F.col("n"))), "lm-sequences-1"), []
+    for k in range(2, max_depth + 2):
         n = known.count()
-        found = common.shared_table(count_sequences(docs, k, known, n, least), f"lm-counts-{k}")
+        if not n:
+            break
+        found = count_sequences(blocks, k, known, n, buckets, least, n_tokens)
         of_head = common.bounded_broadcast(known.select(F.col("key").alias("head"), F.col("n").alias("n_head")), n, MAX_BROADCAST_ROWS)
         of_suffix = common.bounded_broadcast(known.select(F.col("key").alias("suffix"), F.col("log_p").alias("before")), n, MAX_BROADCAST_ROWS)
         was = F.pow(F.lit(10.0), "before")
         ratio = F.col("n") / F.col("n_head") / was
         p = (F.col("n") + PRIOR * was) / (F.col("n_head") + PRIOR)
         diverges = (ratio >= MIN_RATIO) & (F.col("n") * F.log(ratio) >= MIN_GAIN)
-        own = common.shared_table(found.join(of_head, "head").join(of_suffix, "suffix").select("key", "head", "n", "n_head", "before", was.alias("was"), p.alias("p"), diverges.alias("diverges")), f"lm-own-{k}")
+        own = common.shared_table(found.join(of_head, "head").join(of_suffix, "suffix").select("key", "head", "n", "before", was.alias("was"), p.alias("p"), diverges.alias("diverges")), f"lm-own-{k}")
         left = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-12))
-        falls = common.shared_table(own.where("diverges").groupBy("head").agg(F.log10(left("p") / left("was")).alias("fall"), F.first("n_head").alias("n_of_head")), f"lm-falls-{k}")
+        falls = common.shared_table(own.where("diverges").groupBy("head").agg(F.log10(left("p") / left("was")).alias("fall")), f"lm-falls-{k}")
         joined = own.join(common.bounded_broadcast(falls, falls.count(), MAX_BROADCAST_ROWS), "head", "left")
         log_p = F.when(F.col("diverges"), F.log10("p")).otherwise(F.col("before") + F.coalesce(F.col("fall"), F.lit(0.0)))
-        known = common.shared_table(joined.select("key", "n", log_p.alias("log_p"), "diverges", (F.log10("p") - F.col("before") - F.col("fall")).alias("rest")), f"lm-sequences-{k}")
-        weights += [falls.select(F.col("head").alias("key"), F.col("fall").alias("weight"), F.col("n_of_head").alias("n")), known.where("diverges").select("key", F.col("rest").alias("weight"), "n")]
+        rest = (F.log10("p") - F.col("before") - F.col("fall")).alias("rest")
+        last, known = known, common.shared_table(joined.select("key", "n", log_p.alias("log_p"), "diverges", rest), f"lm-sequences-{k}")
+        weights += [falls.select(F.col("head").alias("key"), F.col("fall").alias("weight")), known.where("diverges").select("key", F.col("rest").alias("weight"))]
+        common.drop_tables(found, own, *[last] * (k == 2))
     if not weights:
-        return docs.sparkSession.createDataFrame([], "key long, weight double, n long")
-    return common.shared_table(reduce(DataFrame.unionByName, weights).groupBy("key").agg(F.sum("weight").alias("weight"), F.max("n").alias("n")), "lm-weights")
-
-
-def least_shared(weights: DataFrame, limit: int) -> int:
-    """The smallest power of two such that at most `limit` sequences come so often."""
-    total, found = 0, 1 << 62
-    sizes = weights.groupBy(F.floor(F.log2("n")).alias("e")).agg(F.count("*").alias("c"))
-    for e, c in sorted(map(tuple, sizes.collect()), reverse=True):
-        total += c
-        if total > limit:
-            return found
-        found = 1 << e
-    return 1
-
-
-def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", max_depth: int = MAX_DEPTH, min_share: float = 0.0, min_count: int = MIN_COUNT) -> DataFrame:
+        return None
+    return common.shared_table(reduce(DataFrame.unionByName, weights).groupBy("key").agg(F.sum("weight").alias("weight")), "lm-weights")
+
+
+def gains(blocks: DataFrame, weights: DataFrame, buckets: int, max_depth: int) -> DataFrame:
+    """(block, places, gain): what the weights of its sequences add to each text. A block sends the sequences that may have
+    a weight to buckets by hash, with the places of the texts that have them."""
+    n = weights.count()
+    shared = blocks.sparkSession.sparkContext.broadcast(mark(weights, n))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for block, b in each_block(batches):
+            keys = hashes(b.words)[b.numbers]
+            for k in range(max_depth + 1):
+                keys = longer(keys) if k else keys
+                at = np.flatnonzero(marked(bits, keys) & inside(b.of, len(keys)))
+                key, place = keys[at], b.of[at]
+                to = key.view(np.int64) % buckets  # as pmod
+                order = np.argsort((to.astype(np.uint64) << np.uint64(40)) | (key >> np.uint64(24)))
+                key, place, to = key[order], place[order], to[order]
+                rows = []
+                for bucket, s in by_bucket(to):
+                    cuts = starts(key[s])
+                    rows.append((bucket, block, key[s][cuts[:-1]].tobytes(), np.diff(cuts).astype(np.uint32).tobytes(), place[s].tobytes()))
+                if rows:
+                    kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 3]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "block", "keys", "sizes", "places"])
+
+    def add(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys, weight = (np.concatenate([np.zeros(0, t), *[c.to_numpy() for c in right.column(i).chunks]]) for i, t in ((1, np.int64), (2, np.float64)))
+        keys = keys.astype(np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        keys, weight, out = keys[order], weight[order], []
+        for r in left.to_pylist() if len(keys) else ():
+            asked, sizes, places = np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["sizes"], np.uint32), np.frombuffer(r["places"], np.uint16)
+            at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+            here, of = np.unique(places, return_inverse=True)
+            gain = np.bincount(of, np.repeat(np.where(keys[at] == asked, weight[at], 0.0), sizes), len(here))
+            out.append((r["block"], here.tobytes(), gain.tobytes()))
+        cols = list(zip(*out, strict=True)) if out else [()] * 3
+        return pa.table([pa.array(c, x) for c, x in zip(cols, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["block", "places", "gain"])
+
+    sent = blocks.mapInArrow(send, "bucket long, block long, keys binary, sizes binary, places binary")
+    own = weights.select(F.pmod("key", F.lit(buckets)).alias("bucket"), "key", "weight")
+    return common.shared_table(sent.groupBy("bucket").cogroup(own.groupBy("bucket")).applyInArrow(add, "block long, places binary, gain binary"), "lm-gains")
+
+
+def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", max_depth: int = MAX_DEPTH, min_count: int = MIN_COUNT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text.
 
     A text's tokens are its words and one end. base_score adds log10 of their add-half probabilities. score is their
@@ -244,127 +368,54 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", max_de
     context before it, which may reach back to the text's start. Null texts are empty. Null ids are not held out and so
     train. Repeated rows count and score as often as they come; other columns aren't read.
 
-    All words and sequences are counted by shuffle, and the tree is a table that grows with the input. Frequent words, of
-    bounded number, are scored in the pass over the texts, the others by a join on the word: a block of documents sends
-    each of its words once, with the documents that have it. The tree's weights likewise, by sequence.
-    Words and sequences have keys of 64 bits.
+    Texts are split once, into blocks of word numbers; the passes after that work on arrays. All words, by themselves, and
+    all sequences of up to max_depth + 1 words, by keys of 64 bits, are counted exactly, by shuffle; the tree is a table
+    that grows with the input, joined by shuffle too. Sequences seen less than min_count times aren't in the tree, nor
+    contexts of more than max_depth words, whatever they would add.
     """
     spark = docs.sparkSession
+    common.bounded_batches(spark)
     held = F.coalesce(common.remainder(F.col(key), FOLDS) == HELD, F.lit(False))
-    rows = docs.select(F.col(key), held.alias("held_out"), F.col(text).alias("text"))
-    texts = rows.where(~F.col("held_out")).count()
-    vocabulary = common.shared_table(count_words(rows), "lm-words")
-    n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
+    blocks = read_blocks(docs.select(key, held.alias("held_out"), F.col(text).alias("text")), key)
+    of_all = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda x, y: x + y)).alias("n"), F.sum(F.size(F.filter("held", lambda h: ~h))).alias("texts")).first()
+    texts, buckets = of_all.texts or 0, max(MIN_BUCKETS, (of_all.n or 0) // BUCKET_TOKENS)
+    words = count_words(blocks, buckets, min_count)
+    n, v = words.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
     n, v = n + texts, v + (texts > 0)
-
-    def base(c) -> np.ndarray:
-        return np.log10((np.asarray(c, np.float64) + 0.5) / (n + 0.5 * (v + 1)))
+    total = float(np.log10(n + 0.5 * (v + 1)))
 
     def root(c: Column) -> Column:
-        return F.log10((c + F.lit(0.5)) / F.lit(n + 0.5 * (v + 1)))
-
-    least = max(min_count, int(np.ceil(min_share * n)))
-    weights = weigh(rows.select("text", "held_out"), vocabulary, root, texts, least, max_depth)
-    often = F.col("n") >= least_shared(weights, MAX_SHARED_WEIGHTS)
-    found, rest = weights.where(often).select("key", "weight").toArrow(), weights.where(~often)
-    keys = np.array(found.column("key"), np.int64).view(np.uint64)
-    order, n_rest = np.argsort(keys), rest.count()
-    tree = keys[order], np.array(found.column("weight"), np.float64)[order], mark(rest, n_rest) if n_rest else None
-    tree = spark.sparkContext.broadcast(tree)
-    frequent = vocabulary.where(F.col("c") >= max(min_count, int(np.ceil(SHARED_SHARE * n)))).toArrow()  # 1 / SHARED_SHARE rows at most
-    known = spark.sparkContext.broadcast(dict(zip(frequent.column("token").to_pylist(), base(frequent.column("c").to_numpy()).tolist(), strict=True)))
-    of_end = float(base(texts))
-    id_type = docs.schema[key].dataType.simpleString()
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of documents, and for each block and infrequent word, or sequence of the tree that isn't shared, a row with
-        the places of the documents that have it."""
-        block, own, shared, hashes = TaskContext.get().partitionId() << 32, known.value, tree.value, Hashes()
-        head, lists, grams, size = [], {}, [], 0
-        names = ["block", "place", key, "held_out", "n_tokens", "known", "base", "gain", "token", "gram", "places"]
-        kinds = [pa.int64(), pa.int32(), None, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64(), pa.binary()]
-
-        def listed(ks: list, words: list | None, sequences: np.ndarray | None, packed: list) -> pa.RecordBatch:
-            m = len(packed)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([block] * m, ks[0]), *[pa.nulls(m, k) for k in ks[1:8]], pa.nulls(m, ks[8]) if words is None else pa.array(words, ks[8]), pa.nulls(m, ks[9]) if sequences is None else pa.array(sequences, ks[9]), pa.array(packed, ks[10])], names=names
-            )
-
-        def handed(id_kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-            nonlocal block, head, lists, grams, size
-            cols = list(zip(*head, strict=True))
-            ks = [k or id_kind for k in kinds]
-            yield pa.RecordBatch.from_arrays([pa.array([block] * len(head), ks[0])] + [pa.array(c, k) for c, k in zip(cols, ks[1:8], strict=True)] + [pa.nulls(len(head), k) for k in ks[8:]], names=names)
-            ws = list(lists)
-            for i in range(0, len(ws), 50_000):
-                some = ws[i : i + 50_000]
-                yield listed(ks, some, None, [np.array(lists[w], np.uint16).tobytes() for w in some])
-            if grams:
-                keys, places = (np.concatenate(x) for x in zip(*grams, strict=True))
-                order = np.argsort(keys)
-                keys, places = keys[order], places[order]
-                edges = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)]), len(keys))
-                for i in range(0, len(edges) - 1, 50_000):
-                    cuts = edges[i : i + 50_001].tolist()
-                    yield listed(ks, None, keys[edges[i : i + 50_001][:-1]].view(np.int64), [places[a:b].tobytes() for a, b in itertools.pairwise(cuts)])
-            block, head, lists, grams, size = block + 1, [], {}, [], 0
-
-        for part in parts(batches):
-            id_kind = part.column(key).type
-            if head and (len(head) + part.num_rows > BLOCK_DOCS or size > BLOCK_BYTES):
-                yield from handed(id_kind)
-            split = [tokens(t.as_py()) for t in part.column("text")]
-            gains, (keys, of) = np.zeros(len(split)), read_words(split, hashes)
-            for _ in range(max_depth + 1):
-                at = of[: len(keys)]
-                ok = inside(of, len(keys))
-                hit = np.zeros(len(keys), bool)
-                if len(shared[0]):
-                    place = np.minimum(np.searchsorted(shared[0], keys), len(shared[0]) - 1)
-                    hit = ok & (shared[0][place] == keys)
-                    gains += np.bincount(at[hit], shared[1][place[hit]], len(split))
-                if n_rest:
-                    ok &= ~hit & marked(shared[2], keys)
-                    grams.append((keys[ok], (at[ok] + len(head)).astype(np.uint16)))
-                    size += 10 * int(ok.sum())
-                keys = longer(keys)
-            for i, held_out, ws, gain in zip(part.column(key).to_pylist(), part.column("held_out").to_pylist(), split, gains.tolist(), strict=True):
-                roots = np.fromiter(map(own.get, ws, itertools.repeat(np.nan)), np.float64, len(ws))
-                rare = np.isnan(roots)
-                for j in np.flatnonzero(rare).tolist():
-                    lists.setdefault(ws[j], []).append(len(head))
-                head.append((len(head), i, held_out, len(ws) + 1, len(ws) - int(rare.sum()) + (texts > 0), float(roots[~rare].sum()) + of_end, gain))
-                size += 6 * len(ws)
-        if head:
-            yield from handed(id_kind)
-
-    schema = f"block long, place int, `{key}` {id_type}, held_out boolean, n_tokens long, known long, base double, gain double, token binary, gram long, places binary"
-    out = common.shared_table(rows.mapInArrow(read, schema), "lm-parts")
-    joined = out.where("token is not null").select("block", "token", "places").join(vocabulary, "token").select("block", "places", (F.col("c") > 0).cast("int").alias("known"), root(F.col("c")).alias("base"), F.lit(0.0).alias("gain"))
-    if n_rest:
-        more = out.where("gram is not null").select("block", F.col("gram").alias("key"), "places").join(rest.hint("merge"), "key")
-        joined = joined.unionByName(more.select("block", "places", F.lit(0).alias("known"), F.lit(0.0).alias("base"), F.col("weight").alias("gain")))
-    names = ["known", "base", "gain"]
-
-    def add(of: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums of a block's documents, to which a batch of rows at a time adds."""
-        sums = np.zeros((3, BLOCK_DOCS))
-        for batch in batches:
-            lists = batch.column("places").to_pylist()
-            sizes = np.fromiter((len(x) // 2 for x in lists), np.int64, len(lists))
-            at = np.frombuffer(b"".join(lists), np.uint16)
-            for row, name in zip(sums, names, strict=True):
-                row += np.bincount(at, np.repeat(batch.column(name).to_numpy(), sizes), BLOCK_DOCS)
-        at = np.flatnonzero(sums.any(axis=0))
-        known, base, gain = sums[:, at]
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), of[0].as_py())), pa.array(at.astype(np.int32)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(gain)], names=["block", "place", "more_known", "more_base", "more_gain"])
-
-    sums = joined.groupBy("block").applyInArrow(add, "block long, place int, more_known long, more_base double, more_gain double")
-    own = out.where("token is null and gram is null").drop("token", "gram", "places").join(sums, ["block", "place"], "left").fillna(0, ["more_known", "more_base", "more_gain"])
-    total = F.col("base") + F.col("more_base")
-    return own.select(
-        key, "held_out", "n_tokens", (F.col("known") + F.col("more_known")).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), total.alias("base_score"), (total + F.col("gain") + F.col("more_gain")).alias("score")
-    )
+        return F.log10(c + F.lit(0.5)) - F.lit(total)
+
+    ends = spark.createDataFrame([(int(k), texts) for k in hashes([START, END]).view(np.int64)], "key long, n long")
+    known = words.where("keys is not null").select(F.explode(F.arrays_zip("keys", "n")).alias("x")).select(F.col("x.keys").alias("key"), F.col("x.n").alias("n")).unionByName(ends)
+    weights = weigh(blocks, known, root, buckets, min_count, max_depth, n) if texts else None
+    replies = words.where("block is not null").select("block", "places", "known", "base", F.lit(None).cast("binary").alias("gain"))
+    if weights is not None:
+        more = gains(blocks, weights, buckets, max_depth)
+        replies = replies.unionByName(more.select("block", "places", F.lit(None).cast("binary").alias("known"), F.lit(None).cast("binary").alias("base"), "gain"))
+    kind = docs.schema[key].dataType.simpleString()
+    of_end = float(np.log10(texts + 0.5))
+
+    def close(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The texts of a block with what the buckets have replied."""
+        rows = []
+        for i in range(left.num_rows):
+            sizes = left.column("sizes")[i].values.to_numpy()
+            sums = {c: np.zeros(len(sizes)) for c in ("known", "base", "gain")}
+            for r in right.to_pylist():
+                at = np.frombuffer(r["places"], np.uint16)
+                for c, t in (("known", np.int32), ("base", np.float64), ("gain", np.float64)):
+                    if r[c] is not None:
+                        sums[c][at] += np.frombuffer(r[c], t)  # a place comes once a row
+            base = sums["base"] + of_end - sizes * total
+            rows.append([left.column("ids")[i].values, left.column("held")[i].values, pa.array(sizes), pa.array(sums["known"].astype(np.int64) + (texts > 0)), pa.array(np.full(len(sizes), n)), pa.array(base), pa.array(base + sums["gain"])])
+        return pa.Table.from_batches([pa.RecordBatch.from_arrays(r, names=[key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]) for r in rows])
+
+    slim = blocks.select("block", "ids", "held", "sizes")
+    # as many tasks as make a block's replies small beside its texts
+    schema = f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return slim.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(close, schema)
 
 
 def op4_suffix_tree_lm(spark, sf_dir: str) -> DataFrame:

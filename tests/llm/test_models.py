@@ -115,7 +115,7 @@ def test_suffix_tree_against_a_plain_one(spark):
     draw = random.Random(3)
     lines = ["all rights are reserved here", "to be or not to be", "one two three"]
     rows = [(i, " ".join(itertools.chain(*[draw.choice([[draw.choice(lines)], [f"w{draw.randrange(30)}"], ["The"]]) for _ in range(12)]))) for i in range(120)] + [(200, None), (201, "never seen before")]
-    out = {r.doc_id: r for r in suffix_tree_lm.score_texts(spark.createDataFrame(rows, DOCS), min_share=0.0, min_count=5).collect()}
+    out = {r.doc_id: r for r in suffix_tree_lm.score_texts(spark.createDataFrame(rows, DOCS), min_count=5).collect()}
     split = {i: (t or "").lower().split() for i, t in rows}
     trained = [t for i, t in split.items() if zlib.crc32(str(i).encode()) % 5 != 1]
     n, v = sum(len(t) + 1 for t in trained), len({w for t in trained for w in t}) + 1
@@ -142,12 +142,11 @@ def test_contexts_of_the_least_count_stay_in_a_large_input(spark, monkeypatch):
     assert math.ceil(out[1000].train_tokens * 5e-6) > trained
     # its words are certain after their contexts, save for the smoothing
     assert out[1000].score > -4 and out[1000].base_score < -14
-    # weights joined by block, and tables joined by shuffle, give the same
-    monkeypatch.setattr(suffix_tree_lm, "MAX_BROADCAST_ROWS", 0)
-    for limit in (0, 5):
-        monkeypatch.setattr(suffix_tree_lm, "MAX_SHARED_WEIGHTS", limit)
-        for r in suffix_tree_lm.score_texts(df.repartition(3)).collect():
-            assert r.score == pytest.approx(out[r.doc_id].score) and r.base_score == pytest.approx(out[r.doc_id].base_score) and r.n_known == out[r.doc_id].n_known
+    # many blocks and buckets, hot sequences dealt with what follows, and tables joined by shuffle, give the same
+    for name, value in (("MAX_BROADCAST_ROWS", 0), ("BLOCK_TOKENS", 20_000), ("BUCKET_TOKENS", 10_000), ("HOT_COUNT", 1_000), ("HOT_SHARE", 0.02)):
+        monkeypatch.setattr(suffix_tree_lm, name, value)
+    for r in suffix_tree_lm.score_texts(df.repartition(3)).collect():
+        assert r.score == pytest.approx(out[r.doc_id].score) and r.base_score == pytest.approx(out[r.doc_id].base_score) and r.n_known == out[r.doc_id].n_known
 
 
 def test_language_model_edges(spark):
