@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import itertools
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -176,52 +175,44 @@ def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield int(bucket[a]), slice(a, b)
 
 
+def word_buckets(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a block but START and END in the order of their buckets, and these."""
+    to = (hashes(words[2:]) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(to, kind="stable")
+    return order + 2, to[order]
+
+
 def count_words(blocks: DataFrame, buckets: int, least: int) -> DataFrame:
-    """Counts of words in training texts. Each block sends its words to buckets by hash, with the places of the texts that
-    have them; a bucket adds up. Rows with a block: for texts (places) how many of their words are known, and the sum of
-    log10(c + 0.5) of all. Other rows: keys and counts n of a bucket's words of `least` occurrences, and how many tokens
-    and distinct words training texts have."""
+    """Counts of words in training texts. Each block sends its distinct words to buckets by hash; a bucket adds up. Rows with
+    a block: the counts (data) of what that block has sent to a bucket. Other rows: keys and counts n of a bucket's words of
+    `least` occurrences, and how many tokens and distinct words training texts have."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, b in each_block(batches):
-            own = b.numbers > 1
-            numbers, of = b.numbers[own], b.of[own]
-            times = np.bincount(numbers[b.trains[own]], minlength=len(b.words)).astype(np.uint32)
-            sizes = np.bincount(numbers, minlength=len(b.words)).astype(np.uint32)
-            places = of[np.argsort(numbers, kind="stable")]
-            ends = np.cumsum(sizes, dtype=np.int64)
-            to = (hashes(b.words) % np.uint64(buckets)).astype(np.int32)
-            order = np.argsort(to[2:], kind="stable") + 2
-            rows = []
-            for bucket, at in by_bucket(to[order]):
-                ws = order[at]
-                took = np.concatenate([places[ends[w] - sizes[w] : ends[w]] for w in ws.tolist()])
-                rows.append((bucket, block, b" ".join([b.words[w] for w in ws.tolist()]), times[ws].tobytes(), sizes[ws].tobytes(), took.tobytes()))
+            times = np.bincount(b.numbers[b.trains], minlength=len(b.words)).astype(np.uint32)
+            order, to = word_buckets(b.words, buckets)
+            rows = [(bucket, block, b" ".join([b.words[w] for w in order[at].tolist()]), times[order[at]].tobytes()) for bucket, at in by_bucket(to)]
             if rows:
-                kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "block", "words", "times", "sizes", "places"])
+                kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "block", "words", "times"])
 
     def add(of: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-        rows = [r for batch in batches for r in batch.to_pylist()]
-        for r in rows:
-            for w, c in zip(r["words"].split(), np.frombuffer(r["times"], np.uint32).tolist(), strict=True):
-                counts[w] += c
-        out = []
-        for r in rows:
-            ws, sizes, places = r["words"].split(), np.frombuffer(r["sizes"], np.uint32), np.frombuffer(r["places"], np.uint16)
-            c = np.fromiter(map(counts.__getitem__, ws), np.float64, len(ws))
-            here, at = np.unique(places, return_inverse=True)
-            known, base = np.bincount(at, np.repeat(c > 0, sizes), len(here)), np.bincount(at, np.repeat(np.log10(c + 0.5), sizes), len(here))
-            out.append((r["block"], here.tobytes(), known.astype(np.int32).tobytes(), base.tobytes(), None, None, None, None))
-        c = np.fromiter(counts.values(), np.int64, len(counts))
-        keys = hashes(list(counts))[c >= least].view(np.int64)
-        out.append((None, None, None, None, keys, c[c >= least], int(c.sum()), int((c > 0).sum())))
-        kinds = [pa.int64(), *[pa.binary()] * 3, pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["block", "places", "known", "base", "keys", "n", "tokens", "distinct"])
-
-    sent = blocks.mapInArrow(send, "bucket int, block long, words binary, times binary, sizes binary, places binary")
-    return common.shared_table(sent.groupBy("bucket").applyInArrow(add, "block long, places binary, known binary, base binary, keys array<long>, n array<long>, tokens long, distinct long"), "lm-words")
+        numbers, sent = Numbers(), []
+        for batch in batches:
+            for block, words, times in zip(batch.column("block").to_pylist(), batch.column("words"), batch.column("times"), strict=True):
+                ws = words.as_py().split()
+                sent.append((block, np.fromiter(map(numbers.__getitem__, ws), np.int64, len(ws)), np.frombuffer(times.as_py(), np.uint32)))
+        c = np.zeros(len(numbers), np.int64)
+        for _, at, times in sent:
+            c[at] += times  # a block has a word once
+        out = [(block, of[0].as_py(), c[at].astype(np.uint32 if c.max(initial=0) < 1 << 32 else np.int64).tobytes(), None, None, None, None) for block, at, _ in sent]
+        keys = hashes([w for w, n in zip(numbers, c.tolist(), strict=True) if n >= least]).view(np.int64)
+        out.append((None, None, None, keys, c[c >= least], int(c.sum()), int((c > 0).sum())))
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["block", "bucket", "data", "keys", "n", "tokens", "distinct"])
+
+    sent = blocks.mapInArrow(send, "bucket int, block long, words binary, times binary")
+    return common.shared_table(sent.groupBy("bucket").applyInArrow(add, "block long, bucket int, data binary, keys array<long>, n array<long>, tokens long, distinct long"), "lm-words")
 
 
 def count_sequences(blocks: DataFrame, k: int, known: DataFrame, n_known: int, buckets: int, least: int, tokens_: int) -> DataFrame:
@@ -316,48 +307,58 @@ def weigh(blocks: DataFrame, known: DataFrame, root, buckets: int, least: int, m
     return common.shared_table(reduce(DataFrame.unionByName, weights).groupBy("key").agg(F.sum("weight").alias("weight")), "lm-weights")
 
 
-def gains(blocks: DataFrame, weights: DataFrame, buckets: int, max_depth: int) -> DataFrame:
-    """(block, places, gain): what the weights of its sequences add to each text. A block sends the sequences that may have
-    a weight to buckets by hash, with the places of the texts that have them."""
-    n = weights.count()
-    shared = blocks.sparkSession.sparkContext.broadcast(mark(weights, n))
+def asked(b: Block, bits: np.ndarray, max_depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For sequences of each length k: the distinct keys that may have a weight, in order, how often the block has each, and
+    the places of the texts that have them, key by key. Single words come once, without places."""
+    keys = hashes(b.words)
+    own = np.sort(keys[marked(bits, keys)])
+    yield 1, own, np.ones(len(own), np.int64), np.zeros(0, np.uint16)
+    keys = keys[b.numbers]
+    for k in range(2, max_depth + 2):
+        keys = longer(keys)
+        at = np.flatnonzero(marked(bits, keys) & inside(b.of, len(keys)))
+        key, place = keys[at], b.of[at]
+        order = np.argsort(key)
+        key = key[order]
+        cuts = starts(key)
+        yield k, key[cuts[:-1]], np.diff(cuts), place[order]
+
+
+def key_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets in the order of the keys."""
+    return ((keys >> np.uint64(33)) * np.uint64(buckets) >> np.uint64(31)).astype(np.int64)
+
+
+def look_up(blocks: DataFrame, weights: DataFrame, bits, buckets: int, max_depth: int) -> DataFrame:
+    """(block, bucket, k, data): the weights, 0 for none, of the sequences that a block has asked a bucket for."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         for block, b in each_block(batches):
-            keys = hashes(b.words)[b.numbers]
-            for k in range(max_depth + 1):
-                keys = longer(keys) if k else keys
-                at = np.flatnonzero(marked(bits, keys) & inside(b.of, len(keys)))
-                key, place = keys[at], b.of[at]
-                to = key.view(np.int64) % buckets  # as pmod
-                order = np.argsort((to.astype(np.uint64) << np.uint64(40)) | (key >> np.uint64(24)))
-                key, place, to = key[order], place[order], to[order]
-                rows = []
-                for bucket, s in by_bucket(to):
-                    cuts = starts(key[s])
-                    rows.append((bucket, block, key[s][cuts[:-1]].tobytes(), np.diff(cuts).astype(np.uint32).tobytes(), place[s].tobytes()))
+            for k, keys, _, _ in asked(b, bits.value, max_depth):
+                rows = [(bucket, block, k, keys[at].tobytes()) for bucket, at in by_bucket(key_bucket(keys, buckets))]
                 if rows:
-                    kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 3]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "block", "keys", "sizes", "places"])
+                    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*rows, strict=True), kinds, strict=True)], names=["bucket", "block", "k", "keys"])
 
-    def add(left: pa.Table, right: pa.Table) -> pa.Table:
+    def reply(left: pa.Table, right: pa.Table) -> pa.Table:
         keys, weight = (np.concatenate([np.zeros(0, t), *[c.to_numpy() for c in right.column(i).chunks]]) for i, t in ((1, np.int64), (2, np.float64)))
         keys = keys.astype(np.int64).view(np.uint64)
         order = np.argsort(keys)
         keys, weight, out = keys[order], weight[order], []
-        for r in left.to_pylist() if len(keys) else ():
-            asked, sizes, places = np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["sizes"], np.uint32), np.frombuffer(r["places"], np.uint16)
-            at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-            here, of = np.unique(places, return_inverse=True)
-            gain = np.bincount(of, np.repeat(np.where(keys[at] == asked, weight[at], 0.0), sizes), len(here))
-            out.append((r["block"], here.tobytes(), gain.tobytes()))
-        cols = list(zip(*out, strict=True)) if out else [()] * 3
-        return pa.table([pa.array(c, x) for c, x in zip(cols, (pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["block", "places", "gain"])
-
-    sent = blocks.mapInArrow(send, "bucket long, block long, keys binary, sizes binary, places binary")
-    own = weights.select(F.pmod("key", F.lit(buckets)).alias("bucket"), "key", "weight")
-    return common.shared_table(sent.groupBy("bucket").cogroup(own.groupBy("bucket")).applyInArrow(add, "block long, places binary, gain binary"), "lm-gains")
+        for bucket, block, k, want in zip(*(left.column(c).to_pylist() for c in ("bucket", "block", "k", "keys")), strict=True):
+            want = np.frombuffer(want, np.uint64)
+            found = np.zeros(len(want))
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+                found = np.where(keys[at] == want, weight[at], 0.0)
+            out.append((block, bucket, k, found.astype(np.float32).tobytes()))
+        cols = list(zip(*out, strict=True)) if out else [()] * 4
+        return pa.table([pa.array(c, x) for c, x in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["block", "bucket", "k", "data"])
+
+    sent = blocks.mapInArrow(send, "bucket long, block long, k int, keys binary")
+    top = F.shiftrightunsigned(F.col("key"), 33) * F.lit(buckets).cast("long")
+    own = weights.select(F.shiftright(top, 31).alias("bucket"), "key", "weight")
+    return common.shared_table(sent.groupBy("bucket").cogroup(own.groupBy("bucket")).applyInArrow(reply, "block long, bucket long, k int, data binary"), "lm-replies")
 
 
 def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", max_depth: int = MAX_DEPTH, min_count: int = MIN_COUNT) -> DataFrame:
@@ -370,8 +371,8 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", max_de
 
     Texts are split once, into blocks of word numbers; the passes after that work on arrays. All words, by themselves, and
     all sequences of up to max_depth + 1 words, by keys of 64 bits, are counted exactly, by shuffle; the tree is a table
-    that grows with the input, joined by shuffle too. Sequences seen less than min_count times aren't in the tree, nor
-    contexts of more than max_depth words, whatever they would add.
+    that grows with the input, and blocks ask its buckets for the weights of what they have. Sequences seen less than
+    min_count times aren't in the tree, nor contexts of more than max_depth words, whatever they would add.
     """
     spark = docs.sparkSession
     common.bounded_batches(spark)
@@ -390,32 +391,46 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", max_de
     ends = spark.createDataFrame([(int(k), texts) for k in hashes([START, END]).view(np.int64)], "key long, n long")
     known = words.where("keys is not null").select(F.explode(F.arrays_zip("keys", "n")).alias("x")).select(F.col("x.keys").alias("key"), F.col("x.n").alias("n")).unionByName(ends)
     weights = weigh(blocks, known, root, buckets, min_count, max_depth, n) if texts else None
-    replies = words.where("block is not null").select("block", "places", "known", "base", F.lit(None).cast("binary").alias("gain"))
+    replies = words.where("block is not null").select("block", F.col("bucket").cast("long"), F.lit(0).alias("k"), "data")
+    bits = None
     if weights is not None:
-        more = gains(blocks, weights, buckets, max_depth)
-        replies = replies.unionByName(more.select("block", "places", F.lit(None).cast("binary").alias("known"), F.lit(None).cast("binary").alias("base"), "gain"))
+        bits = spark.sparkContext.broadcast(mark(weights, weights.count()))
+        replies = replies.unionByName(look_up(blocks, weights, bits, buckets, max_depth))
+        common.drop_tables(weights)
     kind = docs.schema[key].dataType.simpleString()
     of_end = float(np.log10(texts + 0.5))
 
     def close(left: pa.Table, right: pa.Table) -> pa.Table:
         """The texts of a block with what the buckets have replied."""
-        rows = []
-        for i in range(left.num_rows):
-            sizes = left.column("sizes")[i].values.to_numpy()
-            sums = {c: np.zeros(len(sizes)) for c in ("known", "base", "gain")}
-            for r in right.to_pylist():
-                at = np.frombuffer(r["places"], np.uint16)
-                for c, t in (("known", np.int32), ("base", np.float64), ("gain", np.float64)):
-                    if r[c] is not None:
-                        sums[c][at] += np.frombuffer(r[c], t)  # a place comes once a row
-            base = sums["base"] + of_end - sizes * total
-            rows.append([left.column("ids")[i].values, left.column("held")[i].values, pa.array(sizes), pa.array(sums["known"].astype(np.int64) + (texts > 0)), pa.array(np.full(len(sizes), n)), pa.array(base), pa.array(base + sums["gain"])])
-        return pa.Table.from_batches([pa.RecordBatch.from_arrays(r, names=[key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]) for r in rows])
-
-    slim = blocks.select("block", "ids", "held", "sizes")
-    # as many tasks as make a block's replies small beside its texts
+        ids, held_out, sizes = (left.column(c)[0].values for c in ("ids", "held", "sizes"))
+        sizes = sizes.to_numpy()
+        b = Block(left.column("words")[0].as_py(), left.column("tokens")[0].as_py(), sizes, held_out.to_numpy(zero_copy_only=False))
+        said: dict[int, list] = {}
+        for k, bucket, data in sorted(zip(*(right.column(c).to_pylist() for c in ("k", "bucket", "data")), strict=True)):
+            said.setdefault(k, []).append(data)
+        order, to = word_buckets(b.words, buckets)
+        c = np.zeros(len(b.words))
+        sent = [at.stop - at.start for _, at in by_bucket(to)]
+        if len(order):
+            c[order] = np.concatenate([np.frombuffer(d, np.uint32 if len(d) == 4 * m else np.int64) for d, m in zip(said[0], sent, strict=True)])
+        own = b.numbers > 1
+        places, numbers, m = b.of[own], b.numbers[own], len(sizes)
+        known = np.bincount(places, (c > 0)[numbers], m).astype(np.int64) + (texts > 0)
+        base = np.bincount(places, np.log10(c + 0.5)[numbers], m) + of_end - sizes * total
+        gain = np.zeros(m)
+        for k, keys, times, at in asked(b, bits.value, max_depth) if bits is not None else ():
+            w = np.concatenate([np.zeros(0, np.float32), *[np.frombuffer(d, np.float32) for d in said.get(k, ())]]).astype(np.float64)
+            if k > 1:
+                gain += np.bincount(at, np.repeat(w, times), m)
+            elif len(keys):
+                of_word = hashes(b.words)
+                place = np.minimum(np.searchsorted(keys, of_word), len(keys) - 1)
+                gain += np.bincount(b.of, np.where(keys[place] == of_word, w[place], 0.0)[b.numbers], m)
+        cols = [ids, held_out, pa.array(sizes), pa.array(known), pa.array(np.full(m, n)), pa.array(base), pa.array(base + gain)]
+        return pa.table(cols, names=[key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
     schema = f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return slim.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(close, schema)
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(close, schema)
 
 
 def op4_suffix_tree_lm(spark, sf_dir: str) -> DataFrame:
