@@ -47,7 +47,7 @@ class Rules:
     chunk_bytes: int = 1024
     chunk_low: float = 0.485
     chunk_high: float = 0.74
-    #: Rejected if more than this share of the whole chunks lies outside the chunk limits.
+    #: Rejected if more than this share of the chunks lies outside the chunk limits.
     max_bad_chunks: float = 0.3
     min_words: int = 10
     max_repeat_percent: int = 20
@@ -83,6 +83,15 @@ def duplicate_lines(data: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+def chunks(data: bytes, size: int) -> list[bytes]:
+    """The whole chunks of a text and, where it goes on behind them, its last `size` bytes. A text that isn't longer than a
+    chunk has none: the limits of whole texts judge it."""
+    if len(data) <= size:
+        return []
+    out = [data[i : i + size] for i in range(0, len(data) - size + 1, size)]
+    return out + [data[-size:]] if len(data) % size else out
+
+
 def judge(data: bytes, rules: Rules, pack: zstandard.ZstdCompressor) -> tuple:
     """The values of OUTPUT for a text's UTF-8 bytes."""
     ws = data.split()  # bytes split at exactly the white space of common.SPACE
@@ -97,39 +106,38 @@ def judge(data: bytes, rules: Rules, pack: zstandard.ZstdCompressor) -> tuple:
     reason = "words" if n < rules.min_words else "repeats" if failed else None
     size = len(data)
     ratio = len(pack.compress(data)) / size if size else None
-    whole = size // rules.chunk_bytes
-    bad = 0
-    if whole >= 2 and not failed:
-        ratios = (len(pack.compress(data[i * rules.chunk_bytes : (i + 1) * rules.chunk_bytes])) / rules.chunk_bytes for i in range(whole))
-        bad = sum(not rules.chunk_low <= x <= rules.chunk_high for x in ratios)
+    parts = chunks(data, rules.chunk_bytes)
+    bad = sum(not rules.chunk_low <= len(pack.compress(x)) / rules.chunk_bytes <= rules.chunk_high for x in parts)
     if reason is None and ratio is not None:
         band = next(b for b in rules.bands if size < b.below)
         if ratio < band.low:
             reason = "repetitive"
         elif ratio > band.high:
             reason = "incompressible"
-        elif bad > rules.max_bad_chunks * whole:
+        elif bad > rules.max_bad_chunks * len(parts):
             reason = "chunks"
-    return n, word_chars, symbols, duplicate_lines(data), repeats, failed, ratio, whole, bad, reason, reason is None
+    return n, word_chars, symbols, duplicate_lines(data), repeats, failed, ratio, len(parts), bad, reason, reason is None
 
 
 def quality_rules(docs: DataFrame, text: str = "text", keep: Sequence[str] | None = None, rules: Rules = Rules()) -> DataFrame:
     """Judge every whole text; adds the columns of OUTPUT to the columns `keep` (all by default).
 
-    Null and empty texts have no words and so fail the base rule; their ratio is null. Repeated rows are judged
+    A text is rejected by the base rule, by its ratio, whose limits depend on its length, or by its chunks, the last one
+    reaching back from the text's end; n_bad_chunks counts them whatever else a text fails. Null and empty texts have no words and so fail the base rule; their ratio is null. Repeated rows are judged
     alike. Columns of docs that share a name with one of OUTPUT are left out. One pass, no shuffle.
     """
     common.bounded_batches(docs.sparkSession)
     added = [f.split()[0] for f in OUTPUT.split(", ")]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    source = docs.select(*kept, docs[text].alias("__text"))
+    own = common.free_name("own_text", kept)
+    source = docs.select(*kept, docs[text].alias(own))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]] + [OUTPUT])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=rules.level)
         for batch in batches:
-            for part in common.slices(batch, "__text"):
-                rows = [judge((t or "").encode(), rules, pack) for t in part.column("__text").to_pylist()]
+            for part in common.slices(batch, own):
+                rows = [judge((t or "").encode(), rules, pack) for t in part.column(own).to_pylist()]
                 values = list(zip(*rows, strict=True)) if rows else [()] * len(added)
                 kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays(part.columns[:-1] + [pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=kept + added)
