@@ -64,41 +64,48 @@ def mix_sources(
     Each source takes round(target) words: every row floor(target / source_size) times, then rows in the order of
     md5(seed, key) once more until the words are reached; the row at the edge gives only the words still missing.
     So sums are exact, no row gives over max_epochs times its size, and reruns agree. Null sources are one source,
-    the last; null keys sort first by their hash of ''. Equal rows tie and are interchangeable. Rows of size 0 take 0.
+    the last; null keys are ordered by a hash of their size. Equal rows tie and are interchangeable. Rows of size 0 take 0.
+    Columns of docs named like one of the added ones are replaced.
 
     The rows of a source are never ordered in one task: they fall in buckets by hash, sums of buckets tell which
     bucket holds the edge, and only that bucket is ordered.
     """
     own = [c for c in docs.columns if c not in ("source_size", "target", "whole", "part", "taken")]
-    hashed = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))), 1, 12), 16, 10).cast("long")
-    rows = docs.select(*own, F.col(source).alias("__source"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("__size"), hashed.alias("__hash"))
-    sums = common.shared_table(rows.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size"), F.count("*").alias("rows")), "mix-sums")
+    name = {c: common.free_name(c, docs.columns) for c in ("of", "size_", "hash", "s", "extra", "buckets", "bucket", "es", "edge", "before")}
+    col = {k: F.col(c) for k, c in name.items()}
+    n_words = F.coalesce(F.col(size).cast("long"), F.lit(0))
+    said = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("#"), n_words.cast("string")))
+    hashed = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), said)), 1, 12), 16, 10).cast("long")
+    rows = docs.select(*own, F.col(source).alias(name["of"]), n_words.alias(name["size_"]), hashed.alias(name["hash"]))
+    sums = common.shared_table(rows.groupBy(col["of"].alias("source")).agg(F.sum(col["size_"]).alias("source_size"), F.count("*").alias("rows")), "mix-sums")
     n_sources = sums.count()
     quota = F.round("target").cast("long")
     plan = water_fill(sums, weights, Decimal(budget), max_epochs).select(
-        F.col("source").alias("s"),
+        F.col("source").alias(name["s"]),
         "source_size",
         "target",
-        F.when(F.col("source_size") > 0, F.expr("cast(round(target) as long) div source_size")).otherwise(0).alias("whole"),
-        F.when(F.col("source_size") > 0, quota % F.col("source_size")).otherwise(0).alias("extra"),
-        F.greatest(F.lit(1), F.ceil(F.col("rows") / BUCKET_ROWS)).alias("buckets"),
+        F.when(F.col("source_size") > 0, F.expr("cast(round(target) as long) div source_size")).otherwise(0).cast("long").alias("whole"),
+        F.when(F.col("source_size") > 0, quota % F.col("source_size")).otherwise(0).alias(name["extra"]),
+        F.greatest(F.lit(1), F.ceil(F.col("rows") / BUCKET_ROWS)).alias(name["buckets"]),
     )
     plan = common.shared_table(plan, "mix-plan")
     small = common.bounded_broadcast(plan, n_sources, MAX_BROADCAST_SOURCES)
-    joined = rows.join(small, F.col("__source").eqNullSafe(F.col("s"))).withColumn("__bucket", F.expr("cast(floor(__hash / 281474976710656D * buckets) as long)"))
-    in_bucket = joined.groupBy("s", "__bucket", "extra").agg(F.sum("__size").alias("n"))
+    bucket = F.floor(col["hash"] / F.lit(281474976710656.0) * col["buckets"]).cast("long")
+    joined = rows.join(small, col["of"].eqNullSafe(col["s"])).withColumn(name["bucket"], bucket)
+    in_bucket = joined.groupBy(col["s"], col["bucket"], col["extra"]).agg(F.sum(col["size_"]).alias("n"))
     # the buckets of a source are few: its rows / BUCKET_ROWS; their running sums tell where the edge lies
-    running = in_bucket.withColumn("upto", F.sum("n").over(Window.partitionBy("s").orderBy("__bucket"))).where("upto > extra")
-    edges = running.groupBy("s").agg(F.min(F.struct("__bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("e"))
-    edges = common.shared_table(edges.select(F.col("s").alias("es"), F.col("e.__bucket").alias("edge"), F.col("e.before").alias("before")), "mix-edges")
-    joined = joined.join(common.bounded_broadcast(edges, n_sources, MAX_BROADCAST_SOURCES), F.col("s").eqNullSafe(F.col("es")), "left")
-    settled = joined.where("edge is null or __bucket != edge").withColumn("part", F.when(F.col("edge").isNull() | (F.col("__bucket") < F.col("edge")), F.least("__size", "extra")).otherwise(0))
-    order = Window.partitionBy("s").orderBy("__hash", F.col(key).asc_nulls_first(), "__size").rowsBetween(Window.unboundedPreceding, -1)
-    upto = F.col("before") + F.coalesce(F.sum("__size").over(order), F.lit(0))
-    at_edge = joined.where("__bucket = edge").withColumn("part", F.greatest(F.lit(0), F.least(F.col("__size"), F.col("extra") - upto)))
-    names = [F.col(c) for c in own]
-    done = settled.unionByName(at_edge)
-    return done.select(*names, "source_size", "target", F.col("whole").cast("long").alias("whole"), F.col("part").cast("long").alias("part"), (F.col("whole") * F.col("__size") + F.col("part")).cast("long").alias("taken"))
+    running = in_bucket.withColumn("upto", F.sum("n").over(Window.partitionBy(col["s"]).orderBy(col["bucket"]))).where(F.col("upto") > col["extra"])
+    edges = running.groupBy(col["s"]).agg(F.min(F.struct(col["bucket"].alias("b"), (F.col("upto") - F.col("n")).alias("before"))).alias("e"))
+    edges = common.shared_table(edges.select(col["s"].alias(name["es"]), F.col("e.b").alias(name["edge"]), F.col("e.before").alias(name["before"])), "mix-edges")
+    joined = joined.join(common.bounded_broadcast(edges, n_sources, MAX_BROADCAST_SOURCES), col["s"].eqNullSafe(col["es"]), "left")
+    at_edge = F.coalesce(col["bucket"] == col["edge"], F.lit(False))
+    before_edge = col["edge"].isNull() | (col["bucket"] < col["edge"])
+    settled = joined.where(~at_edge).withColumn("part", F.when(before_edge, F.least(col["size_"], col["extra"])).otherwise(0))
+    order = Window.partitionBy(col["s"]).orderBy(col["hash"], F.col(key).asc_nulls_first(), col["size_"]).rowsBetween(Window.unboundedPreceding, -1)
+    upto = col["before"] + F.coalesce(F.sum(col["size_"]).over(order), F.lit(0))
+    split = joined.where(at_edge).withColumn("part", F.greatest(F.lit(0), F.least(col["size_"], col["extra"] - upto)))
+    taken = F.col("whole") * col["size_"] + F.col("part")
+    return settled.unionByName(split).select(*own, "source_size", "target", "whole", F.col("part").cast("long").alias("part"), taken.cast("long").alias("taken"))
 
 
 def repetitions(mixed: DataFrame, text: str = "text") -> DataFrame:
@@ -106,8 +113,9 @@ def repetitions(mixed: DataFrame, text: str = "text") -> DataFrame:
     own = [c for c in mixed.columns if c not in ("source_size", "target", "whole", "part", "taken")]
     starts = F.split(F.regexp_replace(F.col(text), f"^[{common.SPACE}]+", ""), f"(?<=[{common.SPACE}])(?=[^{common.SPACE}])")
     cut = F.array_join(F.slice(starts, F.lit(1), F.col("part").cast("int")), "")
-    rows = mixed.withColumn("__n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole")))).where("__n < whole or part > 0")
-    return rows.withColumn(text, F.when((F.col("__n") < F.col("whole")) | (F.col("part") >= F.col("size")), F.col(text)).otherwise(cut)).select(*own)
+    n = common.free_name("turn", mixed.columns)
+    rows = mixed.withColumn(n, F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole")))).where((F.col(n) < F.col("whole")) | (F.col("part") > 0))
+    return rows.withColumn(text, F.when((F.col(n) < F.col("whole")) | (F.col("part") >= F.col("size")), F.col(text)).otherwise(cut)).select(*own)
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -138,7 +146,7 @@ plan AS (SELECT source, source_size, least(CAST(cap AS DOUBLE), coalesce(weight
 rows AS (
   SELECT s.*, p.source_size, p.target, CAST(round(p.target) AS BIGINT) AS quota,
          coalesce(sum(size) OVER (PARTITION BY s.source
-           ORDER BY substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12), doc_id NULLS FIRST, size
+           ORDER BY substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '#' || size)), 1, 12), doc_id NULLS FIRST, size
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, target,
