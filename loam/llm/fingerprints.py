@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loam.llm import common
@@ -19,6 +19,8 @@ from loam.llm import common
 SAMPLES = 64
 #: Words whose random variables a task remembers.
 WORD_CACHE = 40_000
+#: Words of a text that are sampled at once.
+SLICE_WORDS = 4_096
 #: Longest length, in bytes, that adds to a word's weight.
 LONGEST = 16
 
@@ -80,16 +82,24 @@ class Sampler:
         return np.fromiter((self.place[w] for w in ws), np.int64, len(ws))
 
     def signature(self, text: str | None) -> np.ndarray:
-        """16-bit samples; none for a text without words."""
+        """16-bit samples; none for a text without words. Words are taken in slices, of which the least values are kept, so
+        that a text of many distinct words needs no more memory than its words."""
         ws, w = weights(text)
         if not ws:
             return np.zeros(0, np.uint16)
-        at = self._places(ws)
-        r, ln_c, b = (self.table[i][at] for i in range(3))
-        point = np.floor(np.log(w).astype(np.float32)[:, None] / r + b)
-        first = (ln_c - r * (point - b) - r).argmin(axis=0)
         k = np.arange(self.samples)
-        return (_mixed(self.hash[at[first]] + point[first, k].astype(np.int64).astype(np.uint64) * _GOLD) >> np.uint64(48)).astype(np.uint16)
+        least, hashes, points = np.full(self.samples, np.inf, np.float32), np.zeros(self.samples, np.uint64), np.zeros(self.samples, np.uint64)
+        for i in range(0, len(ws), SLICE_WORDS):
+            at = self._places(ws[i : i + SLICE_WORDS])
+            r, ln_c, b = (self.table[j][at] for j in range(3))
+            point = np.floor(np.log(w[i : i + SLICE_WORDS]).astype(np.float32)[:, None] / r + b)
+            value = ln_c - r * (point - b) - r
+            first = value.argmin(axis=0)
+            better = value[first, k] < least
+            least = np.where(better, value[first, k], least)
+            hashes = np.where(better, self.hash[at[first]], hashes)
+            points = np.where(better, point[first, k].astype(np.int64).astype(np.uint64), points)
+        return (_mixed(hashes + points * _GOLD) >> np.uint64(48)).astype(np.uint16)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -131,6 +141,8 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """doc_id, n_chars, fingerprint (hexadecimal, 4 digits a sample) of every text. One pass, no shuffle. Null texts are
     empty; texts without words have an empty fingerprint; equal texts have equal ones."""
 
+    common.bounded_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler()
         for batch in batches:
@@ -147,7 +159,8 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text")
     Documents are dealt by ranges of the key and ordered there, so that all but a range's last have their next one
     beside them; the last ones meet the first ones of the following ranges in a table of two rows a range.
     """
-    common.bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    common.bounded_batches(spark)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
@@ -169,11 +182,12 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text")
             yield _batch([(before[0], None, None, None, None, None, None, part, "last", before[1])], kinds, names)
 
     found = common.shared_table(ordered.mapInArrow(run, f"{SCHEMA}, part int, edge string, text string"), "fingerprints")
-    # at most two rows a range, whatever the input
-    order = Window.orderBy("part")
-    firsts, lasts = (found.where(F.col("edge") == e).select("doc_id", "text", F.row_number().over(order).alias("i")) for e in ("first", "last"))
-    n = firsts.count()
-    pairs = lasts.withColumn("j", F.col("i") % max(1, n) + 1).join(firsts.select(F.col("i").alias("j"), F.col("text").alias("following")), "j")
+    # two rows a range, whatever the input; the numbers of the ranges that have rows go to the driver, their texts don't
+    parts = sorted(r.part for r in found.where("edge = 'first'").select("part").collect())
+    after = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1], strict=True)), "part int, next int")
+    firsts = found.where("edge = 'first'").select(F.col("part").alias("next"), F.col("text").alias("following"))
+    lasts = found.where("edge = 'last'").select("doc_id", "text", "part")
+    pairs = lasts.join(F.broadcast(after), "part").join(firsts.hint("merge"), "next")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler()
