@@ -470,7 +470,8 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[
     """
     common.bounded_batches(docs.sparkSession)
     kept = [key] if keep is None else [c for c in keep if c not in [f.split()[0] for f in SAMPLE.split(", ")]]
-    source = docs.select(*kept, F.coalesce(docs[key].cast("string"), F.lit("")).alias("__key"), docs[text].alias("__text"))
+    own_key, own_text = common.free_name("own_key", kept), common.free_name("own_text", kept)
+    source = docs.select(*kept, F.coalesce(docs[key].cast("string"), F.lit("")).alias(own_key), docs[text].alias(own_text))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-2]] + [SAMPLE])
     with open(model, "rb") as file:
         data = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -479,9 +480,9 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[
         vocabulary = Vocabulary(data.value, theta)
         lattices = Lattices(vocabulary)
         for batch in batches:
-            for part in common.slices(batch, "__text", SLICE_BYTES):
-                texts = [t or "" for t in part.column("__text").to_pylist()]
-                found = encode_slice(lattices, texts, [xxhash.xxh64_intdigest(k) for k in part.column("__key").to_pylist()], samples)
+            for part in common.slices(batch, own_text, SLICE_BYTES):
+                texts = [t or "" for t in part.column(own_text).to_pylist()]
+                found = encode_slice(lattices, texts, [xxhash.xxh64_intdigest(k) for k in part.column(own_key).to_pylist()], samples)
                 rows = [(i, n + 1, *row, vocabulary.decode(row[0].tolist()) == texts[i]) for i, each in enumerate(found) for n, row in enumerate(each)]
                 at = pa.array([r[0] for r in rows], pa.int64())
                 ids = [r[2] for r in rows]
@@ -494,6 +495,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[
 
 def decode(rows: DataFrame, ids: str = "ids", to: str = "decoded", model: str = MODEL) -> DataFrame:
     """Add the text that a row's ids stand for; null ids give null. Columns of that name are replaced."""
+    common.bounded_batches(rows.sparkSession)
     kept = [c for c in rows.columns if c != to]
     source = rows.select(*kept)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields] + [f"`{to}` string"])
