@@ -187,6 +187,15 @@ def test_documents_meet_their_next(spark):
         assert out[i].near_next == fingerprints.likeness(sampler.signature(a), sampler.signature(b))
 
 
+def test_texts_of_many_words_are_sampled_in_slices(monkeypatch):
+    text = " ".join(f"w{i}" for i in range(30_000))
+    sampler = fingerprints.Sampler()
+    got = sampler.signature(text)
+    assert sampler.table.shape[1] <= fingerprints.WORD_CACHE
+    monkeypatch.setattr(fingerprints, "SLICE_WORDS", 1 << 20)
+    assert (fingerprints.Sampler(cache=1 << 20).signature(text) == got).all()
+
+
 def test_fingerprint_edges(spark):
     rows = [(1, None), (1, ""), (None, "é𝒳 a"), (2, "x " * 100_000), (2, "x " * 100_000)]
     out = fingerprints.compare_with_next(spark.createDataFrame(rows, DOCS)).collect()

@@ -2,11 +2,13 @@
 
 import random
 from collections import Counter
+from urllib.parse import quote
 
+import numpy as np
 import pytest
 import zstandard
 
-from loam.llm import chat_views, common, line_dedup, quality_rules, source_mix, url_filter
+from loam.llm import chat_views, common, fingerprints, line_dedup, ngram_join, quality_classifier, quality_rules, sentence_pieces, source_mix, suffix_tree_lm, url_filter
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 SYLLABLES = "th er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve qua plo sem gru".split()
@@ -63,6 +65,27 @@ def test_quality_rules_count_and_judge(spark):
     assert out[1].ratio == len(zstandard.ZstdCompressor(level=3).compress(good.encode())) / len(good.encode())
 
 
+def test_chunk_rule():
+    draw, pack = random.Random(1), zstandard.ZstdCompressor(level=3)
+    prose = lambda n: " ".join("".join(draw.choices(SYLLABLES, k=draw.randrange(1, 5))) for _ in range(n))
+    data = prose(2000).encode()
+    assert quality_rules.chunks(data[:1024], 1024) == []
+    assert quality_rules.chunks(data[:3072], 1024) == [data[:1024], data[1024:2048], data[2048:3072]]
+    assert quality_rules.chunks(data[:2500], 1024) == [data[:1024], data[1024:2048], data[1476:2500]]
+    # junk behind whole chunks is seen, as the last chunk reaches back from the end
+    rules = quality_rules.Rules(bands=(quality_rules.Band(float("inf"), 0.0, 9.0),), max_bad_chunks=0.3)
+    junk = bytes(draw.choices(range(33, 126), k=1000))
+    assert quality_rules.judge(data[:1200], rules, pack)[7:] == (2, 0, None, True)
+    assert quality_rules.judge(data[:1200] + b" " + junk, rules, pack)[-2:] == ("chunks", False)
+    for i in range(50):
+        text = data[i * 37 : i * 37 + draw.randrange(100, 4000)] + (junk if i % 3 == 0 else b"")
+        parts = [text[k : k + 1024] for k in range(0, len(text), 1024) if k + 1024 <= len(text)] if len(text) > 1024 else []
+        parts += [text[-1024:]] if parts and len(text) % 1024 else []
+        bad = [not rules.chunk_low <= len(pack.compress(x)) / 1024 <= rules.chunk_high for x in parts]
+        got = quality_rules.judge(text, rules, pack)
+        assert got[7:9] == (len(parts), sum(bad)) and (got[9] == "chunks") == (not got[5] and sum(bad) > 0.3 * len(parts))
+
+
 def test_quality_rules_edges(spark):
     out = quality_rules.quality_rules(edges(spark)).collect()
     assert len(out) == len(EDGES) and not any(r.kept for r in out if r.doc_id != 5)
@@ -75,12 +98,23 @@ def test_quality_rules_edges(spark):
 
 def test_line_dedup_cuts_what_is_on_most_pages(spark):
     rows = [(i, f"Menu\n own line {i} \n\nFooter {i % 2}", "en", "a", 0) for i in range(10)] + [(100 + i, "Menu", "en", "b", 0) for i in range(8)]
-    out = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS), max_ratio=0.5, min_pages=5).collect()}
+    out = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, DOCS), max_ratio=0.5).collect()}
     assert out[3].text == " own line 3 \n\nFooter 1" and out[3].n_lines == 4 and out[3].n_dropped == 1
-    # eight copies of one page are one page, too few for a line to be boilerplate
+    # eight copies of one page are one page, whose line repeats nothing
     assert out[100].text == "Menu"
 
 
+def test_production_ratio_and_whole_pages(spark):
+    rows = [(i, ("Sign up here\n" if i < 9 else "") + f"own line {i}\nand another {i}", "en", "a", 0) for i in range(100)]
+    rows += [(200 + i, ("a saying of some pages\n" if i < 6 else "") + f"own line {i} of b", "en", "b", 0) for i in range(100)]
+    rows += [(400 + i, "Sign up here\nx", "en", "a", 0) for i in range(1)]
+    df = spark.createDataFrame(rows, DOCS)
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+    assert out[3] == "own line 3\nand another 3" and out[203].startswith("a saying") and out[400] == "x"
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, max_loss=0.7).collect()}
+    assert out[3] == "own line 3\nand another 3" and out[400] == "Sign up here\nx"
+
+
 def test_line_dedup_by_shuffle_agrees(spark, monkeypatch):
     rows = [(i, f"Menu\nline {i}", "en", random.Random(i).choice(["a", None]), 0) for i in range(60)]
     df = spark.createDataFrame(rows, DOCS)
@@ -131,26 +165,32 @@ def test_url_models_tell_classes_apart(spark):
     assert all(r.verdict == ("allow" if r.page_id < 400 else "block") for r in out if r.page_id >= 300)
 
 
-def test_url_scores_against_a_plain_model(spark):
+def test_url_scores_against_a_plain_model(spark, monkeypatch):
     import math
 
-    rows = [("allow", "ab.c/1"), ("allow", "ab"), ("block", "zz/?q=é")]
+    monkeypatch.setattr(url_filter, "MIN_CONTEXT", 3)
+    draw, d, m, k = random.Random(5), url_filter.DEPTH, url_filter.PRIOR, len(url_filter.ALPHABET)
+    rows = [(draw.choice(["allow", "block"]), "".join(draw.choice("ab/1É") for _ in range(draw.randrange(9)))) for _ in range(40)]
     grams = Counter()
     for label, rest in rows:
-        s = "^^" + "".join("0" if c.isdigit() else c if c in url_filter.ALPHABET else "*" for c in rest) + "$"
-        grams.update((label, s[i : i + 3]) for i in range(len(s) - 2))
+        s = "^" * d + "".join("0" if c.isdigit() else c if c in url_filter.ALPHABET else "*" for c in rest) + "$"
+        grams.update((label, s[i : i + d + 1]) for i in range(len(s) - d))
+    asked = sorted({g for _, g in grams}) + ["^^^^^z", "ababaq", "zzzzzz"]
     counts = [(g, grams["allow", g], grams["block", g]) for g in {g for _, g in grams}]
-    got = {r.gram: r.llr for r in url_filter.gram_scores(spark, spark.createDataFrame(counts, "gram string, a long, r long")).collect()}
-    k, m = len(url_filter.ALPHABET), url_filter.PRIOR
+    got = {r.gram: r.llr for r in url_filter.gram_scores(spark.createDataFrame(counts, "gram string, a long, r long"), spark.createDataFrame([(g,) for g in asked], "gram string")).collect()}
 
     def p(label, g):
-        n = lambda f: sum(v for (x, h), v in grams.items() if x == label and f(h))
-        p1 = (n(lambda h: h[2] == g[2]) + 1) / (n(lambda h: True) + k)
-        p2 = (n(lambda h: h[1:] == g[1:]) + m * p1) / (n(lambda h: h[1] == g[1]) + m)
-        return (n(lambda h: h == g) + m * p2) / (n(lambda h: h[:2] == g[:2]) + m)
-
-    assert len(got) == k**3
-    for g in ["^^a", "ab$", "zz/", "qqq", "^^*"]:
+        n = lambda f, of=(label,): sum(v for (x, h), v in grams.items() if x in of and f(h))
+        out = (n(lambda h: h[-1] == g[-1]) + 1) / (n(lambda h: True) + k)
+        for size in range(1, d + 1):
+            context = g[-1 - size : -1]
+            same = lambda h, context=context, size=size: h[-1 - size : -1] == context
+            if n(same, ("allow", "block")) >= 3:
+                out = (n(lambda h, size=size: h[-1 - size :] == g[-1 - size :]) + m * out) / (n(same) + m)
+        return out
+
+    assert len(got) == len(asked)
+    for g in asked:
         assert abs(got[g] - 1e6 * (math.log(p("allow", g)) - math.log(p("block", g)))) <= 1
 
 
@@ -219,19 +259,82 @@ def test_mix_edges(spark):
 
 # Chats
 
+TURNS = "conv_id long, turn long, role string, text string"
+
 
 def test_every_speaker_is_once_the_assistant(spark):
     rows = [(1, 0, "system", "Be brief."), (1, 1, "ann", "Hi <|end|>"), (1, 2, "bob", "Ho"), (1, 3, "ann", None), (2, 0, "system", "alone"), (None, 0, None, "x")]
-    out = chat_views.perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
-    assert {(r.conv_id, r.speaker) for r in out} == {(1, "ann"), (1, "bob"), (None, "unknown")}
+    out = chat_views.perspectives(spark.createDataFrame(rows, TURNS)).collect()
+    assert {(r.conv_id, r.speaker) for r in out} == {(1, "ann"), (1, "bob"), (None, "?")}
     ann = next(r for r in out if r.speaker == "ann")
     assert ann.rendered == "<|system|>\nBe brief.<|end|>\n<|assistant|>\nHi < |end|><|end|>\n<|user name=bob|>\nHo<|end|>\n<|assistant|>\n<|end|>\n"
     assert [ann.rendered[s.start : s.end] for s in ann.spans] == ["Hi < |end|><|end|>\n", "<|end|>\n"]
 
 
-def test_long_dialogues_come_in_blocks(spark):
-    rows = [(7, i, ["a", "b"][i % 2], f"t{i}") for i in range(150)] + [(7, None, "a", "late")]
-    out = chat_views.perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).where("speaker = 'a'").orderBy("block").collect()
-    assert [r.n_turns for r in out] == [64, 64, 22, 1]
-    assert "".join(r.rendered for r in out).count("<|assistant|>") == 76
-    assert chat_views.perspectives(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+def plain_views(rows):
+    """Renderings by their definition: sort, then one pass for each speaker."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        name = lambda r: "?" if r is None else quote(r, safe="-_.").replace("~", "%7E")
+        turns = sorted([(t is None, t or 0, name(role), (text or "").replace("<|", "< |")) for c, t, role, text in rows if c == conv])
+        for speaker in {t[2] for t in turns} - {"system"}:
+            text, spans = "", []
+            for _, _, who, said in turns:
+                text += "<|system|>\n" if who == "system" else "<|assistant|>\n" if who == speaker else f"<|user name={who}|>\n"
+                if who == speaker:
+                    spans.append((len(text), len(text) + len(said) + len(chat_views.END)))
+                text += said + chat_views.END
+            out[conv, speaker] = text, spans
+    return out
+
+
+def test_dialogues_against_a_plain_version(spark):
+    draw = random.Random(2)
+    roles = ["a b", "a_b", "Ан", "Ян", "system", None, "?", "x+*~"]
+    rows = [(c, draw.choice([draw.randrange(20), None]), draw.choice(roles), draw.choice(["same", None, "<|x", f"t{i}"])) for c in (1, 2, None) for i in range(40)]
+    rows += [(9, 5, "hot", "again")] * 700 + [(9, 5, draw.choice(roles), f"tie {i}") for i in range(300)]
+    want, df = plain_views(rows), spark.createDataFrame(rows, TURNS)
+    for block in (4096, 64):
+        out = {}
+        for r in sorted(chat_views.perspectives(df.repartition(5), block_turns=block).collect(), key=lambda r: r.block):
+            text, spans = out.get((r.conv_id, r.speaker), ("", []))
+            assert r.begin == len(text) and r.n_turns <= block
+            out[r.conv_id, r.speaker] = text + r.rendered, spans + [(s.start + r.begin, s.end + r.begin) for s in r.spans]
+        assert out == want
+    assert chat_views.perspectives(spark.createDataFrame([], TURNS)).count() == 0
+
+
+# Names
+
+
+@pytest.mark.parametrize(
+    ("operator", "names"),
+    [
+        (lambda df: line_dedup.dedup_lines(df), ["cut_host", "cut_lines", "kept_lines", "host", "line", "n_lines"]),
+        (lambda df: quality_rules.quality_rules(df), ["own_text", "OWN_TEXT_", "n_words", "reason"]),
+        (lambda df: url_filter.filter_urls(df.withColumnRenamed("text", "url")), ["rest", "raw_host", "norm", "label", "gram", "host", "score"]),
+        (lambda df: source_mix.mix_sources(df, "n_chars"), ["of", "size_", "hash", "s", "es", "edge", "extra", "before", "buckets", "bucket", "whole", "source_size"]),
+        (lambda df: ngram_join.one_of_each(df), ["kept_id", "kept_k1", "kept_k2", "node", "n"]),
+        (lambda df: ngram_join.join_ngrams(df), ["node", "n", "hash", "comp", "prefix"]),
+        (lambda df: sentence_pieces.encode(df, keep=df.columns, samples=1), ["own_key", "own_text", "ids", "sample"]),
+        (lambda df: quality_classifier.score_quality(df, quality_classifier.fit(np.zeros((0, quality_classifier.N_STATISTICS)), np.zeros(0))), ["score", "held_out", "predicted", "x"]),
+        (lambda df: suffix_tree_lm.score_texts(df), ["block", "tokens", "held_out", "score", "key", "n"]),
+        (lambda df: fingerprints.compare_with_next(df), ["part", "edge", "fingerprint", "next"]),
+    ],
+)
+def test_columns_with_clashing_names(spark, operator, names):
+    rows = [(i, f"one two three four five six {i % 3}\nx{i}", "en", "ab"[i % 2], 9) for i in range(12)]
+    plain = spark.createDataFrame(rows, DOCS)
+    clashing = plain.select("*", *[common.F.lit("own").alias(n) for n in names])
+    out, want = operator(clashing), operator(plain)
+    assert sorted(map(str, out.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    assert out.count() == want.count()
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda *_: None)})
+        sparkContext = type("Context", (), {"master": "spark://host:7077", "getConf": staticmethod(lambda: Session.conf)})
+
+    with pytest.raises(ValueError):
+        common.shared_dir(Session)
