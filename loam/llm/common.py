@@ -57,16 +57,21 @@ def shared_table(df: DataFrame, name: str, **options: str) -> DataFrame:
 
 
 def drop_tables(*tables: DataFrame) -> None:
-    """Delete the files of shared tables that nothing will read again, and let Spark drop the shuffles of what made them,
-    which it does when the driver's JVM collects garbage."""
+    """Delete the files of shared tables that nothing will read again, and the shuffles of what has been written."""
     for df in tables:
-        spark, jvm = df.sparkSession, df.sparkSession.sparkContext._jvm
+        spark = df.sparkSession
         for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
     if tables:
-        gc.collect()
-        jvm.System.gc()
+        release(tables[0].sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffles that no plan needs any more: it does so when the driver's JVM collects garbage, which on a
+    driver with memory to spare may be long after they have filled the executors' disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def free_name(name: str, *taken: Iterable[str]) -> str:

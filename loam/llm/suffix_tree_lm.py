@@ -9,6 +9,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,6 @@ BLOCK_TOKENS, BLOCK_DOCS = 2_000_000, 1 << 16
 BUCKET_TOKENS, MIN_BUCKETS = 1_000_000, 32
 #: Sequences that are more frequent, and have more than this share of all tokens, are dealt to buckets with what follows.
 HOT_COUNT, HOT_SHARE = 200_000, 1e-5
-#: Sequences of a table that is broadcast for a join; all others are joined by shuffle.
-MAX_BROADCAST_ROWS = 500_000
 #: Bits of a filter, least and most, and of one of its pages.
 FILTER_BITS, PAGE_BITS = (1 << 17, 1 << 28), 1 << 17
 
@@ -111,11 +110,11 @@ def mark(keys: DataFrame, n: int) -> np.ndarray:
 
 def read_blocks(docs: DataFrame, key: str) -> DataFrame:
     """Texts as blocks: ids, held_out and n_tokens of a block's texts, its distinct words, and all its tokens as numbers of
-    those words, in four planes of bytes. Words 0 and 1 are START and END, which enclose each text."""
+    those words, in four planes of bytes, both packed. Words 0 and 1 are START and END, which enclose each text."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, schema = TaskContext.get().partitionId() << 32, None
+        block, schema, pack = TaskContext.get().partitionId() << 32, None, zstandard.ZstdCompressor(level=3)
         numbers, ids, held, sizes, found, total = Numbers({START: 0, END: 1}), [], [], [], [], 0
 
         def handed() -> pa.RecordBatch:
@@ -128,8 +127,8 @@ def read_blocks(docs: DataFrame, key: str) -> DataFrame:
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order), dtype=np.uint32)
             words = list(numbers)
-            packed = rank[flat].view(np.uint8).reshape(-1, 4).T.tobytes()
-            joined = b" ".join([words[i] for i in order[2:].tolist()])
+            packed = pack.compress(rank[flat].view(np.uint8).reshape(-1, 4).T.tobytes())
+            joined = pack.compress(b" ".join([words[i] for i in order[2:].tolist()]))
             cols = [[block], [ids], [held], [sizes], [joined], [packed]]
             out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, schema, strict=True)], names=["block", "ids", "held", "sizes", "words", "tokens"])
             block, numbers, ids, held, sizes, found, total = block + 1, Numbers({START: 0, END: 1}), [], [], [], [], 0
@@ -148,15 +147,16 @@ def read_blocks(docs: DataFrame, key: str) -> DataFrame:
             yield handed()
 
     rows = docs.select(key, "held_out", "text").mapInArrow(run, f"block long, ids array<{kind}>, held array<boolean>, sizes array<long>, words binary, tokens binary")
-    return common.shared_table(rows, "lm-blocks", compression="zstd")
+    return common.shared_table(rows, "lm-blocks")
 
 
 class Block:
     """What a row of read_blocks holds: words, and for every token its number and the place of its text."""
 
     def __init__(self, words: bytes, packed: bytes, sizes: np.ndarray, held: np.ndarray) -> None:
-        self.words = [START, END, *words.split()]
-        self.numbers = np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+        unpack = zstandard.ZstdDecompressor()
+        self.words = [START, END, *unpack.decompress(words).split()]
+        self.numbers = np.ascontiguousarray(np.frombuffer(unpack.decompress(packed), np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
         self.of = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes + 1)
         self.trains = np.repeat(~held, sizes + 1)
 
@@ -287,24 +287,27 @@ def weigh(blocks: DataFrame, known: DataFrame, root, buckets: int, least: int, m
         if not n:
             break
         found = count_sequences(blocks, k, known, n, buckets, least, n_tokens)
-        of_head = common.bounded_broadcast(known.select(F.col("key").alias("head"), F.col("n").alias("n_head")), n, MAX_BROADCAST_ROWS)
-        of_suffix = common.bounded_broadcast(known.select(F.col("key").alias("suffix"), F.col("log_p").alias("before")), n, MAX_BROADCAST_ROWS)
+        common.release(blocks.sparkSession)
+        of_head = known.select(F.col("key").alias("head"), F.col("n").alias("n_head"))
+        of_suffix = known.select(F.col("key").alias("suffix"), F.col("log_p").alias("before"))
         was = F.pow(F.lit(10.0), "before")
         ratio = F.col("n") / F.col("n_head") / was
         p = (F.col("n") + PRIOR * was) / (F.col("n_head") + PRIOR)
         diverges = (ratio >= MIN_RATIO) & (F.col("n") * F.log(ratio) >= MIN_GAIN)
-        own = common.shared_table(found.join(of_head, "head").join(of_suffix, "suffix").select("key", "head", "n", "before", was.alias("was"), p.alias("p"), diverges.alias("diverges")), f"lm-own-{k}")
+        own = common.shared_table(found.join(of_suffix.hint("merge"), "suffix").join(of_head.hint("merge"), "head").select("key", "head", "n", "before", was.alias("was"), p.alias("p"), diverges.alias("diverges")), f"lm-own-{k}")
         left = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-12))
         falls = common.shared_table(own.where("diverges").groupBy("head").agg(F.log10(left("p") / left("was")).alias("fall")), f"lm-falls-{k}")
-        joined = own.join(common.bounded_broadcast(falls, falls.count(), MAX_BROADCAST_ROWS), "head", "left")
+        joined = own.join(falls.hint("merge"), "head", "left")
         log_p = F.when(F.col("diverges"), F.log10("p")).otherwise(F.col("before") + F.coalesce(F.col("fall"), F.lit(0.0)))
         rest = (F.log10("p") - F.col("before") - F.col("fall")).alias("rest")
-        last, known = known, common.shared_table(joined.select("key", "n", log_p.alias("log_p"), "diverges", rest), f"lm-sequences-{k}")
+        known = common.shared_table(joined.select("key", "n", log_p.alias("log_p"), "diverges", rest), f"lm-sequences-{k}")
         weights += [falls.select(F.col("head").alias("key"), F.col("fall").alias("weight")), known.where("diverges").select("key", F.col("rest").alias("weight"))]
-        common.drop_tables(found, own, *[last] * (k == 2))
+        common.drop_tables(found, own)
     if not weights:
         return None
-    return common.shared_table(reduce(DataFrame.unionByName, weights).groupBy("key").agg(F.sum("weight").alias("weight")), "lm-weights")
+    out = common.shared_table(reduce(DataFrame.unionByName, weights).groupBy("key").agg(F.sum("weight").alias("weight")), "lm-weights")
+    common.drop_tables(*weights)
+    return out
 
 
 def asked(b: Block, bits: np.ndarray, max_depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:

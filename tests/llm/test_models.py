@@ -142,8 +142,8 @@ def test_contexts_of_the_least_count_stay_in_a_large_input(spark, monkeypatch):
     assert math.ceil(out[1000].train_tokens * 5e-6) > trained
     # its words are certain after their contexts, save for the smoothing
     assert out[1000].score > -4 and out[1000].base_score < -14
-    # many blocks and buckets, hot sequences dealt with what follows, and tables joined by shuffle, give the same
-    for name, value in (("MAX_BROADCAST_ROWS", 0), ("BLOCK_TOKENS", 20_000), ("BUCKET_TOKENS", 10_000), ("HOT_COUNT", 1_000), ("HOT_SHARE", 0.02)):
+    # many blocks and buckets, and hot sequences dealt with what follows, give the same
+    for name, value in (("BLOCK_TOKENS", 20_000), ("BUCKET_TOKENS", 10_000), ("HOT_COUNT", 1_000), ("HOT_SHARE", 0.02)):
         monkeypatch.setattr(suffix_tree_lm, name, value)
     for r in suffix_tree_lm.score_texts(df.repartition(3)).collect():
         assert r.score == pytest.approx(out[r.doc_id].score) and r.base_score == pytest.approx(out[r.doc_id].base_score) and r.n_known == out[r.doc_id].n_known
