@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 import tempfile
@@ -24,6 +26,10 @@ SLICE_BYTES = 4 << 20
 BATCH_BYTES, BATCH_ROWS = 4 << 20, 10_000
 
 
+#: The C library's option for the size from which blocks are mapped apart, and that size.
+M_MMAP_THRESHOLD, MAPPED_BYTES = -3, 1 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -74,6 +80,16 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def return_memory() -> None:
+    """Let this worker give freed memory back to the system at once. Workers live on between tasks, beside each other, and keep
+    what they have used at most; large blocks that the C library maps apart go back when they are freed."""
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such option
+        libc = ctypes.CDLL(None)
+        libc.mallopt(M_MMAP_THRESHOLD, MAPPED_BYTES)
+        libc.malloc_trim(0)
+    pa.default_memory_pool().release_unused()
+
+
 def free_name(name: str, *taken: Iterable[str]) -> str:
     """name, with as many _ behind it as make it differ from all column names taken, whatever their case."""
     used = {c.lower() for names in taken for c in names}
