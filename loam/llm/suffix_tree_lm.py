@@ -114,6 +114,7 @@ def read_blocks(docs: DataFrame, key: str) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.return_memory()
         block, schema, pack = TaskContext.get().partitionId() << 32, None, zstandard.ZstdCompressor(level=3)
         numbers, ids, held, sizes, found, total = Numbers({START: 0, END: 1}), [], [], [], [], 0
 
@@ -188,6 +189,7 @@ def count_words(blocks: DataFrame, buckets: int, least: int) -> DataFrame:
     `least` occurrences, and how many tokens and distinct words training texts have."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.return_memory()
         for block, b in each_block(batches):
             times = np.bincount(b.numbers[b.trains], minlength=len(b.words)).astype(np.uint32)
             order, to = word_buckets(b.words, buckets)
@@ -233,6 +235,7 @@ def count_sequences(blocks: DataFrame, k: int, known: DataFrame, n_known: int, b
         return mix(head, np.where(often, suffix, part)) % np.uint64(buckets)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.return_memory()
         bits, hot = shared.value
         for _, b in each_block(batches):
             keys = hashes(b.words)[b.numbers]
@@ -281,7 +284,8 @@ def weigh(blocks: DataFrame, known: DataFrame, root, buckets: int, least: int, m
     p; else it is `fall` times its probability after the next shorter one. In logarithms that is a sum: a retained
     context adds `fall` to the token behind it, and a context with a diverging token adds the rest up to p. known:
     (key, n) of single words; root: log10 probability of a count."""
-    known, weights = common.shared_table(known.withColumn("log_p", root(F.col("n"))), "lm-sequences-1"), []
+    known = common.shared_table(known.withColumn("log_p", root(F.col("n"))), "lm-sequences-1")
+    tables, weights = [known], []
     for k in range(2, max_depth + 2):
         n = known.count()
         if not n:
@@ -294,19 +298,21 @@ def weigh(blocks: DataFrame, known: DataFrame, root, buckets: int, least: int, m
         ratio = F.col("n") / F.col("n_head") / was
         p = (F.col("n") + PRIOR * was) / (F.col("n_head") + PRIOR)
         diverges = (ratio >= MIN_RATIO) & (F.col("n") * F.log(ratio) >= MIN_GAIN)
-        own = common.shared_table(found.join(of_suffix.hint("merge"), "suffix").join(of_head.hint("merge"), "head").select("key", "head", "n", "before", was.alias("was"), p.alias("p"), diverges.alias("diverges")), f"lm-own-{k}")
+        own = found.join(of_suffix.hint("merge"), "suffix").join(of_head.hint("merge"), "head").select("key", "head", "n", "before", was.alias("was"), p.alias("p"), diverges.alias("diverges"))
         left = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-12))
-        falls = common.shared_table(own.where("diverges").groupBy("head").agg(F.log10(left("p") / left("was")).alias("fall")), f"lm-falls-{k}")
+        # own is dealt by head already, so that neither the sums by head nor their join moves it again
+        falls = own.where("diverges").groupBy("head").agg(F.log10(left("p") / left("was")).alias("fall"))
         joined = own.join(falls.hint("merge"), "head", "left")
         log_p = F.when(F.col("diverges"), F.log10("p")).otherwise(F.col("before") + F.coalesce(F.col("fall"), F.lit(0.0)))
-        rest = (F.log10("p") - F.col("before") - F.col("fall")).alias("rest")
-        known = common.shared_table(joined.select("key", "n", log_p.alias("log_p"), "diverges", rest), f"lm-sequences-{k}")
-        weights += [falls.select(F.col("head").alias("key"), F.col("fall").alias("weight")), known.where("diverges").select("key", F.col("rest").alias("weight"))]
-        common.drop_tables(found, own)
+        rest = F.when(F.col("diverges"), F.log10("p") - F.col("before") - F.col("fall")).alias("rest")
+        known = common.shared_table(joined.select("key", "n", log_p.alias("log_p"), rest, F.when(F.col("diverges"), F.col("head")).alias("head"), F.when(F.col("diverges"), F.col("fall")).alias("fall")), f"lm-sequences-{k}")
+        weights += [known.where("rest is not null").select("key", F.col("rest").alias("weight")), known.where("rest is not null").groupBy(F.col("head").alias("key")).agg(F.first("fall").alias("weight"))]
+        tables.append(known)
+        common.drop_tables(found)
     if not weights:
         return None
     out = common.shared_table(reduce(DataFrame.unionByName, weights).groupBy("key").agg(F.sum("weight").alias("weight")), "lm-weights")
-    common.drop_tables(*weights)
+    common.drop_tables(*tables)
     return out
 
 
@@ -336,6 +342,7 @@ def look_up(blocks: DataFrame, weights: DataFrame, bits, buckets: int, max_depth
     """(block, bucket, k, data): the weights, 0 for none, of the sequences that a block has asked a bucket for."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.return_memory()
         for block, b in each_block(batches):
             for k, keys, _, _ in asked(b, bits.value, max_depth):
                 rows = [(bucket, block, k, keys[at].tobytes()) for bucket, at in by_bucket(key_bucket(keys, buckets))]
@@ -405,6 +412,7 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", max_de
 
     def close(left: pa.Table, right: pa.Table) -> pa.Table:
         """The texts of a block with what the buckets have replied."""
+        common.return_memory()
         ids, held_out, sizes = (left.column(c)[0].values for c in ("ids", "held", "sizes"))
         sizes = sizes.to_numpy()
         b = Block(left.column("words")[0].as_py(), left.column("tokens")[0].as_py(), sizes, held_out.to_numpy(zero_copy_only=False))
