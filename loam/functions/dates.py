@@ -48,3 +48,9 @@ def freshness(published: Column, now: Column, hours: int = 24) -> Column:
 def age_days(since: Column, now: Column) -> Column:
     """Whole periods of 24 hours."""
     return F.floor((F.unix_micros(now) - F.unix_micros(since)) / F.lit(86_400_000_000)).cast("long")
+
+
+def paper_window(now: Column, days: int = 7) -> Column:
+    """The query for papers submitted in the days before an instant."""
+    day = lambda at: F.date_format(at, "yyyyMMdd")
+    return F.concat(F.lit("(cat:cs.AI OR cat:cs.LG) AND submittedDate:["), day(F.timestamp_micros(F.unix_micros(now) - days * 86_400_000_000)), F.lit(" TO "), day(now), F.lit("]"))

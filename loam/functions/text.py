@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import html
+import html.entities
+import json
 import re
 import unicodedata
 
@@ -16,6 +17,8 @@ LEGAL_SUFFIXES = ("incorporated", "corporation", "limited", "gmbh", "pbc", "bv",
 LEGAL_SUFFIX_FORMS = LEGAL_SUFFIXES + ("p.b.c", "b.v", "s.a.s", "l.l.c")
 # Words that a grounded description doesn't use.
 HYPE_WORDS = ("revolutionary", "game-changing", "disruptive", "unmatched", "unparalleled", "world's best", "miracle", "unprecedented")
+# Words that a written description is cleaned of.
+ENRICHER_HYPE_WORDS = ("revolutionary", "cutting-edge", "world-class", "game-changing", "state-of-the-art", "ultimate", "unmatched", "unrivaled", "seamlessly empowers")
 # Texts that stand for a missing value.
 FORBIDDEN_LITERALS = ("none", "null", "n/a", "na", "unknown", "undefined", "nan", "nil", "not available", "not specified", "tbd", "todo")
 
@@ -56,49 +59,89 @@ def entity_key(name: Column, decomposed: bool = False) -> Column:
     return F.coalesce(key, F.lit(""))
 
 
-# The entities that pages commonly hold; others stay as they are.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+def _entities() -> tuple[dict[str, str], str]:
+    """Named entities by name, and a pattern for those that need no semicolon, the longest first."""
+    named = {k.rstrip(";"): v for k, v in html.entities.html5.items()}
+    bare = sorted((k for k in html.entities.html5 if not k.endswith(";")), key=lambda k: (-len(k), k))
+    return named, "^(?:" + "|".join(bare) + ")"
+
+
+NAMED, BARE = _entities()
+#: What pages mean by the numbers of control characters, from 0x80 on.
+_WINDOWS = "".join(bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(0x80, 0xA0))
+
+
+def unescaped(text: Column) -> Column:
+    """A text with its HTML entities as characters, each read once."""
+    # one constant, whatever the number of places that use it
+    names = F.from_json(F.lit(json.dumps(NAMED)), "map<string,string>")
+
+    def character(code: Column) -> Column:
+        out = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        bad = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+        return F.when(bad, "\ufffd").when(code.between(0x80, 0x9F), F.substring(F.lit(_WINDOWS), (code - 0x7F).cast("int"), F.lit(1))).otherwise(out)
+
+    def read(part: Column, i: Column) -> Column:
+        name = F.regexp_extract(part, "^(#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*)", 1)
+        number = F.when(F.regexp_like(name, F.lit("^#[xX]")), F.conv(F.substring(name, 3, 8), 16, 10)).when(F.startswith(name, F.lit("#")), F.substring(name, 2, 8)).cast("long")
+        rest = F.substring(part, F.length(name) + 1, F.lit(1 << 30))
+        known = F.when(F.startswith(rest, F.lit(";")), F.element_at(names, name))
+        bare = F.regexp_extract(part, BARE, 0)
+        return (
+            F.when(i == 0, part)
+            .when(number.isNotNull(), F.concat(character(number), F.regexp_replace(rest, "^;", "")))
+            .when(known.isNotNull(), F.concat(known, F.substring(rest, 2, 1 << 30)))
+            .when(bare != "", F.concat(F.element_at(names, bare), F.substring(part, F.length(bare) + 1, F.lit(1 << 30))))
+            .otherwise(F.concat(F.lit("&"), part))
+        )
+
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(F.split(text, "&"), read), "")).otherwise(text)
 
 
 def html_text(page: Column) -> Column:
-    """A page's text: scripts, styles, drawings and noscript parts go, blocks end lines, other tags are blanks, lines are
-    trimmed and blank ones dropped."""
-    text = page
-    for tag in ("script", "style", "svg", "noscript"):
-        text = F.regexp_replace(text, rf"(?is)<{tag}\b[^>]*>.*?</{tag}>", "")
-    text = F.regexp_replace(text, r"(?i)</?(?:p|div|br|h[1-6]|li|ul|ol|tr|td|section|article)\b[^>]*>", "\n")
-    text = F.regexp_replace(text, r"<[^>]+>", " ")
-    for entity, plain in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(plain))
-    lines = F.transform(F.split(text, "\n"), lambda x: F.trim(F.regexp_replace(x, r"[ \t\r\f]+", " ")))
+    """A page's text: scripts, styles, drawings and noscript parts go, blocks end lines, other tags are blanks, entities are
+    read, lines are trimmed and blank ones dropped."""
+    out = F.regexp_replace(page, r"(?is)<(script|style|svg|noscript)[^>]*>.*?</\1>", "")
+    out = F.regexp_replace(out, r"(?i)</?(?:p|div|br|h[1-6]|li|tr|article|section)[^>]*>", "\n")
+    out = unescaped(F.regexp_replace(out, r"<[^>]+>", " "))
+    lines = F.transform(F.split(out, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"), lambda x: F.regexp_replace(F.regexp_replace(x, r"[ \t]+", " "), r"(?U)^\s+|\s+$", ""))
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 
-@F.pandas_udf(T.StringType())
-def unescape(text: pd.Series) -> pd.Series:
-    """All HTML entities; html_text has the common ones without Python."""
-    return text.map(lambda t: None if t is None else html.unescape(t))
+# Fixed value: what stands for the middle of a text that is too long.
+CUT_MARK = "\n\n[... content truncated for context limits ...]\n\n"
 
 
-def head_and_tail(text: Column, max_chars: int = 12_000, marker: str = "\n\n[... text shortened ...]\n\n", head_share: float = 0.65) -> Column:
-    """Texts of more than max_chars are cut to a head and a tail with a marker between, each ending at a word."""
-    budget = max_chars - len(marker)
-    if budget <= 100:
-        return F.substring(text, 1, max_chars)
-    n_head = int(budget * head_share)
-    n_tail = budget - n_head
-    head, tail = F.substring(text, 1, n_head), F.substring(text, -n_tail, n_tail)
-    head = F.regexp_replace(head, r"\s+\S*$", "")
-    tail = F.regexp_replace(tail, r"^\S*\s+", "")
-    return F.when(F.length(text) <= max_chars, text).otherwise(F.concat(head, F.lit(marker), tail))
+def _last(of: Column, needle: str, since: int) -> Column:
+    """Where a needle begins for the last time, from 0, at `since` or later; null if it doesn't."""
+    behind = F.substring(of, since + 1, 1 << 30)
+    back = F.instr(F.reverse(behind), needle[::-1])
+    return F.when(back > 0, F.lit(since - len(needle) + 1) + F.length(behind) - back)
+
+
+def _first(of: Column, needle: str, before: int) -> Column:
+    """Where a needle begins, from 0, if it ends before `before`; null if it doesn't."""
+    return F.nullif(F.instr(F.substring(of, 1, before), needle), F.lit(0)) - 1
 
 
-def cut_head_and_tail(text: Column, max_chars: int, marker: str, head_share: float = 0.65) -> Column:
-    """As head_and_tail, but cut at exact lengths."""
-    budget = max_chars - len(marker)
+def head_and_tail(page: Column, max_chars: int = 12_000, head_share: float = 0.65) -> Column:
+    """A page's text; if it has more than max_chars, its head and its tail with CUT_MARK between. The head ends, and the tail
+    begins, at a paragraph, else a sentence, else a word, if there is one within a quarter of the part."""
+    cleaned = html_text(page)
+    budget = max_chars - len(CUT_MARK)
+    if budget <= 100:
+        return F.substring(cleaned, 1, max_chars)
     n_head = int(budget * head_share)
-    cut = F.concat(F.substring(text, 1, n_head), F.lit(marker), F.right(text, F.lit(budget - n_head)))
-    return F.when(F.length(text) <= max_chars, text).otherwise(cut)
+    n_tail = budget - n_head
+    head, tail = F.substring(cleaned, 1, n_head), F.right(cleaned, F.lit(n_tail))
+    since, before = int(n_head * 0.75), int(n_tail * 0.25)
+    sentence = F.greatest(_last(head, ". ", since), _last(head, ".\n", since)) + 1
+    cut = F.coalesce(_last(head, "\n\n", since), sentence, _last(head, " ", since), F.lit(n_head))
+    sentence = F.least(_first(tail, ". ", before), _first(tail, ".\n", before)) + 2
+    begin = F.coalesce(_first(tail, "\n\n", before) + 2, sentence, _first(tail, " ", before) + 1, F.lit(0))
+    first = F.regexp_replace(F.substring(head, F.lit(1), cut.cast("int")), r"(?U)\s+$", "")
+    last = F.regexp_replace(F.substring(tail, begin.cast("int") + 1, F.lit(1 << 30)), r"(?U)^\s+", "")
+    return F.when(F.length(cleaned) <= max_chars, cleaned).otherwise(F.concat(first, F.lit(CUT_MARK), last))
 
 
 def json_object(raw: Column) -> Column:
@@ -121,9 +164,19 @@ def hype_found(text: Column, words=HYPE_WORDS) -> Column:
     return F.array_compact(F.array(*hits))
 
 
-def without_hype(text: Column, words=HYPE_WORDS) -> Column:
-    pattern = r"(?i)\b(?:" + "|".join(re.escape(w) for w in words) + r")\b"
-    return F.trim(F.regexp_replace(F.regexp_replace(text, pattern, ""), r"\s+", " "))
+def without_hype(text: Column, words=ENRICHER_HYPE_WORDS) -> Column:
+    """A text without the listed words; if it had any, blanks are collapsed."""
+    found = r"(?i)\b(?:" + "|".join(re.escape(w) for w in words) + r")\b"
+    cut = F.regexp_replace(F.trim(F.regexp_replace(text, found, "")), r"\s+", " ")
+    return F.when(F.regexp_like(text, F.lit(found)), cut).otherwise(text)
+
+
+def support_ratio(claim: Column, source: Column) -> Column:
+    """The share of a claim's words of over 4 characters that its source has, whatever the case; 1 if it has no such word."""
+    words = F.filter(F.split(F.lower(claim), r"(?U)\s+"), lambda w: F.length(w) > 4)
+    low = F.lower(source)
+    found = F.filter(words, lambda w: F.contains(low, w))
+    return F.when(F.size(words) > 0, F.size(found) / F.size(words)).otherwise(F.lit(1.0))
 
 
 def is_forbidden(value: Column) -> Column:

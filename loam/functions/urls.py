@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loam.functions.binding import let
+
 # Query keys that only track.
 TRACKING_KEYS = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "ref", "promo")
 TRACKING_PREFIXES = ("utm_", "ref", "fid", "aff", "fbclid", "gclid")
@@ -136,9 +138,13 @@ def is_disallowed(url: Column) -> Column:
     return F.coalesce((host == "") | in_domains(host, DISALLOWED_DOMAINS), F.lit(True))
 
 
+def below(host: Column, site: Column) -> Column:
+    """Whether a host is a site's or below it."""
+    return F.coalesce((site != "") & ((host == site) | F.endswith(host, F.concat(F.lit("."), site))), F.lit(False))
+
+
 def same_site(asset: Column, official: Column) -> Column:
-    a, o = domain(asset), domain(official)
-    return (o != "") & ((a == o) | F.endswith(a, F.concat(F.lit("."), o)))
+    return below(domain(asset), domain(official))
 
 
 def slug(url: Column) -> Column:
@@ -160,14 +166,24 @@ def with_scheme(site: Column) -> Column:
     return F.when(s == "", None).when(F.regexp_like(s, F.lit("^https?://")), s).otherwise(F.concat(F.lit("https://"), s))
 
 
-def brand(url: Column, names: Sequence[tuple[str, str]]) -> Column:
-    """The name of the first listed domain that the URL has; else the host's first part, capitalised; else a fallback."""
+# What sites are called.
+SITE_NAMES = (
+    ("techcrunch.com", "TechCrunch"), ("venturebeat.com", "VentureBeat"), ("technologyreview.com", "MIT Technology Review"), ("wired.com", "WIRED"), ("engadget.com", "Engadget"),
+    ("ycombinator.com", "Y Combinator"), ("builtin.com", "Built In"), ("remoteok.com", "RemoteOK"), ("workingnomads.com", "Working Nomads"), ("jobspresso.co", "Jobspresso"),
+    ("huggingface.co", "Hugging Face"), ("arxiv.org", "arXiv"),
+)
+
+
+def brand(url: Column, names: Sequence[tuple[str, str]] = SITE_NAMES) -> Column:
+    """The name of the first listed domain that the host has in it; else the host without `www.`, capitalised; a fallback for
+    no address."""
     from loam.functions.text import title_case
 
-    out = F.when(domain(url) == "", "Public Web").otherwise(title_case(F.substring_index(domain(url), ".", 1)))
+    host = F.substring_index(F.element_at(F.split(parts(url).host, "@"), -1), ":", 1)
+    out = title_case(F.replace(host, F.lit("www."), F.lit("")))
     for part, name in reversed(list(names)):
-        out = F.when(F.contains(F.lower(url), F.lit(part)), name).otherwise(out)
-    return F.coalesce(out, F.lit("Public Web"))
+        out = F.when(F.contains(host, F.lit(part)), name).otherwise(out)
+    return F.when(F.coalesce(url, F.lit("")) == "", "Public Web").otherwise(out)
 
 
 @F.pandas_udf(T.StringType())
@@ -186,12 +202,13 @@ def join(base: pd.Series, url: pd.Series) -> pd.Series:
 
 def join_simple(base: Column, url: Column) -> Column:
     """As join, natively, for the references that pages mostly have: absolute, `//host`, `/path` and plain names."""
-    u, b = F.trim(url), parts(base)
+    b = parts(base)
     root = F.concat(b.scheme, F.lit("://"), b.host)
     folder = F.regexp_replace(b.path, "[^/]*$", "")
-    return (
-        F.when(F.regexp_like(u, F.lit(r"^[A-Za-z][A-Za-z0-9+.\-]*:")), u)
+    return let(
+        F.trim(url),
+        lambda u: F.when(F.regexp_like(u, F.lit(r"^[A-Za-z][A-Za-z0-9+.\-]*:")), u)
         .when(F.startswith(u, F.lit("//")), F.concat(b.scheme, F.lit(":"), u))
         .when(F.startswith(u, F.lit("/")), F.concat(root, u))
-        .otherwise(F.concat(root, F.when(folder == "", "/").otherwise(folder), u))
+        .otherwise(F.concat(root, F.when(folder == "", "/").otherwise(folder), u)),
     )

@@ -21,6 +21,11 @@ def claim(requests: DataFrame, held: DataFrame, order: str = "event_order") -> D
     return won.select("source", "normalized_url", "worker_id", F.lit("CLAIMED").alias("status"), order)
 
 
+def is_claimed(requests: DataFrame, held: DataFrame) -> DataFrame:
+    """The requests whose item is held."""
+    return keyed(requests).join(held.select("source", "normalized_url"), ["source", "normalized_url"], "left_semi")
+
+
 def states(log: DataFrame, order: str = "event_order") -> DataFrame:
     """The latest state of every item by a log of CLAIM, COMPLETE, FAIL and RELEASE events: later claims of an item that is
     held change nothing, a release frees it."""

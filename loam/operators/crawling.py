@@ -30,6 +30,43 @@ def with_browser(plain: DataFrame, browser: DataFrame) -> DataFrame:
     return joined.withColumn("used_browser", use).withColumns(picked).drop("__url", "__status_code", "__html", "__success")
 
 
+# Job boards whose listings are made in the browser.
+SCRIPTED_BOARDS = ("remoteok.com", "workingnomads.com", "jobspresso.co")
+
+
+def lacks_postings(url: Column, html: Column) -> Column:
+    """Whether a page of a board that is made in the browser came without its postings, so that it must be rendered."""
+    host = urls.parts(url).host
+    at = lambda site: F.contains(host, F.lit(site))
+    jobs = F.regexp_extract_all(html, F.lit(r"/jobs/([a-zA-Z0-9_\-]+)"), F.lit(1))
+    named = F.exists(jobs, lambda j: F.contains(j, F.lit("-")) & ~F.regexp_like(j, F.lit("^(?:bg-|remote-|static-)")))
+    has = (at(SCRIPTED_BOARDS[0]) & F.regexp_like(html, F.lit(r"/remote-jobs/[a-zA-Z0-9_\-]+-\d+"))) | (at(SCRIPTED_BOARDS[1]) & named) | (at(SCRIPTED_BOARDS[2]) & F.regexp_like(html, F.lit(r"/job/[a-zA-Z0-9_\-]+/")))
+    board = at(SCRIPTED_BOARDS[0]) | at(SCRIPTED_BOARDS[1]) | at(SCRIPTED_BOARDS[2])
+    return F.coalesce((F.coalesce(url, F.lit("")) != "") & (F.coalesce(html, F.lit("")) != "") & board & ~has, F.lit(False))
+
+
+def rate_limited(attempts: DataFrame, key: str = "url", attempt: str = "attempt") -> DataFrame:
+    """What a client that waits once gets, by its first two attempts (status_code, retry_after, html): a 429 is tried again after
+    retry_after seconds, 60 at most and by default; any other failure, or a second one, gives no html."""
+    first, second = (attempts.where(F.col(attempt) == n).select(F.col(key), *[F.col(c).alias(f"{c}{n}") for c in ("status_code", "retry_after", "html")]) for n in (0, 1))
+    joined = first.join(second, key, "left")
+    limited = F.coalesce(F.col("status_code0") == 429, F.lit(False))
+    ok = lambda n: F.coalesce(F.col(f"status_code{n}") == 200, F.lit(False))
+    waited = F.when(limited, F.least(F.lit(60.0), F.coalesce(F.col("retry_after0").try_cast("double"), F.lit(60.0)))).otherwise(0.0)
+    return joined.select(key, F.when(ok(0), F.col("html0")).when(limited & ok(1), F.col("html1")).alias("html"), waited.alias("waited"))
+
+
+def crawl_summary(results: DataFrame) -> DataFrame:
+    """One row: pages that were had and that weren't, and how many of them by browser."""
+    ok = F.coalesce(F.col("success"), F.lit(False))
+    return results.agg(F.count("*").alias("urls"), F.count_if(ok).alias("succeeded"), F.count_if(~ok).alias("failed"), F.count_if(ok & F.col("used_browser")).alias("by_browser"))
+
+
+def with_content(results: DataFrame) -> DataFrame:
+    """Successful pages that have content, as every kind of record asks for."""
+    return results.where(F.coalesce(F.col("success"), F.lit(False)) & (F.length(F.trim(F.coalesce("html", F.lit("")))) > 0))
+
+
 def retry_delay(attempt: Column, base: float = 1.5, most: float = 60.0) -> Column:
     """Seconds before an attempt, from 0, without the random part."""
     return F.least(F.lit(most), F.pow(F.lit(base), attempt))
@@ -97,13 +134,13 @@ def item_records(items: DataFrame, as_of: Column, kind: Column) -> DataFrame:
 
 def keep_crawled(results: DataFrame, as_of: Column, kind: str) -> DataFrame:
     """Successful pages with content; news and jobs only if their own date is fresh."""
-    has = F.coalesce(F.col("success"), F.lit(False)) & (F.length(F.trim(F.coalesce("html", F.lit("")))) > 0)
     if kind.upper() not in ("NEWS", "JOB", "STARTUP", "PRODUCT"):
         raise ValueError(f"no such kind of record: {kind}")
+    kept = with_content(results)
     if kind.upper() in ("NEWS", "JOB"):
         given = F.coalesce(*[dates.instant(F.col(c)) for c in ("published_date", "date", "published_at") if c in results.columns], F.lit(None).cast("timestamp"))
-        has &= dates.is_fresh(given, as_of)
-    return results.where(has).withColumn("recordType", F.lit(kind.upper()))
+        kept = kept.where(dates.is_fresh(given, as_of))
+    return kept.withColumns({"recordType": F.lit(kind.upper()), "collected_at": as_of})
 
 
 def batches(df: DataFrame, order: str, size: int, by: Sequence[str] = ()) -> DataFrame:

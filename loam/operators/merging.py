@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,25 +35,27 @@ def keys(tools: DataFrame) -> DataFrame:
     )
 
 
-def blocks(keyed: DataFrame, order: str) -> DataFrame:
-    """(order, __block): records that share a site, an address or a name, directly or over others, are in one block.
+def labelled(keyed: DataFrame, order: str, columns: Sequence[str]) -> DataFrame:
+    """(order, block): records that share a value of a column, directly or over others, are in one block; '' is no value.
 
-    Only such records can be merged, so that blocks can be worked on apart. Labels travel over the keys: each round,
-    every record takes the least label of the records that share one of its keys, and the label of its label.
+    Only such records can be merged, so that blocks can be worked on apart. Labels travel over the keys that records share:
+    each round, every record takes the least label of those that share one of its keys, and its label's label. Records
+    that share nothing, most of them, take part in no round.
     """
-    edges = keyed.select(order, F.explode(F.array(*[F.when(F.col(c) != "", F.concat(F.lit(f"{c}:"), F.col(c))) for c in ("__site", "__address", "__name")])).alias("key")).where("key is not null")
-    shared = edges.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    edges = checkpointed(edges.join(shared, "key"))
-    labels = keyed.select(order, F.col(order).alias("__block"))
+    pairs = keyed.select(order, F.explode(F.array(*[F.when(F.col(c) != "", F.concat(F.lit(f"{c}:"), F.col(c))) for c in columns])).alias("key")).where("key is not null")
+    shared = pairs.groupBy("key").agg(F.count("*").alias("n"), F.min(order).alias("near")).where("n > 1")
+    edges = checkpointed(pairs.join(shared.select("key", "near"), "key"))
+    labels = checkpointed(edges.groupBy(order).agg(F.least(order, F.min("near")).alias("block")))
     while True:
-        least = edges.join(labels, order).groupBy("key").agg(F.min("__block").alias("near"))
-        near = edges.join(least, "key").groupBy(order).agg(F.min("near").alias("near"))
-        step = labels.join(near, order, "left").select(order, F.col("__block").alias("was"), F.least("__block", F.coalesce("near", "__block")).alias("now"))
-        far = step.select(F.col(order).alias("now"), F.col("now").alias("far"))
-        after = checkpointed(step.join(far, "now").select(order, "was", F.col("far").alias("__block")))
-        if after.where("was != __block").isEmpty():
-            return after.select(order, "__block")
-        labels = after.select(order, "__block")
+        least = edges.select("key", order).join(labels, order).groupBy("key").agg(F.min("block").alias("near"))
+        near = edges.select("key", order).join(least, "key").groupBy(order).agg(F.min("near").alias("near"))
+        step = labels.join(near, order).select(order, F.col("block").alias("was"), F.least("block", "near").alias("now"))
+        far = labels.select(F.col(order).alias("now"), F.col("block").alias("far"))
+        after = checkpointed(step.join(far, "now").select(order, "was", F.least("now", "far").alias("block")))
+        if after.where("was != block").isEmpty():
+            break
+        labels = after.select(order, "block")
+    return keyed.select(order).join(after.select(order, "block"), order, "left").select(order, F.coalesce("block", order).alias("block"))
 
 
 def _merge(kept: dict, copy: dict) -> None:
@@ -115,9 +119,9 @@ def merge_duplicates(tools: DataFrame, order: str = "input_idx") -> DataFrame:
     name_matches count those. Rows without a name go. Only blocks of two or more go through Python."""
     keyed = keys(tools).where("__name != ''")
     lists = {c: F.coalesce(F.col(c), F.array().cast("array<string>")) for c in schemas.LISTS} | {"discovery_references": F.coalesce(F.col("discovery_references"), F.array().cast(schemas.STAGE["discovery_references"]))}
-    keyed = keyed.withColumns(lists).join(blocks(keyed, order), order)
-    sizes = keyed.groupBy("__block").agg(F.count("*").alias("__n"))
-    keyed = keyed.join(sizes, "__block")
+    of_block = checkpointed(labelled(keyed, order, ["__site", "__address", "__name"]))
+    sizes = of_block.groupBy("block").agg(F.count("*").alias("__n"))
+    keyed = keyed.withColumns(lists).join(of_block.join(sizes, "block").withColumnRenamed("block", "__block"), order)
     counts = ("domain_matches", "url_matches", "name_matches")
     alone = keyed.where("__n = 1").select(*tools.columns, *[F.lit(0).cast("long").alias(c) for c in counts])
     schema = alone.schema
@@ -138,11 +142,18 @@ def merge_duplicates(tools: DataFrame, order: str = "input_idx") -> DataFrame:
     return alone.unionByName(keyed.where("__n > 1").drop("__n").groupBy("__block").applyInPandas(fold, schema))
 
 
-def ordered_union(df: DataFrame, by: list[str], order: str, lists: list[str], scalars: list[str]) -> DataFrame:
-    """Merge rows of a key without Python: the first value that isn't null of each scalar, and each list's items in order
-    of first appearance. For merges that don't depend on what was merged before."""
-    packed = F.array_sort(F.collect_list(F.struct(order, *scalars, *lists)))
-    out = df.groupBy(*by).agg(packed.alias("__rows"))
-    first = lambda c: F.get(F.filter(F.transform("__rows", lambda r: r[c]), lambda x: x.isNotNull()), F.lit(0))
-    union = lambda c: F.array_distinct(F.flatten(F.transform("__rows", lambda r: F.coalesce(r[c], F.array().cast("array<string>")))))
-    return out.select(*by, *[first(c).alias(c) for c in scalars], *[union(c).alias(c) for c in lists], F.size("__rows").cast("long").alias("merged"))
+def items_in_order(df: DataFrame, by: Sequence[str], column: str, order: str) -> DataFrame:
+    """(by, column): the distinct items of a key's lists, in order of first appearance. Items are counted before they meet,
+    so that a frequent key gathers its distinct items only; a key without items has no row."""
+    items = df.select(*by, order, F.posexplode(column).alias("at", "item")).groupBy(*by, "item").agg(F.min(F.struct(order, "at")).alias("first"))
+    return items.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("first", "item"))).alias("i")).select(*by, F.transform("i", lambda x: x["item"]).alias(column))
+
+
+def ordered_union(df: DataFrame, by: Sequence[str], order: str, lists: Sequence[str], scalars: Sequence[str]) -> DataFrame:
+    """Merge rows of a key without Python: the first value that isn't null of each scalar, and each list's distinct items in
+    order of first appearance. For merges that don't depend on what was merged before."""
+    firsts = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in scalars]
+    out = df.groupBy(*by).agg(*firsts, F.count("*").alias("merged"))
+    for c in lists:
+        out = out.join(items_in_order(df, by, c, order), list(by), "left").withColumn(c, F.coalesce(c, F.array().cast("array<string>")))
+    return out.select(*by, *scalars, *lists, "merged")

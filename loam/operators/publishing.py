@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loam import schemas
+from loam.functions import urls
 
 # Cells that mean a missing value got through, and shapes of credentials.
 BAD_CELLS = ("none", "null", "nan", "undefined")
@@ -68,56 +69,94 @@ def read_tool_rows(rows: DataFrame) -> DataFrame:
     return rows.select(*[back(c, k).alias(c) for c, k in schemas.TOOL.items()])
 
 
+def _head(kind: str, item: Column, fallback: Column | str | None = None) -> list[Column]:
+    """The columns that all sheets begin with. A source without a name is called after its address, or as given."""
+    url = text(F.col("source.url"))
+    named = F.coalesce(F.nullif(F.col("source.name"), F.lit("")), F.lit(fallback) if isinstance(fallback, str) else urls.brand(F.col("source.url")))
+    return [
+        F.coalesce("schemaVersion", F.lit("1.0")).alias("schemaVersion"),
+        F.coalesce("recordType", F.lit(kind)).alias("recordType"),
+        named.alias("sourceName"),
+        url.alias("sourceUrl"),
+        F.coalesce(F.nullif(item.cast("string"), F.lit("")), url).alias("itemUrl"),
+    ]
+
+
 def startup_rows(df: DataFrame) -> DataFrame:
-    c = "content.data."
+    """Records of startups as rows; itemUrl is the company's page, else the source's."""
+    d = "content.data."
     return df.select(
+        *_head("STARTUP", F.col(d + "company_url")),
         text(F.col("content.entityName")).alias("entityName"),
-        text(F.col(c + "employeeCount")).alias("employeeCount"),
-        text(F.col(c + "website")).alias("website"),
-        text(F.col(c + "company_url")).alias("company_url"),
-        listed(F.col(c + "industries")).alias("industries"),
-        text(F.col(c + "description")).alias("description"),
-        text(F.col("source.name")).alias("sourceName"),
-        text(F.col("source.url")).alias("sourceUrl"),
-        F.coalesce(F.col(c + "company_url"), F.col("source.url"), F.lit("")).alias("itemUrl"),
+        text(F.col(d + "employeeCount")).alias("employeeCount"),
+        text(F.col(d + "website")).alias("website"),
+        listed(F.col(d + "industries")).alias("industries"),
+        text(F.col(d + "description")).alias("description"),
         instant(F.col("collectedAt")).alias("collectedAt"),
-        text(F.col("schemaVersion")).alias("schemaVersion"),
     )
 
 
 def product_rows(df: DataFrame) -> DataFrame:
     return df.select(
-        *[text(F.col(f"content.{c}")).alias(c) for c in ("productName", "startupName", "pricingModel", "product_url")],
-        text(F.col("source.name")).alias("sourceName"),
-        text(F.col("source.url")).alias("sourceUrl"),
+        *_head("PRODUCT", F.col("content.product_url")),
+        *[text(F.col(f"content.{c}")).alias(c) for c in ("productName", "startupName", "pricingModel")],
+        text(F.col("content.product_url")).alias("productUrl"),
         instant(F.col("collectedAt")).alias("collectedAt"),
-        text(F.col("recordType")).alias("recordType"),
-        text(F.col("schemaVersion")).alias("schemaVersion"),
     )
 
 
 def paper_rows(df: DataFrame) -> DataFrame:
-    """Stars of 0 stay 0."""
+    """Records of papers as rows; stars of 0 stay 0."""
     return df.select(
+        *_head("RESEARCH_PAPER", F.lit(None), "arXiv")[:4],
         text(F.col("content.title")).alias("title"),
         listed(F.col("content.authors"), "; ").alias("authors"),
-        *[text(F.col(f"content.{c}")).alias(c) for c in ("paper_url", "github_url", "github_stars")],
-        instant(F.col("content.published_date")).alias("published_date"),
-        text(F.col("source.name")).alias("sourceName"),
-        text(F.col("source.url")).alias("sourceUrl"),
+        *[text(F.col(f"content.{c}")).alias(to) for c, to in (("paper_url", "paperUrl"), ("github_url", "githubUrl"), ("github_stars", "githubStars"))],
+        instant(F.col("content.published_date")).alias("publishedDate"),
         instant(F.col("collectedAt")).alias("collectedAt"),
     )
 
 
-def item_rows(df: DataFrame) -> DataFrame:
+def job_rows(df: DataFrame) -> DataFrame:
+    """Records of jobs as rows; the title is the role, unless there is none."""
+    said = lambda c: F.nullif(F.col(f"content.{c}"), F.lit(""))
     return df.select(
-        *[text(F.col(f"content.{c}")).alias(c) for c in ("url", "title", "company")],
-        F.coalesce(F.col("content.role"), F.lit("Engineering / AI")).alias("role"),
+        *_head("JOB", F.col("content.url")),
+        text(F.col("content.company")).alias("company"),
+        F.coalesce(said("title"), said("role"), F.lit("")).alias("role"),
         instant(F.col("content.date")).alias("date"),
-        flag(F.col("content.is_remote")).alias("is_remote"),
-        flag(F.col("content.is_date_only")).alias("is_date_only"),
-        text(F.col("source.name")).alias("sourceName"),
+        flag(F.col("content.is_remote")).alias("isRemote"),
+        F.coalesce(said("role_family"), F.lit("Engineering / AI")).alias("roleFamily"),
+        instant(F.col("collectedAt")).alias("collectedAt"),
+    )
+
+
+def news_rows(df: DataFrame) -> DataFrame:
+    return df.select(
+        *_head("NEWS", F.col("content.url")),
+        text(F.col("content.title")).alias("title"),
+        instant(F.col("content.published_date")).alias("date"),
         instant(F.col("collectedAt")).alias("collectedAt"),
+        text(F.col("content.text")).alias("content"),
+    )
+
+
+def mapping_rows(df: DataFrame) -> DataFrame:
+    """Log entries as rows; without confidence they are certain, without a reason they name the method."""
+    url = F.coalesce(F.nullif(F.col("source.url"), F.lit("")), F.col("source_url"), F.lit(""))
+    method = text(F.col("match_type"))
+    return df.select(
+        F.coalesce("schemaVersion", F.lit("1.0")).alias("schemaVersion"),
+        F.coalesce("recordType", F.lit("ENTITY_MAPPING_LOG")).alias("recordType"),
+        F.coalesce("source.name", F.lit("Entity Resolver")).alias("sourceName"),
+        url.alias("sourceUrl"),
+        F.coalesce(F.nullif("item_url", F.lit("")), url).alias("itemUrl"),
+        text(F.col("raw_name")).alias("rawName"),
+        text(F.col("canonical_name")).alias("canonicalName"),
+        method.alias("matchType"),
+        text(F.col("entity_type")).alias("entityType"),
+        F.coalesce(F.col("confidence"), F.lit(1.0)).cast("string").alias("confidence"),
+        F.coalesce("reason", F.concat(F.lit("Matched via "), method)).alias("reason"),
     )
 
 
@@ -133,12 +172,42 @@ def chunked(rows: DataFrame, order: str, size: int = 500, by: Sequence[str] = ()
     return rows.withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy(*by).orderBy(order)) - 1) / size).cast("long"))
 
 
-def publish(tables: dict[str, DataFrame], path: str) -> dict[str, int]:
-    """Write every table as strings in Parquet, overwriting; a table with a bad cell is not written. Returns bad cells by
-    table."""
-    found = {}
-    for name, rows in tables.items():
-        found[name] = bad_cells(rows).count()
-        if not found[name]:
-            rows.write.mode("overwrite").parquet(f"{path}/{name}")
+def records_json(df: DataFrame) -> DataFrame:
+    """(record): every row as a JSON object, with its nulls."""
+    return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))
+
+
+def _path(spark, where: str):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(where)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def surplus(spark, path: str, wanted: Sequence[str], remove: bool = False) -> list[str]:
+    """Tables under a path that aren't wanted; removed on demand."""
+    folder, files = _path(spark, path)
+    names = sorted(s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()) if files.exists(folder) else []
+    found = [n for n in names if n not in wanted]
+    for name in found if remove else ():
+        files.delete(_path(spark, f"{path}/{name}")[0], True)
     return found
+
+
+def publish(tables: dict[str, DataFrame], path: str, format: str = "parquet", clean: bool = False) -> DataFrame:
+    """Write every table of strings, overwriting, as Parquet, CSV or JSON; a table with a bad cell is not written. Returns a
+    report (name, records, bad_cells, written). With clean, other tables under the path go."""
+    report, spark = [], next(iter(tables.values())).sparkSession
+    for name, rows in tables.items():
+        bad = bad_cells(rows).count()
+        if not bad:
+            writer = rows.write.mode("overwrite")
+            (writer.option("header", True).csv if format == "csv" else getattr(writer, format))(f"{path}/{name}")
+        report.append((name, rows.count(), bad, not bad))
+    if clean:
+        surplus(spark, path, list(tables), remove=True)
+    return spark.createDataFrame(report, "name string, records long, bad_cells long, written boolean")
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """A report of one row, or few, as JSON."""
+    report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)

@@ -21,6 +21,8 @@ PRICING_VALUES = ("free", "freemium", "paid", "usage-based", "subscription")
 DEAD = ("dead", "shut down", "deprecated", "inactive", "closed")
 NO_PRODUCT_HOSTS = ("theresanaiforthat.com", "creati.ai", "producthunt.com")
 TIERS = ((90.0, "Exceptional"), (80.0, "Excellent"), (70.0, "Good"), (60.0, "Average / Skip"))
+# What the rationale says of a criterion that found nothing, and what it calls the criteria.
+NOTHING = {"capability": "minimal", "usefulness": "unclear utility", "adoption": "no verified adoption proof", "maturity": "early/unstated", "recency": "no date evidence", "differentiation": "Standard utility"}
 LABELS = {"capability": "Capability", "usefulness": "Usefulness", "adoption": "Adoption", "activity": "Activity", "maturity": "Maturity", "recency": "Recency", "differentiation": "Differentiation", "information_quality": "Info Quality"}
 
 
@@ -53,6 +55,12 @@ def _some(text: Column, words) -> Column:
     return F.regexp_like(text, F.lit("|".join(words)))
 
 
+def _sources() -> Column:
+    """How many directories list a product."""
+    named = F.coalesce(F.transform("discovery_references", lambda r: r["source"]), F.array().cast("array<string>"))
+    return F.size(F.array_distinct(F.filter(named, lambda s: F.coalesce(s != "", F.lit(False)))))
+
+
 def criteria(as_of: Column) -> dict[str, Column]:
     """Points by criterion, each up to its weight."""
     n = {c: _count(c) for c in ("inputs", "outputs", "supported_platforms", "ai_capabilities", "key_features", "main_use_cases", "categories")}
@@ -60,7 +68,7 @@ def criteria(as_of: Column) -> dict[str, Column]:
     verified = _low("verification_status") == "verified"
     active = _low("current_status") == "active"
     status = F.trim(_low("current_status"))
-    sources = F.size(F.array_distinct(F.filter(F.coalesce(F.transform("discovery_references", lambda r: r["source"]), F.array().cast("array<string>")), lambda s: F.coalesce(s != "", F.lit(False)))))
+    sources = _sources()
     useful_domain = _some(_low("primary_task"), UTILITY_WORDS) | F.coalesce(F.exists("categories", lambda c: _some(F.lower(c), UTILITY_WORDS)), F.lit(False))
     host = urls.parts(F.coalesce(F.col("official_website"), F.lit(""))).host
     age = age_days(F.col("launch_date"), as_of)
@@ -87,6 +95,70 @@ def tier(score: Column) -> Column:
     return out
 
 
+def details(as_of: Column) -> dict[str, Column]:
+    """What each criterion found, as the rationale has it in brackets."""
+    n = {c: _count(c) for c in ("inputs", "outputs", "supported_platforms", "main_use_cases", "categories")}
+    number = lambda c: c.cast("string")
+    shown = lambda holds, *parts: F.when(holds, F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]))
+    verified, status = _low("verification_status") == "verified", F.trim(_low("current_status"))
+    useful = _some(_low("primary_task"), UTILITY_WORDS) | F.coalesce(F.exists("categories", lambda c: _some(F.lower(c), UTILITY_WORDS)), F.lit(False))
+    signals, signal = _length("usage_adoption_signals") > 5, _some(_low("usage_adoption_signals"), SIGNAL_WORDS)
+    sources = _sources()
+    host = urls.parts(F.coalesce(F.col("official_website"), F.lit(""))).host
+    age, year = age_days(F.col("launch_date"), as_of), F.year("launch_date").cast("string")
+    found = {
+        "capability": (
+            shown(_length("primary_task") > 2, "Task: ", F.col("primary_task")),
+            shown((n["inputs"] > 0) | (n["outputs"] > 0), "Modalities (", number(n["inputs"]), " in, ", number(n["outputs"]), " out)"),
+            shown(n["supported_platforms"] > 0, "Platforms (", number(n["supported_platforms"]), ")"),
+            shown(_low("api_availability").isin(*API_VALUES), "API verified"),
+        ),
+        "usefulness": (
+            F.when(useful, "High workflow utility domain").when((n["categories"] > 0) | _said("primary_task"), "General utility domain"),
+            shown((F.coalesce(F.length("detailed_overview"), F.lit(0)) > 60) & (F.coalesce(F.length("short_description"), F.lit(0)) > 20), "Documented problem solving"),
+            shown(n["main_use_cases"] > 0, number(n["main_use_cases"]), " use cases"),
+        ),
+        "adoption": (
+            F.when(signals & signal, F.concat(F.lit("Verified signals: "), "usage_adoption_signals")).when(signals, "Signals recorded"),
+            shown(verified & (_low("current_status") == "active"), "Active live service"),
+            shown(sources >= 2, "Multi-directory presence (", number(sources), " sources)"),
+        ),
+        "activity": (
+            F.when(status == "active", "Active verified status")
+            .when(status == "beta", "Beta release with active access")
+            .when(status == "pre-launch", "Pre-launch status")
+            .when(status.isin("dead", "deprecated", "shut down", "inactive"), F.concat(F.lit("Inactive status: "), status))
+            .when(verified, "Verified live website (status unstated)")
+            .otherwise("Unconfirmed operational status"),
+        ),
+        "maturity": (
+            shown(_length("company_developer") > 1, "Developer: ", F.col("company_developer")),
+            shown((host != "") & ~_some(host, [h.replace(".", "[.]") for h in SHARED_HOSTS]), "Dedicated domain"),
+            shown(_length("version") > 0, "Version: ", F.col("version")),
+            shown(_low("pricing_model").isin(*PRICING_VALUES), "Pricing: ", F.col("pricing_model")),
+        ),
+        "recency": (
+            F.when(age <= 365, F.concat(F.lit("Launched within 1 year ("), year, F.lit(")")))
+            .when(age <= 730, F.concat(F.lit("Launched within 2 years ("), year, F.lit(")")))
+            .when(F.col("launch_date").isNotNull(), F.concat(F.lit("Established launch ("), year, F.lit(")")))
+            .when(F.col("last_verified_date").isNotNull(), "Verified in current curation cycle"),
+        ),
+        "differentiation": (
+            shown((n["inputs"] >= 2) | (n["outputs"] >= 2), "Multi-modal pipeline"),
+            shown(n["supported_platforms"] >= 2, "Cross-platform support"),
+            shown(_said("api_availability"), "Programmable API"),
+        ),
+        "information_quality": (
+            shown(verified & _said("official_website"), "Official website verified"),
+            shown(F.coalesce(F.startswith("logo_url", F.lit("http")), F.lit(False)), "Official logo verified"),
+            shown(_said("pricing_model"), "Pricing model verified"),
+            shown(_said("short_description") & _said("detailed_overview"), "Descriptions verified"),
+        ),
+    }
+    joined = {c: F.array_join(F.array_compact(F.array(*parts)), ", ") for c, parts in found.items()}
+    return {c: F.when(joined[c] == "", NOTHING[c]).otherwise(joined[c]) if c in NOTHING else joined[c] for c in WEIGHTS}
+
+
 def one_decimal(x: Column) -> Column:
     return F.format_string("%.1f", x)
 
@@ -97,7 +169,8 @@ def score(tools: DataFrame, as_of: Column) -> DataFrame:
     points = criteria(as_of)
     total = F.round(F.greatest(F.lit(0.0), F.least(F.lit(100.0), sum(points.values(), F.lit(0.0)))), 1)
     out = tools.withColumn("quality_score_breakdown", F.create_map(*[x for c, p in points.items() for x in (F.lit(c), p)])).withColumn("quality_score", total)
-    each = [F.concat(F.lit(f"{LABELS[c]}: "), one_decimal(F.col("quality_score_breakdown")[c]), F.lit(f"/{w:.0f}")) for c, w in WEIGHTS.items()]
+    found = details(as_of)
+    each = [F.concat(F.lit(f"{LABELS[c]}: "), one_decimal(F.col("quality_score_breakdown")[c]), F.lit(f"/{w:.0f} ("), found[c], F.lit(")")) for c, w in WEIGHTS.items()]
     rationale = F.concat(F.lit("Tier: "), tier(F.col("quality_score")), F.lit(" ("), one_decimal(F.col("quality_score")), F.lit("/100). "), F.concat_ws(" | ", *each))
     return out.withColumns({"quality_score_rationale": rationale, "quality_tier": tier(F.col("quality_score"))})
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,12 +61,13 @@ def row_errors() -> Column:
     return F.concat(F.array_compact(F.array(*single)), *[F.coalesce(x, empty) for x in lists])
 
 
-def validate(tools: DataFrame, order: str = "input_idx") -> DataFrame:
+def validate(tools: DataFrame, order: str | Sequence[Column] = "input_idx") -> DataFrame:
     """Add errors, an array of texts; a row without errors passes. Of rows with one host, or one address, all but the
     first by `order` fail, whether or not that first one passes."""
+    by = [F.col(order)] if isinstance(order, str) else list(order)
     host, address = urls.domain(F.col("official_website")), urls.validator_url(F.col("official_website"))
     out = tools.withColumns({"errors": row_errors(), "__host": host, "__address": address})
-    later = lambda key: (F.row_number().over(Window.partitionBy(key).orderBy(order)) > 1) & ~_empty("official_website")
+    later = lambda key: (F.row_number().over(Window.partitionBy(key).orderBy(*by)) > 1) & ~_empty("official_website")
     same_host = _error(later("__host"), "Duplicate: duplicate official domain '", F.col("__host"), "' detected across dataset")
     same_address = _error(later("__address"), "Duplicate: duplicate canonical product URL '", F.col("__address"), "' detected across dataset")
     return out.withColumn("errors", F.concat("errors", F.array_compact(F.array(same_host, same_address)))).drop("__host", "__address")

@@ -14,18 +14,21 @@ from loam.operators.checkpoints import checkpointed
 
 @dataclass(frozen=True)
 class Curated:
+    enriched: DataFrame
     scored: DataFrame
     rejected: DataFrame
     accepted: DataFrame
     failed: DataFrame
+    target: int
 
     def published(self) -> DataFrame:
         """Accepted products with the published columns only."""
         return self.accepted.select(*schemas.TOOL)
 
-    def report(self) -> DataFrame:
-        """One row: how many were scored, rejected, accepted and failed, and what accepted ones miss."""
-        return reporting.overview({"scored": self.scored, "rejected": self.rejected, "accepted": self.accepted, "failed": self.failed})
+    def report(self, raw: int | None = None, verified: int | None = None) -> DataFrame:
+        """One row of metrics; raw and verified are counts of the stages before, if known."""
+        judged = self.scored.withColumn("rejection_reason", scoring.rejection())
+        return reporting.curation_report(self.enriched, judged, self.accepted, self.failed, self.target, raw, verified)
 
 
 def top(tools: DataFrame, n: int, order: str = "input_idx") -> DataFrame:
@@ -39,5 +42,6 @@ def curate(tools: DataFrame, as_of: Column, target: int = 1000, merge: bool = Tr
     # both are read more than once, and a plan of all steps together is more than the optimizer takes
     scored = checkpointed(scoring.score(merged, as_of))
     kept, rejected = scoring.split_rejected(scored)
-    accepted, failed = validation.split_valid(checkpointed(validation.validate(checkpointed(top(kept, target, order)), order)))
-    return Curated(scored, rejected, accepted, failed)
+    # of products with one site the best one passes, as they come by score
+    accepted, failed = validation.split_valid(checkpointed(validation.validate(top(kept, target, order), [F.desc("quality_score"), F.asc(order)])))
+    return Curated(tools, scored, rejected, accepted, failed, target)

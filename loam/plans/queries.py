@@ -46,11 +46,55 @@ def quality_score(spark, sf_dir):
     return scored(spark, sf_dir).select("input_idx", *[b[c].alias(c) for c in scoring.WEIGHTS], "quality_score", "quality_tier")
 
 
+def _found_sql(*parts: str, none: str = "") -> str:
+    """SQL for what a criterion found, joined; `none` if it found nothing."""
+    joined = f"array_to_string(list_filter([{', '.join(f'CASE {p} END' for p in parts)}], lambda x: x IS NOT NULL), ', ')"
+    return f"coalesce(nullif({joined}, ''), '{none}')"
+
+
+# written from the rubric: what each criterion says of the evidence, in the order in which it looks at it
+_FOUND_SQL = {
+    "capability": _found_sql(
+        "WHEN length(trim(primary_task)) > 2 THEN 'Task: ' || primary_task",
+        "WHEN n_inputs > 0 OR n_outputs > 0 THEN 'Modalities (' || n_inputs || ' in, ' || n_outputs || ' out)'",
+        "WHEN n_supported_platforms > 0 THEN 'Platforms (' || n_supported_platforms || ')'",
+        "WHEN lower(api_availability) IN ('true', 'rest api', 'graphql', 'api available') THEN 'API verified'",
+        none="minimal",
+    ),
+    "usefulness": _found_sql(
+        "WHEN regexp_matches(lower(coalesce(primary_task, '') || '|' || array_to_string(categories, '|')), 'developer|coding|productivity|automation|research|data|design|writing|agent|prompt|image|audio|video|api|assistant|summary|summarizer|translation|math|ocr|document') THEN 'High workflow utility domain' WHEN n_categories > 0 OR coalesce(primary_task, '') <> '' THEN 'General utility domain'",
+        "WHEN length(detailed_overview) > 60 AND length(short_description) > 20 THEN 'Documented problem solving'",
+        "WHEN n_main_use_cases > 0 THEN n_main_use_cases || ' use cases'",
+        none="unclear utility",
+    ),
+    "adoption": _found_sql(
+        "WHEN usage_adoption_signals = '120 users' THEN 'Verified signals: 120 users' WHEN usage_adoption_signals IS NOT NULL THEN 'Signals recorded'",
+        "WHEN verification_status = 'verified' AND status = 'active' THEN 'Active live service'",
+        "WHEN n_sources >= 2 THEN 'Multi-directory presence (' || n_sources || ' sources)'",
+        none="no verified adoption proof",
+    ),
+    "activity": _found_sql(
+        "WHEN status = 'active' THEN 'Active verified status' WHEN status = 'beta' THEN 'Beta release with active access' WHEN status = 'pre-launch' THEN 'Pre-launch status' WHEN status IN ('dead', 'deprecated', 'shut down', 'inactive') THEN 'Inactive status: ' || status WHEN verification_status = 'verified' THEN 'Verified live website (status unstated)' ELSE 'Unconfirmed operational status'"
+    ),
+    "maturity": _found_sql(
+        "WHEN length(trim(company_developer)) > 1 THEN 'Developer: ' || company_developer", "WHEN host <> '' THEN 'Dedicated domain'", "WHEN version IS NOT NULL THEN 'Version: ' || version",
+        "WHEN lower(pricing_model) IN ('free', 'freemium', 'paid', 'usage-based', 'subscription') THEN 'Pricing: ' || pricing_model", none="early/unstated",
+    ),
+    "recency": _found_sql(
+        f"WHEN age <= 365 THEN 'Launched within 1 year (' || year(TIMESTAMP '{AS_OF}' - to_days(CAST(age AS INTEGER))) || ')' WHEN age <= 730 THEN 'Launched within 2 years (' || year(TIMESTAMP '{AS_OF}' - to_days(CAST(age AS INTEGER))) || ')' WHEN age IS NOT NULL THEN 'Established launch (' || year(TIMESTAMP '{AS_OF}' - to_days(CAST(age AS INTEGER))) || ')' ELSE 'Verified in current curation cycle'"
+    ),
+    "differentiation": _found_sql("WHEN n_inputs >= 2 OR n_outputs >= 2 THEN 'Multi-modal pipeline'", "WHEN n_supported_platforms >= 2 THEN 'Cross-platform support'", "WHEN coalesce(api_availability, '') <> '' THEN 'Programmable API'", none="Standard utility"),
+    "information_quality": _found_sql(
+        "WHEN verification_status = 'verified' AND official_website IS NOT NULL THEN 'Official website verified'", "WHEN starts_with(logo_url, 'http') THEN 'Official logo verified'", "WHEN pricing_model IS NOT NULL THEN 'Pricing model verified'",
+        "WHEN coalesce(short_description, '') <> '' AND coalesce(detailed_overview, '') <> '' THEN 'Descriptions verified'",
+    ),
+}
+
+
 @query(
-    f"""WITH {SCORED_SQL}, p AS (SELECT input_idx, quality_tier, quality_score, unnest([capability, usefulness, adoption, activity, maturity, recency, differentiation, information_quality]) AS v,
-  unnest(['Capability', 'Usefulness', 'Adoption', 'Activity', 'Maturity', 'Recency', 'Differentiation', 'Info Quality']) AS n, unnest([25, 20, 15, 15, 10, 5, 5, 5]) AS w, unnest(range(8)) AS i FROM scored)
-SELECT input_idx, 'Tier: ' || any_value(quality_tier) || ' (' || printf('%.1f', any_value(quality_score)) || '/100). ' || string_agg(n || ': ' || printf('%.1f', CAST(v AS DOUBLE)) || '/' || w, ' | ' ORDER BY i) AS quality_score_rationale
-FROM p GROUP BY input_idx"""
+    f"""WITH {SCORED_SQL} SELECT input_idx, 'Tier: ' || quality_tier || ' (' || printf('%.1f', quality_score) || '/100). ' || """
+    + " || ' | ' || ".join(f"'{scoring.LABELS[c]}: ' || printf('%.1f', CAST({c} AS DOUBLE)) || '/{w:.0f} (' || {_FOUND_SQL[c]} || ')'" for c, w in scoring.WEIGHTS.items())
+    + " AS quality_score_rationale FROM scored"
 )
 def quality_rationale(spark, sf_dir):
     return scored(spark, sf_dir).select("input_idx", "quality_score_rationale")
@@ -81,7 +125,12 @@ def top_n_stable(spark, sf_dir):
     return curation.top(kept, 100).select("input_idx", "tool_name", "quality_score")
 
 
-# the errors of a row by its place among them, as in the operator; RE2 needs no look-around here
+_FORBIDDEN = "('none', 'null', 'n/a', 'na', 'unknown', 'undefined', 'nan', 'nil', 'not available', 'not specified', 'tbd', 'todo')"
+_TEXT_FIELDS = ("company_developer", "country", "version", "current_status", "primary_task", "pricing_model", "starting_price", "important_usage_limits")
+_CLEAN = (*_TEXT_FIELDS, "usage_adoption_signals", "record_id", "short_description", "detailed_overview")
+_HYPE = ("revolutionary", "game-changing", "disruptive", "unmatched", "unparalleled", "world''s best", "miracle", "unprecedented")
+_CDNS = "googleusercontent[.]com|githubusercontent[.]com|amazonaws[.]com|cloudfront[.]net|wp[.]com|cloudflare[.]com|fastly[.]net|cloudinary[.]com|vercel[.]app|supabase[.]co"
+# written from the gates: the errors of a row in their order
 _ERRORS_SQL = f"""WITH {TOOLS_SQL}, h AS (
   SELECT *, regexp_matches(coalesce(official_website, ''), '^https?://') AS has_url,
     CASE WHEN regexp_matches(coalesce(official_website, ''), '^https?://') THEN regexp_replace(regexp_extract(official_website, '://([^/?#]*)', 1), '^www[.]', '') ELSE '' END AS host,
@@ -92,18 +141,22 @@ r AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY input_idx) AS host
 e AS (SELECT input_idx, list_filter([
   CASE WHEN trim(coalesce(tool_name, '')) = '' THEN 'Identity: missing or empty tool_name' END,
   CASE WHEN official_website IS NULL THEN 'Identity: missing canonical official_website' END,
-  CASE WHEN official_website IS NOT NULL AND NOT has_url THEN 'Identity: invalid official_website URL ''' || official_website || '''' END,
-  CASE WHEN verification_status = 'unverified' THEN 'Verification: invalid verification_status ''unverified'' (must be verified or partially_verified)' END,
-  CASE WHEN host = 'creati.ai' THEN 'Verification: directory URL cannot serve as official product website (''creati.ai'')' END,
+  CASE WHEN official_website IS NOT NULL AND NOT has_url THEN 'Identity: invalid official_website URL \'\'' || official_website || '\'\'' END,
+  CASE WHEN verification_status = 'unverified' THEN 'Verification: invalid verification_status \'\'unverified\'\' (must be verified or partially_verified)' END,
+  CASE WHEN host IN ('theresanaiforthat.com', 'creati.ai', 'producthunt.com', 'futurepedia.io', 'toolify.ai', 'topai.tools', 'aitools.fyi') THEN 'Verification: directory URL cannot serve as official product website (\'\'' || host || '\'\')' END,
   CASE WHEN trim(coalesce(short_description, '')) = '' THEN 'Description: missing short_description' END,
   CASE WHEN trim(coalesce(detailed_overview, '')) = '' THEN 'Description: missing detailed_overview' END,
-  CASE WHEN regexp_matches(said, '\\bunmatched\\b') THEN 'Description Quality: contains marketing hype word ''unmatched''' END,
-  CASE WHEN pricing_model IS NULL AND regexp_matches(said, '\\$\\d+(?:\\.\\d+)?\\s*(?:/|\\bper\\b)') THEN 'Description Grounding: contains specific dollar pricing claim while pricing metadata is unverified/None' END,
-  CASE WHEN company_developer = '[Company]' THEN 'Null Correctness: field ''company_developer'' contains placeholder value ''[Company]''' END,
-  CASE WHEN logo_url IS NOT NULL AND NOT (host <> '' AND (logo_host = host OR ends_with(logo_host, '.' || host))) THEN 'Official Links: logo host ''' || logo_host || ''' is neither official domain nor authorized CDN' END,
-  CASE WHEN record_id = 'N/A' THEN 'Data Cleanliness: field ''record_id'' contains literal string ''N/A'' instead of proper null' END,
-  CASE WHEN host_n > 1 AND official_website IS NOT NULL THEN 'Duplicate: duplicate official domain ''' || host || ''' detected across dataset' END,
-  CASE WHEN address_n > 1 AND official_website IS NOT NULL THEN 'Duplicate: duplicate canonical product URL ''' || lower(address) || ''' detected across dataset' END
+  {', '.join(f"CASE WHEN regexp_matches(said, '{chr(92)}b{w}{chr(92)}b') THEN 'Description Quality: contains marketing hype word ''{w}''' END" for w in _HYPE)},
+  CASE WHEN coalesce(pricing_model, '') = '' AND coalesce(starting_price, '') = '' AND regexp_matches(said, '\\$\\d+(?:\\.\\d+)?\\s*(?:/|\\bper\\b)') THEN 'Description Grounding: contains specific dollar pricing claim while pricing metadata is unverified/None' END,
+  {', '.join(f"CASE WHEN regexp_matches(trim({c}), '^(?s:{chr(92)}[.*{chr(92)}]|<.*>)$') THEN 'Null Correctness: field ''{c}'' contains placeholder value ''' || trim({c}) || '''' END" for c in _TEXT_FIELDS)},
+  CASE WHEN logo_url IS NOT NULL AND logo_host = '' THEN 'Official Links: invalid logo_url \'\'' || logo_url || '\'\'' END,
+  CASE WHEN logo_host <> '' AND NOT (host <> '' AND (logo_host = host OR ends_with(logo_host, '.' || host))) AND NOT regexp_matches(logo_host, '(?:{_CDNS})$') THEN 'Official Links: logo host \'\'' || logo_host || '\'\' is neither official domain nor authorized CDN' END,
+  {', '.join(f"CASE WHEN lower(trim({c})) IN {_FORBIDDEN} THEN 'Data Cleanliness: field ''{c}'' contains literal string ''' || {c} || ''' instead of proper null' END" for c in _CLEAN)},
+  CASE WHEN n_key_features = 2 THEN 'Data Cleanliness: list field \'\'key_features\'\' contains forbidden literal item \'\'TBD\'\'' END,
+  CASE WHEN n_pros = 2 THEN 'Data Cleanliness: list field \'\'pros\'\' contains forbidden literal item \'\'n/a\'\'' END,
+  CASE WHEN n_pros = 2 THEN 'Data Cleanliness: list field \'\'pros\'\' contains forbidden literal item \'\'Nil\'\'' END,
+  CASE WHEN host_n > 1 AND official_website IS NOT NULL THEN 'Duplicate: duplicate official domain \'\'' || host || '\'\' detected across dataset' END,
+  CASE WHEN address_n > 1 AND official_website IS NOT NULL THEN 'Duplicate: duplicate canonical product URL \'\'' || lower(address) || '\'\' detected across dataset' END
 ], lambda x: x IS NOT NULL) AS errors FROM r)"""
 
 
@@ -128,6 +181,33 @@ def curation_funnel(spark, sf_dir):
     return reporting.overview({"scored": scored(spark, sf_dir), "rejected": rejected, "kept": curation.top(kept, 1000)})
 
 
+_CURATED_SQL = f"""WITH {SCORED_SQL}, kept AS (SELECT * EXCLUDE (host, status) FROM judged WHERE rejection_reason IS NULL ORDER BY quality_score DESC, input_idx LIMIT 200),
+{_ERRORS_SQL.split(TOOLS_SQL + ",", 1)[1].replace("FROM tools)", "FROM kept)").replace("PARTITION BY host ORDER BY input_idx", "PARTITION BY host ORDER BY quality_score DESC, input_idx").replace("PARTITION BY address ORDER BY input_idx", "PARTITION BY address ORDER BY quality_score DESC, input_idx")},
+a AS (SELECT kept.* FROM kept JOIN e USING (input_idx) WHERE len(errors) = 0)"""
+
+
+@query(
+    f"""{_CURATED_SQL} SELECT (SELECT count(*) FROM tools) AS candidates_enriched, (SELECT count(*) FROM judged) AS candidates_after_deduplication, (SELECT count(rejection_reason) FROM judged) AS candidates_rejected,
+  (SELECT string_agg(k || '=' || n, '|' ORDER BY k) FROM (SELECT split_part(rejection_reason, ':', 1) AS k, count(*) AS n FROM judged WHERE rejection_reason IS NOT NULL GROUP BY 1)) AS rejection_reasons,
+  (SELECT string_agg(count, ',') FROM (SELECT unnest([count(*) FILTER (quality_score >= 90), count(*) FILTER (quality_score >= 80 AND quality_score < 90), count(*) FILTER (quality_score >= 70 AND quality_score < 80),
+    count(*) FILTER (quality_score >= 60 AND quality_score < 70), count(*) FILTER (quality_score < 60)]) AS count FROM judged)) AS score_distribution,
+  (SELECT count(*) FROM e WHERE len(errors) > 0) AS validation_failures, count(*) AS final_qualifying_count, count(*) FILTER (logo_url IS NULL) AS missing_logo_count,
+  count(*) FILTER (pricing_model IS NULL AND starting_price IS NULL) AS missing_pricing_count, 0 AS duplicate_count, 200 AS target_cap, (SELECT count(*) FROM tools) AS raw_candidates_discovered, 'Unknown=' || count(*) AS source_distribution FROM a"""
+)
+def curation_report(spark, sf_dir):
+    """The metrics of a curation without the merge, whose result depends on the order in which it has merged."""
+    row = curation.curate(tools(spark, sf_dir), instant(AS_OF), 200, merge=False).report()
+    pairs = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), "|").alias(c)
+    numbers = F.array_join(F.transform(F.map_values("score_distribution"), lambda v: v.cast("string")), ",").alias("score_distribution")
+    plain = ("candidates_enriched", "candidates_after_deduplication", "candidates_rejected", "validation_failures", "final_qualifying_count", "missing_logo_count", "missing_pricing_count", "duplicate_count", "target_cap", "raw_candidates_discovered")
+    return row.select(*plain, pairs("rejection_reasons"), pairs("source_distribution"), numbers)
+
+
+@query(f"{_CURATED_SQL} SELECT input_idx, quality_score FROM a")
+def accepted_products(spark, sf_dir):
+    return curation.curate(tools(spark, sf_dir), instant(AS_OF), 200, merge=False).accepted.select("input_idx", "quality_score")
+
+
 @query()
 def curation_full(spark, sf_dir):
     """Products that curation accepts, with their score. Merging depends on the order of the records it has merged, which SQL can't express."""
@@ -173,9 +253,12 @@ def row_round_trip(spark, sf_dir):
     return back.select(F.col("record_id").cast("long").alias("input_idx"), "company_developer", "free_plan")
 
 
-@query(f"WITH {TOOLS_SQL} SELECT 'record_id' AS \"column\", record_id AS value, count(*) AS n FROM tools WHERE record_id IN ('none', 'null') GROUP BY ALL")
+@query(
+    f"""WITH {TOOLS_SQL}, c AS (SELECT unnest(['record_id', 'version', 'company_developer']) AS "column", unnest([record_id, CASE WHEN input_idx % 97 = 0 THEN 'AIza' || repeat('x', 25) ELSE version END, company_developer]) AS value FROM tools)
+SELECT "column", value, count(*) AS n FROM c WHERE lower(trim(value)) IN ('none', 'null', 'nan', 'undefined') OR regexp_matches(value, 'AIza[0-9A-Za-z_-]{{20,}}') GROUP BY ALL"""
+)
 def bad_cells(spark, sf_dir):
-    rows = tools(spark, sf_dir).select("record_id")
+    rows = tools(spark, sf_dir).select("record_id", F.when(F.col("input_idx") % 97 == 0, F.concat(F.lit("AIza"), F.repeat(F.lit("x"), F.lit(25)))).otherwise(F.col("version")).alias("version"), "company_developer")
     return publishing.bad_cells(rows).groupBy("column", "value").agg(F.count("*").alias("n"))
 
 
@@ -274,12 +357,17 @@ def url_domain_metrics(spark, sf_dir):
     return table(spark, sf_dir, "pages").groupBy(urls.domain(F.col("url")).alias("host")).agg(F.count("*").alias("pages"), F.countDistinct(p.path).alias("paths"), F.count_if(p.scheme == "https").alias("secure"))
 
 
+_BRANDS = ("techcrunch.com|TechCrunch", "venturebeat.com|VentureBeat", "technologyreview.com|MIT Technology Review", "wired.com|WIRED", "engadget.com|Engadget", "ycombinator.com|Y Combinator", "builtin.com|Built In", "remoteok.com|RemoteOK", "workingnomads.com|Working Nomads", "jobspresso.co|Jobspresso", "huggingface.co|Hugging Face", "arxiv.org|arXiv")
+_BRAND_URL = "CASE page_id % 20 " + " ".join(f"WHEN {i} THEN 'https://www.sub.{b.split('|')[0]}/x'" for i, b in enumerate(_BRANDS)) + " WHEN 12 THEN '' ELSE url END"
+
+
 @query(
-    f"""WITH {_URL_SQL}, h AS (SELECT page_id, url, split_part(regexp_replace(host, '^www[.]', ''), '.', 1) AS first FROM u)
-SELECT page_id, CASE WHEN contains(url, 'ththre.example') THEN 'The Three' ELSE array_to_string(list_transform(string_split(first, '-'), lambda w: upper(w[1]) || w[2:]), '-') END AS brand FROM h"""
+    f"""WITH u AS (SELECT page_id, {_BRAND_URL} AS url FROM pages), h AS (SELECT page_id, url, replace(lower(regexp_extract(url, '://([^/?#]*)', 1)), 'www.', '') AS host FROM u)
+SELECT page_id, CASE WHEN url = '' THEN 'Public Web' {' '.join(f"WHEN contains(host, '{b.split('|')[0]}') THEN '{b.split('|')[1]}'" for b in _BRANDS)}
+  ELSE array_to_string(list_transform(string_split(host, '.'), lambda p: array_to_string(list_transform(string_split(p, '-'), lambda w: upper(w[1]) || w[2:]), '-')), '.') END AS brand FROM h"""
 )
 def source_brand_name(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", urls.brand(F.col("url"), [("ththre.example", "The Three")]).alias("brand"))
+    return table(spark, sf_dir, "pages").select("page_id", urls.brand(F.expr(_BRAND_URL)).alias("brand"))
 
 
 @query(f"WITH {_URL_SQL} SELECT page_id, regexp_matches(host, '(?:^|[.])(?:example[.]net|spam-farm[.]example[.]org)$') AS disallowed FROM u")
@@ -323,10 +411,10 @@ def link_extract_top10(spark, sf_dir):
 
 
 @query(
-    r"""WITH a AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*>.*?</script>', '', 'g'), '(?is)<style\b[^>]*>.*?</style>', '', 'g'), '(?is)<svg\b[^>]*>.*?</svg>', '', 'g'), '(?is)<noscript\b[^>]*>.*?</noscript>', '', 'g') AS t FROM pages),
-b AS (SELECT page_id, regexp_replace(regexp_replace(t, '(?i)</?(?:p|div|br|h[1-6]|li|ul|ol|tr|td|section|article)\b[^>]*>', chr(10), 'g'), '<[^>]+>', ' ', 'g') AS t FROM a),
-c AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS t FROM b)
-SELECT page_id, array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(regexp_replace(x, '[ \t\r\f]+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS body FROM c"""
+    r"""WITH a AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g'), '(?is)<svg[^>]*>.*?</svg>', '', 'g'), '(?is)<noscript[^>]*>.*?</noscript>', '', 'g') AS t FROM pages),
+b AS (SELECT page_id, regexp_replace(regexp_replace(t, '(?i)</?(?:p|div|br|h[1-6]|li|tr|article|section)[^>]*>', chr(10), 'g'), '<[^>]+>', ' ', 'g') AS t FROM a),
+c AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(t, '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS t FROM b)
+SELECT page_id, array_to_string(list_filter(list_transform(string_split_regex(t, '\r\n|[\n\r\f\v]'), lambda x: trim(regexp_replace(x, '[ \t]+', ' ', 'g'), ' ' || chr(160))), lambda x: x <> ''), chr(10)) AS body FROM c"""
 )
 def html_to_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.html_text(F.col("html")).alias("body"))
@@ -334,7 +422,7 @@ def html_to_text(spark, sf_dir):
 
 @query(
     r"""WITH t AS (SELECT page_id, regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1>', 1) AS h, regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title>', 1) AS t FROM pages)
-SELECT page_id, coalesce(nullif(trim(regexp_replace(regexp_replace(h, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), ''), nullif(trim(regexp_replace(regexp_replace(t, '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), '')) AS title FROM t"""
+SELECT page_id, coalesce({0}, {1}) AS title FROM t""".format(*(f"nullif(trim(regexp_replace(replace(replace(replace(regexp_replace({c}, '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')), '')" for c in "ht"))
 )
 def page_title_coalesce(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", pages.title(F.col("html")).alias("title"))
@@ -442,9 +530,9 @@ def mapping_log(spark, sf_dir):
 # Deduplication
 
 
-@query("WITH k AS (SELECT doc_id, lower(substr(text, 1, 20)) AS key FROM documents) SELECT min(doc_id) AS doc_id, key FROM k GROUP BY key")
+@query("WITH k AS (SELECT doc_id, md5(lower(trim(text))) AS key FROM documents) SELECT min(doc_id) AS doc_id, key FROM k GROUP BY key")
 def dedup_first_wins(spark, sf_dir):
-    df = table(spark, sf_dir, "documents").select("doc_id", F.lower(F.substring("text", 1, 20)).alias("key"))
+    df = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.lower(F.trim("text"))).alias("key"))
     return resolution.first_of(df, ["key"], ["doc_id"])
 
 
@@ -516,9 +604,25 @@ def claim_counts(spark, sf_dir):
 # Texts
 
 
-@query("SELECT doc_id, CASE WHEN length(text) <= 300 THEN text ELSE substr(text, 1, 185) || '\n[...]\n' || right(text, 100) || '' END AS cut FROM documents".replace("185", str(int((300 - 7) * 0.65))).replace("100)", f"{300 - 7 - int((300 - 7) * 0.65)})").replace("\n[...]\n", "' || chr(10) || '[...]' || chr(10) || '"))
+def _cut_sql(most: int) -> str:
+    """The rule of the cut: the last paragraph, sentence or blank of the head's last quarter, the first of the tail's first."""
+    mark = "chr(10) || chr(10) || '[... content truncated for context limits ...]' || chr(10) || chr(10)"
+    budget = most - 50
+    n, before = int(budget * 0.65), int((budget - int(budget * 0.65)) * 0.25)
+    m, since = budget - n, int(n * 0.75)
+    last = lambda x, k: f"CASE WHEN contains(substr(h, {since + 1}), {x}) THEN length(h) - instr(reverse(h), reverse({x})) + 1 - {k} END"
+    first = lambda x: f"nullif(instr(substr(t, 1, {before}), {x}), 0) - 1"
+    stops = ("'. '", "'.' || chr(10)")
+    return f"""WITH c AS (SELECT doc_id, array_to_string(list_filter(list_transform(string_split(regexp_replace(text, '<[^>]+>', ' ', 'g'), chr(10)), lambda x: trim(regexp_replace(x, '[ \\t]+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS c FROM documents),
+p AS (SELECT *, substr(c, 1, {n}) AS h, right(c, {m}) AS t FROM c),
+q AS (SELECT *, coalesce({last("chr(10) || chr(10)", 2)}, greatest({last(stops[0], 2)}, {last(stops[1], 2)}) + 1, {last("' '", 1)}, {n}) AS cut,
+  coalesce({first("chr(10) || chr(10)")} + 2, least({first(stops[0])}, {first(stops[1])}) + 2, {first("' '")} + 1, 0) AS b FROM p)
+SELECT doc_id, CASE WHEN length(c) <= {most} THEN c ELSE regexp_replace(substr(h, 1, CAST(cut AS BIGINT)), '\\s+$', '') || {mark} || regexp_replace(substr(t, CAST(b AS BIGINT) + 1), '^\\s+', '') END AS cut FROM q"""
+
+
+@query(_cut_sql(600))
 def head_tail_truncate(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.cut_head_and_tail(F.col("text"), 300, "\n[...]\n").alias("cut"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.head_and_tail(F.col("text"), 600).alias("cut"))
 
 
 _WORDS = ("idiot", "trash", "worthless", "pathetic")
@@ -529,9 +633,16 @@ def hype_scan(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.hype_found(F.col("text"), _WORDS), ",").alias("found"))
 
 
-@query("SELECT doc_id, trim(regexp_replace(regexp_replace(text, '(?i)\\b(?:idiot|trash|worthless|pathetic)\\b', '', 'g'), '\\s+', ' ', 'g')) AS kept FROM documents")
+_ENRICHER = ("revolutionary", "cutting-edge", "world-class", "game-changing", "state-of-the-art", "ultimate", "unmatched", "unrivaled", "seamlessly empowers")
+_HYPED = "CASE WHEN doc_id % 3 = 0 THEN text ELSE 'The ' || " + "CASE doc_id % 9 " + " ".join(f"WHEN {i} THEN '{w.title()}'" for i, w in enumerate(_ENRICHER)) + " END || '  tool. ' || text END"
+
+
+@query(
+    f"""WITH h AS (SELECT doc_id, {_HYPED} AS t FROM documents) SELECT doc_id, CASE WHEN regexp_matches(t, '(?i){chr(92)}b(?:{'|'.join(_ENRICHER)}){chr(92)}b')
+  THEN regexp_replace(trim(regexp_replace(t, '(?i){chr(92)}b(?:{'|'.join(_ENRICHER)}){chr(92)}b', '', 'g')), '{chr(92)}s+', ' ', 'g') ELSE t END AS kept FROM h"""
+)
 def hype_removal(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.without_hype(F.col("text"), _WORDS).alias("kept"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.without_hype(F.expr(_HYPED)).alias("kept"))
 
 
 @query("SELECT doc_id, lower(trim(v)) IN ('none', 'null', 'n/a', 'na', 'unknown', 'undefined', 'nan', 'nil', 'not available', 'not specified', 'tbd', 'todo') AS forbidden, regexp_matches(trim(v), '^(\\[.*\\]|<.*>)$') AS placeholder FROM (SELECT doc_id, [' N/A', '<x>', '[y] ', 'TBD', 'fine'][1 + doc_id % 5] AS v FROM documents)")
@@ -542,7 +653,7 @@ def forbidden_literals(spark, sf_dir):
 
 @query("SELECT doc_id, array_to_string(list_filter([CASE WHEN regexp_matches(lower(text), '\\b(?:this work|all rights)\\b') THEN 'Legal' END, CASE WHEN regexp_matches(lower(text), 'token|api[_-]?key') THEN 'Secret' END, CASE WHEN regexp_matches(lower(text), '\\d{3}') THEN 'Number' END], lambda x: x IS NOT NULL), ',') AS labels FROM documents")
 def modality_labels(spark, sf_dir):
-    patterns = (("Legal", r"\b(?:this work|all rights)\b"), ("Secret", "token|api[_-]?key"), ("Number", r"\d{3}"))
+    patterns = ((r"\b(?:this work|all rights)\b", "Legal"), ("token|api[_-]?key", "Secret"), (r"\d{3}", "Number"))
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(pages.labels(F.col("text"), patterns), ",").alias("labels"))
 
 
@@ -618,7 +729,6 @@ def pagination_stop(spark, sf_dir):
     return crawling.pagination(df.groupBy("event_type", "batch").agg(F.count("*").alias("fetched"), F.count_if("__first").alias("new")), 40, ["event_type"])
 
 
-@query("SELECT l_orderkey, l_linenumber, least(60.0, CAST(1.5 AS DOUBLE) ** (l_linenumber - 1)) AS delay FROM lineitem WHERE l_quantity > 45")
+@query("SELECT l_orderkey, l_linenumber, least(60.0, CAST(1.5 AS DOUBLE) ** (l_linenumber - 1)) AS delay FROM lineitem")
 def retry_schedule(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem").where("l_quantity > 45")
-    return df.select("l_orderkey", "l_linenumber", crawling.retry_delay(F.col("l_linenumber") - 1).alias("delay"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", crawling.retry_delay(F.col("l_linenumber") - 1).alias("delay"))

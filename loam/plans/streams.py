@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loam.operators.checkpoints import shared_dir
 from loam.plans.queries import EVENTS_AS_OF, _requests, instant
 from loam.streaming import claims
 
@@ -16,7 +15,7 @@ from loam.streaming import claims
 def finished(stream: DataFrame) -> DataFrame:
     """What a stream over the files that are there now gives, written to the shared folder."""
     spark = stream.sparkSession
-    where = f"{(spark.conf.get('spark.checkpoint.dir', None) or os.path.join(tempfile.gettempdir(), 'loam-streams')).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    where = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     writer = stream.writeStream.format("parquet").option("path", f"{where}/out").option("checkpointLocation", f"{where}/state")
     writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{where}/out")

@@ -6,26 +6,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loam import schemas
+from loam.functions import text, urls
+from loam.operators import validation
 from loam.sources.files import table
 
 AS_OF = "2026-09-12 12:00:00"
 
+
+
+def _nth(by: int, *values: str) -> str:
+    """SQL for one of the values, by how many times `by` goes into doc_id."""
+    return f"CASE CAST(floor(doc_id / {by}) AS BIGINT) % {len(values)} " + " ".join(f"WHEN {i} THEN '{v.replace(chr(39), chr(39) * 2)}'" for i, v in enumerate(values)) + " END"
+
+
 SCALARS = {
     "input_idx": "doc_id",
-    "record_id": "CASE WHEN doc_id % 37 = 0 THEN 'N/A' ELSE 'r' || doc_id END",
+    "record_id": f"CASE WHEN doc_id % 37 = 0 THEN {_nth(37, 'N/A', 'none', ' NULL ', 'Unknown', 'tbd', 'not specified')} ELSE 'r' || doc_id END",
     "tool_name": "CASE WHEN doc_id % 19 = 0 THEN ' ' ELSE 'Tool ' || doc_id END",
-    "official_website": "CASE WHEN doc_id % 23 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN 'https://creati.ai/ai-tools/x' || doc_id WHEN doc_id % 29 = 0 THEN 'no address' ELSE 'https://www.site' || (doc_id % 4000) || '.example.com/p' || (doc_id % 3) || '/?utm_source=a' END",
+    "official_website": f"CASE WHEN doc_id % 23 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN 'https://' || {_nth(11, *urls.VALIDATOR_DIRECTORIES)} || '/ai-tools/x' || doc_id WHEN doc_id % 29 = 0 THEN 'no address' ELSE 'https://www.site' || (doc_id % 4000) || '.example.com/p' || (doc_id % 3) || '/?utm_source=a' END",
     "company_developer": "CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 41 = 0 THEN '[Company]' ELSE 'Dev ' || (doc_id % 50) END",
-    "current_status": "CASE doc_id % 7 WHEN 0 THEN 'Active' WHEN 1 THEN 'Beta' WHEN 2 THEN 'Active' WHEN 3 THEN 'Pre-launch' WHEN 4 THEN 'Deprecated' WHEN 5 THEN 'Discontinued' END",
+    "current_status": "CASE WHEN doc_id % 61 = 0 THEN '<status>' ELSE CASE doc_id % 7 WHEN 0 THEN 'Active' WHEN 1 THEN 'Beta' WHEN 2 THEN 'Active' WHEN 3 THEN 'Pre-launch' WHEN 4 THEN 'Deprecated' WHEN 5 THEN 'Discontinued' END END",
     "verification_status": "CASE WHEN doc_id % 5 < 3 THEN 'verified' WHEN doc_id % 5 = 3 THEN 'partially_verified' ELSE 'unverified' END",
-    "short_description": "CASE WHEN doc_id % 13 = 0 THEN NULL WHEN doc_id % 43 = 0 THEN 'An unmatched thing at $5 per seat' ELSE substr(text, 1, 40) END",
-    "detailed_overview": "CASE WHEN doc_id % 17 = 0 THEN NULL ELSE substr(text, 1, 200) END",
-    "primary_task": "CASE doc_id % 4 WHEN 0 THEN 'Developer tools' WHEN 1 THEN 'Misc' WHEN 2 THEN 'ab' END",
+    "short_description": f"CASE WHEN doc_id % 13 = 0 THEN NULL WHEN doc_id % 43 = 0 THEN 'A ' || {_nth(43, *text.HYPE_WORDS)} || ' thing at $5 per seat' ELSE 'A tool for ' || lang || ' texts of ' || source END",
+    "detailed_overview": "CASE WHEN doc_id % 17 = 0 THEN NULL ELSE text END",
+    "primary_task": "CASE WHEN doc_id % 53 = 0 THEN '[task]' ELSE CASE doc_id % 4 WHEN 0 THEN 'Developer tools' WHEN 1 THEN 'Misc' WHEN 2 THEN 'ab' END END",
     "api_availability": "CASE doc_id % 6 WHEN 0 THEN 'True' WHEN 1 THEN 'GraphQL' WHEN 2 THEN 'maybe' END",
     "open_source_status": "CASE WHEN doc_id % 31 = 0 THEN 'MIT' END",
-    "version": "CASE WHEN doc_id % 8 = 0 THEN '1.0' END",
-    "pricing_model": "CASE doc_id % 4 WHEN 0 THEN 'Free' WHEN 1 THEN 'Paid' WHEN 2 THEN 'Custom' END",
-    "logo_url": "CASE WHEN doc_id % 2 = 0 THEN 'https://site' || (doc_id % 4000) || '.example.com/logo.png' WHEN doc_id % 10 = 1 THEN 'https://other.example.org/l.png' END",
+    "version": "CASE WHEN doc_id % 47 = 0 THEN '<1.0>' WHEN doc_id % 8 = 0 THEN '1.0' END",
+    "country": "CASE WHEN doc_id % 59 = 0 THEN ' [Land] ' WHEN doc_id % 9 = 0 THEN 'France' END",
+    "pricing_model": "CASE WHEN doc_id % 71 = 0 THEN '<price>' ELSE CASE doc_id % 4 WHEN 0 THEN 'Free' WHEN 1 THEN 'Paid' WHEN 2 THEN 'Custom' END END",
+    "starting_price": "CASE WHEN doc_id % 73 = 0 THEN '[$]' WHEN doc_id % 9 = 1 THEN '$9/month' END",
+    "important_usage_limits": "CASE WHEN doc_id % 79 = 0 THEN '<none>' END",
+    "logo_url": f"CASE WHEN doc_id % 2 = 0 THEN 'https://site' || (doc_id % 4000) || '.example.com/logo.png' WHEN doc_id % 10 = 1 THEN 'https://other.example.org/l.png' WHEN doc_id % 10 = 3 THEN 'https://img' || {_nth(10, *validation.LOGO_HOSTS)} || '/l.png' WHEN doc_id % 10 = 5 THEN 'https://cdn.site' || (doc_id % 4000) || '.example.com/l.png' WHEN doc_id % 20 = 7 THEN 'logo.png' END",
     "usage_adoption_signals": "CASE quality WHEN 1 THEN '120 users' WHEN 0 THEN 'mentioned once' END",
 }
 FLAGS = {"free_plan": "CASE WHEN doc_id % 4 = 0 THEN true END"}
@@ -36,8 +48,9 @@ COUNTS = {
     "outputs": ("CAST(floor(doc_id / 4) AS BIGINT) % 3", ("Text", "Code")),
     "supported_platforms": ("doc_id % 3", ("Web", "iOS")),
     "ai_capabilities": ("doc_id % 5", ("a", "b", "c", "d")),
-    "key_features": ("doc_id % 2", ("f",)),
+    "key_features": ("CASE WHEN doc_id % 67 = 0 THEN 2 ELSE doc_id % 2 END", ("f", "TBD")),
     "main_use_cases": ("CAST(floor(doc_id / 2) AS BIGINT) % 3", ("u", "v")),
+    "pros": ("CASE WHEN doc_id % 83 = 0 THEN 2 ELSE 0 END", ("n/a", "Nil")),
     "sources": ("doc_id % 3", ("one", "two")),
 }
 AGE = "CASE WHEN doc_id % 5 <> 0 THEN doc_id % 1000 END"
@@ -46,7 +59,7 @@ AGE = "CASE WHEN doc_id % 5 <> 0 THEN doc_id % 1000 END"
 def tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as products: all columns of a product between stages."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    joined = docs.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id", "left")
+    joined = docs.select("doc_id", "text", "lang", "source").join(labels.select("doc_id", "quality"), "doc_id", "left")
     lists = {c: F.slice(F.array(*[F.lit(x) for x in items]), F.lit(1), F.expr(n).cast("int")) for c, (n, items) in COUNTS.items()}
     refs = F.transform(lists.pop("sources"), lambda s: F.struct(s.alias("source"), s.alias("source_url"), F.concat(s, F.lit("/"), F.col("doc_id")).alias("discovered_url"), F.lit(None).cast("string").alias("discovered_at")))
     as_of = F.lit(AS_OF).cast("timestamp")
@@ -58,7 +71,7 @@ def tools(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 TOOLS_SQL = f"""tools AS (
   SELECT {', '.join(f'{e} AS {c}' for c, e in (SCALARS | FLAGS).items())},
-    {', '.join(f'{n} AS n_{c}' for c, (n, _) in COUNTS.items())}, {AGE} AS age
+    {', '.join(f'{n} AS n_{c}' for c, (n, _) in COUNTS.items())}, {', '.join(f'{list(items)!r}[1:({n})] AS {c}' for c, (n, items) in COUNTS.items() if c != 'sources')}, {AGE} AS age
   FROM documents LEFT JOIN labels USING (doc_id))"""
 
 SCORED_SQL = (
@@ -83,7 +96,7 @@ criteria AS (
     CASE WHEN age <= 365 THEN 5 WHEN age <= 730 THEN 4 WHEN age IS NOT NULL THEN 2 ELSE 3 END AS recency,
     CASE WHEN n_inputs < 2 AND n_outputs < 2 AND n_supported_platforms < 2 AND api_availability IS NULL THEN 1.0 ELSE
       CASE WHEN n_inputs >= 2 OR n_outputs >= 2 THEN 2 ELSE 0 END + CASE WHEN n_supported_platforms >= 2 THEN 1.5 ELSE 0 END + CASE WHEN api_availability IS NOT NULL THEN 1.5 ELSE 0 END END AS differentiation,
-    CASE WHEN verification_status = 'verified' AND official_website IS NOT NULL THEN 2 WHEN official_website IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN logo_url IS NOT NULL THEN 1 ELSE 0 END
+    CASE WHEN verification_status = 'verified' AND official_website IS NOT NULL THEN 2 WHEN official_website IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN starts_with(logo_url, 'http') THEN 1 ELSE 0 END
       + CASE WHEN pricing_model IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN short_description <> '' AND detailed_overview <> '' THEN 1 ELSE 0 END AS information_quality
   FROM points),
 totals AS (
@@ -96,7 +109,7 @@ judged AS (
     WHEN status = 'deprecated' THEN 'Tool status is inactive/deprecated: ''' || status || ''''
     WHEN verification_status = 'unverified' THEN 'Verification failed or unverified: ''unverified'''
     WHEN official_website IS NULL THEN 'Missing canonical official website'
-    WHEN host = 'creati.ai' THEN 'Directory URL cannot serve as official product website'
+    WHEN regexp_matches(host, 'theresanaiforthat[.]com|creati[.]ai|producthunt[.]com') THEN 'Directory URL cannot serve as official product website'
     WHEN coalesce(short_description, '') = '' THEN 'Missing short_description'
     WHEN coalesce(detailed_overview, '') = '' THEN 'Missing detailed_overview'
     WHEN quality_score < 60 THEN 'Quality score ' || printf('%.1f', quality_score) || ' below threshold (60.0)'

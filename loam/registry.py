@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loam.plans import queries, streams
+from loam.plans import evidence, queries, streams
 
-QUERIES = queries.QUERIES | streams.QUERIES
-ORACLE_SQL = queries.SQL | streams.SQL
+QUERIES = queries.QUERIES | evidence.QUERIES | streams.QUERIES
+ORACLE_SQL = queries.SQL | evidence.SQL | streams.SQL

@@ -30,7 +30,8 @@ ENVELOPE = f"schemaVersion string, recordType string, source {SOURCE}"
 STARTUP = f"{ENVELOPE}, content struct<entityName:string,data:struct<employeeCount:int,website:string,company_url:string,industries:array<string>,description:string>>, collectedAt timestamp"
 PRODUCT = f"{ENVELOPE}, content struct<productName:string,startupName:string,pricingModel:string,product_url:string>, collectedAt timestamp"
 PAPER = f"{ENVELOPE}, content struct<title:string,authors:array<string>,paper_url:string,github_url:string,github_stars:int,published_date:timestamp>, collectedAt timestamp"
-ITEM = f"{ENVELOPE}, content struct<url:string,title:string,company:string,role:string,date:timestamp,is_remote:boolean,is_date_only:boolean>, collectedAt timestamp"
+JOB = f"{ENVELOPE}, content struct<url:string,title:string,company:string,role:string,role_family:string,date:timestamp,is_remote:boolean,is_date_only:boolean>, collectedAt timestamp"
+NEWS = f"{ENVELOPE}, content struct<url:string,title:string,text:string,published_date:timestamp,is_date_only:boolean>, collectedAt timestamp"
 MAPPING_LOG = f"{ENVELOPE}, raw_name string, canonical_name string, entity_type string, source_url string, match_type string, confidence double, item_url string, reason string"
 CRAWL = "url string, status_code int, html string, success boolean, used_browser boolean, error string"
 PRICING_MODELS = ("FREE", "FREEMIUM", "PAID", "ENTERPRISE")

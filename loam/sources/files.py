@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,13 +10,26 @@ from loam.functions.urls import paper_id
 
 
 def json_array(spark: SparkSession, path: str, schema: str, required: bool = False) -> DataFrame:
-    """A whole-file JSON array. A missing file is an empty table unless required; malformed rows are left out."""
+    """Files that hold a JSON array each. A missing, malformed or empty one is an empty table, unless it is required: then a
+    missing one raises at once and a malformed one when it is read."""
     try:
-        return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
-    except AnalysisException:
-        if required:
+        files = spark.read.text(path, wholetext=True)
+    except AnalysisException as error:
+        if required or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
+    kind = f"array<struct<{', '.join(f'`{f.name}`: {f.dataType.simpleString()}' for f in spark.createDataFrame([], schema).schema)}>>"
+    whole = F.json_array_length("value").isNotNull()
+    broken = F.raise_error(F.concat(F.lit("no JSON array in "), F.input_file_name())) if required else F.lit(None)
+    return files.select(F.inline(F.when(whole, F.from_json("value", kind)).otherwise(broken.cast(kind))))
+
+
+def records(spark: SparkSession, path: str) -> int:
+    """How many records a JSON array has, for reports; 0 if it can't be read."""
+    try:
+        return json_array(spark, path, "placeholder string").count()
+    except (AnalysisException, PySparkException):
+        return 0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

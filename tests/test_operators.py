@@ -1,6 +1,9 @@
 """Operators on cases with known results."""
 
 import datetime as dt
+import html
+import random
+from collections import Counter
 from urllib.parse import urljoin
 
 import pytest
@@ -9,8 +12,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loam import schemas
-from loam.functions import dates, pages, text, urls
-from loam.operators import claims, crawling, merging, publishing, resolution, scoring, validation
+from loam.functions import dates, markup, pages, text, urls
+from loam.operators import claims, crawling, discovery, merging, publishing, resolution, scoring, validation
 from loam.plans import curation, harvest, news
 from loam.sources import files
 
@@ -133,7 +136,12 @@ def test_scores_tiers_and_rejections(spark):
     rows = scoring.score(frame(spark, tool(), rich, rich | {"current_status": "Deprecated"}, rich | {"official_website": "https://creati.ai/x"}, rich | {"current_status": "Discontinued"}), now())
     got = rows.withColumn("why", scoring.rejection()).orderBy("input_idx").collect()
     assert got[0].quality_score < 60 and got[0].why.startswith("Quality score") and got[0].quality_tier == "Reject"
-    assert got[1].quality_score == 99.0 and got[1].why is None and got[1].quality_score_rationale.startswith("Tier: Exceptional (99.0/100). Capability: 25.0/25 | ")
+    assert got[1].quality_score == 99.0 and got[1].why is None and got[1].quality_score_rationale == (
+        "Tier: Exceptional (99.0/100). Capability: 25.0/25 (Task: Coding, Modalities (2 in, 2 out), Platforms (2), API verified) | Usefulness: 20.0/20 (High workflow utility domain, Documented problem solving, 2 use cases)"
+        " | Adoption: 14.0/15 (Verified signals: 12000 users, Active live service) | Activity: 15.0/15 (Active verified status) | Maturity: 10.0/10 (Developer: Dev, Dedicated domain, Version: 2, Pricing: Paid)"
+        " | Recency: 5.0/5 (Launched within 1 year (2026)) | Differentiation: 5.0/5 (Multi-modal pipeline, Cross-platform support, Programmable API)"
+        " | Info Quality: 5.0/5 (Official website verified, Official logo verified, Pricing model verified, Descriptions verified)"
+    )
     assert got[2].why == "Tool status is inactive/deprecated: 'deprecated'" and got[3].why.startswith("Directory URL") and got[4].why is None
     edges = [95.0, 90.0, 85.0, 80.0, 75.0, 70.0, 65.0, 59.9, 40.0]
     assert one(spark, edges, scoring.tier, "double") == ["Exceptional"] * 2 + ["Excellent"] * 2 + ["Good"] * 2 + ["Average / Skip"] + ["Reject"] * 2
@@ -177,7 +185,9 @@ def test_merging(spark):
 def test_curation_end_to_end(spark):
     rows = frame(spark, tool(current_status="Active", company_developer="D", pricing_model="Free", categories=["Design"], primary_task="Design", usage_adoption_signals="9 users", inputs=["a", "b"], outputs=["c"], supported_platforms=["Web", "iOS"]), tool(tool_name="Bad", official_website="https://bad.example"))
     done = curation.curate(rows, now())
-    assert {r["name"]: r.n for r in done.report().collect()} == {"scored": 2, "rejected": 1, "accepted": 1, "failed": 0}
+    report = done.report(raw=9).first()
+    assert (report.raw_candidates_discovered, report.candidates_after_deduplication, report.candidates_rejected, report.final_qualifying_count, report.validation_failures, report.candidates_verified) == (9, 2, 1, 1, 0, 2)
+    assert report.source_distribution == {"Unknown": 1} and sum(report.score_distribution.values()) == 2
     assert done.published().columns == list(schemas.TOOL)
 
 
@@ -245,3 +255,82 @@ def test_published_rows_come_back(spark):
     assert (rows.first().free_plan, rows.first().categories, rows.first().quality_score_breakdown) == ("True", "a, b", '{"a": 2.0, "b": 1.5}')
     assert publishing.read_tool_rows(rows).orderBy("free_plan").collect()[-1] == df.select(*schemas.TOOL).first()
     assert [(r.column, r.value) for r in publishing.bad_cells(rows).collect()] == [("country", "null")]
+
+
+def test_tables_are_published_and_surplus_ones_go(spark, tmp_path):
+    good, bad = spark.createDataFrame([("x", "1"), ("y", "")], "a string, b string"), spark.createDataFrame([("NaN", "")], "a string, b string")
+    good.write.parquet(str(tmp_path / "old"))
+    for kind in ("parquet", "csv", "json"):
+        report = {r["name"]: (r.records, r.bad_cells, r.written) for r in publishing.publish({"good": good, "bad": bad}, str(tmp_path), kind).collect()}
+        assert report == {"good": (2, 0, True), "bad": (1, 1, False)}
+        reader = spark.read.schema("a string, b string").option("header", True).option("nullValue", "zz")
+        assert reader.format(kind).load(str(tmp_path / "good")).count() == 2
+    assert publishing.surplus(spark, str(tmp_path), ["good"]) == ["old"]
+    publishing.publish({"good": good}, str(tmp_path), clean=True)
+    assert publishing.surplus(spark, str(tmp_path), []) == ["good"]
+    publishing.write_report(spark.createDataFrame([(1, None)], "n int, s string"), str(tmp_path / "report"))
+    assert spark.read.text(str(tmp_path / "report")).first()[0] == '{"n":1,"s":null}'
+
+
+def test_json_arrays(spark, tmp_path):
+    (tmp_path / "good.json").write_text('[{"a": 1, "b": "x"}, {"a": 2}]')
+    (tmp_path / "bad.json").write_text('[{"a": 1, "b": "x"}, {"a": ')
+    read = lambda name, **k: files.json_array(spark, str(tmp_path / name), "a int, b string", **k).collect()
+    assert [(r.a, r.b) for r in read("good.json")] == [(1, "x"), (2, None)] and read("bad.json") == [] and read("none.json") == []
+    assert len(read("good.json", required=True)) == 2 and files.records(spark, str(tmp_path / "good.json")) == 2 and files.records(spark, str(tmp_path / "bad.json")) == 0
+    for name in ("none.json", "bad.json"):
+        with pytest.raises(Exception):  # noqa: B017, PT011
+            read(name, required=True)
+
+
+def test_entities_agree_with_the_standard_library(spark):
+    values = ["plain", "a &amp; b &lt;i&gt;", "&amp;lt; once", "&#65;&#x41;&#X1F600; &#0; &#128; &#xD800;", "&copy 2020 &copy; &notit; &notin; &nope; & &&;", "&eacute;&Eacute &ampx", "", None, "&#8217;s&nbsp;x"]
+    assert one(spark, values, text.unescaped) == [None if v is None else html.unescape(v) for v in values]
+
+
+def greedy(rows):
+    """The merge by its definition, on (order, name, developer, host, address) in order: the kept one of each row."""
+    by_site, by_name, kept = {}, {}, {}
+    for i, name, dev, site in sorted(rows):
+        match = by_site.get(site) if site else None
+        if match is None and name in by_name:
+            other = by_name[name]
+            if len({site, kept[other][1]} - {""}) < 2 and len({dev, kept[other][0]} - {""}) < 2:
+                match = other
+        if match is None:
+            kept[i] = [dev, site]
+            by_name[name] = i
+            if site:
+                by_site[site] = i
+            yield i, i
+        else:
+            kept[match] = [kept[match][0] or dev, kept[match][1] or site]
+            yield i, match
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_merging_against_a_plain_version(spark, seed):
+    draw = random.Random(seed)
+    rows = [(i, f"n{draw.randrange(12)}", draw.choice(["", "", "d1", "d2"]), draw.choice(["", f"s{draw.randrange(15)}.example"])) for i in range(70)]
+    tools = [tool(tool_name=n, company_developer=d or None, official_website=f"https://{s}/" if s else None) for _, n, d, s in rows]
+    out = merged(spark, *tools)
+    want = Counter(rep for _, rep in greedy(rows))
+    assert {r.input_idx: 1 + r.domain_matches + r.url_matches + r.name_matches for r in out} == want
+
+
+def test_discovery_stops_at_its_limit(spark):
+    names = ["A1", "B1", "a1", "C1", "b1", "A1"]
+    made = [(f"c{i}", n, None, f"https://d.example/{i}", "S", "s", f"about {i}", [f"k{i}"], [], {"external_product_url": None}, [("S", "s", "u", "t")], "t", i) for i, n in enumerate(names)]
+    df = spark.createDataFrame(made, discovery.CANDIDATE)
+    assert [(r.input_idx, r.found, r.categories) for r in discovery.merge_candidates(df).orderBy("input_idx").collect()] == [(0, 3, ["k0", "k2", "k5"]), (1, 2, ["k1", "k4"]), (3, 1, ["k3"])]
+    assert [(r.input_idx, r.found) for r in discovery.merge_candidates(df, 2).orderBy("input_idx").collect()] == [(0, 1), (1, 1)]
+    assert [(r.input_idx, r.found) for r in discovery.merge_candidates(df, 3).orderBy("input_idx").collect()] == [(0, 2), (1, 1), (3, 1)]
+    assert discovery.merge_candidates(df.where("false")).count() == 0
+
+
+def test_markup_of_broken_pages():
+    page = markup.read("<div class='a b'><p>one<br>two</p><img src=x><ul><li>1<li>2</ul></span></div><p>last")
+    assert [e.tag for e in page.walk()] == ["div", "p", "br", "img", "ul", "li", "li", "p"] and page.first(markup.tag("p")).text("|") == "one|two"
+    assert page.first(lambda e: e.has_class("b")).class_part("a") and markup.read(None).text() == "" and markup.read("<" * 50_000 + "a>").text(strip=False) is not None
+    deep = markup.read("<div>" * 20_000 + "x")
+    assert deep.text() == "x" and sum(1 for _ in deep.walk()) == 20_000
