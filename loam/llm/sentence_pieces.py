@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -19,11 +20,13 @@ from loam.llm import common
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 3
+#: Places of the table of pieces' beginnings.
+PLACES = 1 << 18
 #: The blank that pieces begin with, and a number beyond all code points for that character in a text.
 BLANK, LITERAL = "▁", 0x110000
 #: Distinct chunks of text whose lattices a task remembers, and how many characters of them it makes at once.
-CHUNK_CACHE, CACHE_CHARS, AT_ONCE = 120_000, 1_000_000, 100_000
-SLICE_BYTES = 1 << 20
+CHUNK_CACHE, CACHE_CHARS, AT_ONCE = 100_000, 900_000, 50_000
+SLICE_BYTES = 1 << 19
 #: A chunk longer than this is cut where no piece crosses.
 LONG = 48
 #: States whose ln mass lies this far below the first one's are out of reach of a draw's 52 bits.
@@ -88,11 +91,11 @@ class Vocabulary:
         # a table by the hash's low bits, with the few others of a place behind it
         keys = np.array(sorted(prefixes), np.uint64)
         values = np.array([prefixes[int(h)] for h in keys], np.int64)
-        self.mask = np.uint64((1 << 20) - 1)
+        self.mask = np.uint64(PLACES - 1)
         place = (keys & self.mask).astype(np.int64)
         order = np.argsort(place, kind="stable")
         rank = np.arange(len(keys)) - np.searchsorted(place[order], place[order])
-        self.slots = [(np.zeros(1 << 20, np.uint64), np.full(1 << 20, -2, np.int64)) for _ in range(int(rank.max()) + 1)]
+        self.slots = [(np.zeros(PLACES, np.uint64), np.full(PLACES, -2, np.int32)) for _ in range(int(rank.max()) + 1)]
         for r, (slot_key, slot_value) in enumerate(self.slots):
             own = order[rank == r]
             slot_key[place[own]], slot_value[place[own]] = keys[own], values[own]
@@ -111,10 +114,14 @@ class Vocabulary:
     def find(self, h: np.ndarray) -> np.ndarray:
         """For hashes of texts: the piece, -1 for the beginning of one only, -2 for neither."""
         at = (h & self.mask).astype(np.int64)
-        out = np.full(len(h), -2, np.int64)
-        for slot_key, slot_value in self.slots:
-            hit = slot_key[at] == h
-            out[hit] = slot_value[at[hit]]
+        slot_key, slot_value = self.slots[0]
+        out = np.where(slot_key[at] == h, slot_value[at], np.int32(-2))
+        rest = np.flatnonzero(out == -2)
+        for slot_key, slot_value in self.slots[1:]:  # ever fewer places have a further slot
+            rest = rest[slot_key[at[rest]] != 0]
+            hit = slot_key[at[rest]] == h[rest]
+            out[rest[hit]] = slot_value[at[rest[hit]]]
+            rest = rest[~hit]
         return out
 
     def spell(self, code: int) -> int:
@@ -161,7 +168,7 @@ class Vocabulary:
         return np.array([j for i in ids.tolist() for j in (self.bytes_of[i - self.size] if i >= self.size else (i,))], np.int32)
 
     def decode(self, ids) -> str:
-        return b"".join([self.data[i] for i in ids])[1:].decode("utf-8", "replace")
+        return b"".join(map(self.data.__getitem__, ids))[1:].decode("utf-8", "replace")
 
 
 class Lattices:
@@ -186,17 +193,18 @@ class Lattices:
         if len(self.number) > CHUNK_CACHE or self.places > CACHE_CHARS:
             self.clear()
         known = self.number
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        at, chars, made = 0, 0, []
-        for i, c in enumerate(new):
-            chars += len(c)
-            if chars > AT_ONCE or i + 1 == len(new):
-                made.append(self._made(new[at : i + 1]))
-                at, chars = i + 1, 0
-        if made:
-            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-            self._append(made)
-        return np.array(list(map(known.__getitem__, chunks)), np.int64)
+        out = np.fromiter(map(known.get, chunks, itertools.repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(out < 0)
+        if not len(missing):
+            return out
+        wanted = [chunks[i] for i in missing.tolist()]
+        new = list(dict.fromkeys(wanted))
+        known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+        sizes = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)))
+        cuts = [0, *np.flatnonzero(np.diff(sizes // AT_ONCE)).tolist(), len(new)]
+        self._append([self._made(new[x:y]) for x, y in itertools.pairwise(dict.fromkeys(cuts)) if y > x])
+        out[missing] = np.fromiter(map(known.__getitem__, wanted), np.int64, len(wanted))
+        return out
 
     def _append(self, made: list[dict]) -> None:
         for m in made:
@@ -273,7 +281,11 @@ class Lattices:
         at, end = self.start[chunk], self.end[chunk]
         counts, rows, steps = np.zeros(len(chunk), np.int64), np.arange(len(chunk)), []
         while len(rows):
-            u = _uniform(seed).astype(np.float32)
+            if len(steps) % 2:  # a hash is enough for two draws
+                u = ((bits >> np.uint64(12)) & np.uint64(0xFFFFFF)).astype(np.float32) * np.float32(2.0**-24)
+            else:
+                bits = _mixed(seed)
+                u = (bits >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
             e = self.edge[at]
             more = np.flatnonzero(self.upto[e] <= u)
             while len(more):
@@ -283,7 +295,10 @@ class Lattices:
             at = at + self.length[e]
             going = np.flatnonzero(at < end)
             counts[rows] = len(steps)
-            rows, at, end, seed = rows[going], at[going], end[going], seed[going] + _GOLD
+            rows, at, end, bits = rows[going], at[going], end[going], bits[going]
+            seed = seed[going]
+            if not len(steps) % 2:
+                seed = seed + _GOLD
         first = np.cumsum(counts) - counts
         out = np.zeros(int(counts.sum()), np.int32)
         for k, (rows, ids) in enumerate(steps):
@@ -357,45 +372,18 @@ class Search:
     its best segmentation, whose other parts become states in turn.
     """
 
-    def __init__(self, lattices: Lattices, chunks: np.ndarray, seed: np.uint64, samples: int) -> None:
-        self.l, self.chunks, self.seed, self.samples, self.n = lattices, chunks, seed, samples, 0
+    def __init__(self, lattices: Lattices, chunks: np.ndarray, seed: np.uint64) -> None:
+        self.l, self.chunks, self.seed, self.n = lattices, chunks, seed, 0
         self.ways = lattices.ways[lattices.start[chunks]]
         self.frontier: list[tuple[float, int, int, int, list]] = []  # -priority, tie, path, chunk, excluded
         self.found: list[Path] = []
 
-    def _draw(self, size: int) -> np.ndarray:
-        self.n += 1
-        return _uniform(_mixed(self.seed + np.array([self.n], np.uint64) * _MIX2) + np.arange(size, dtype=np.uint64) * _GOLD)
-
-    def first(self, ids: np.ndarray, counts: np.ndarray, log: np.ndarray) -> None:
+    def first(self, ids: np.ndarray, counts: np.ndarray, log: np.ndarray) -> tuple[Path, int, list]:
         """The best segmentation of all, a plain draw; its perturbed ln P is a Gumbel variable at ln 1."""
-        self._add(Path(ids, counts, log, float(-np.log(-np.log(self._draw(1)[0])))), 0, [])
-
-    def _add(self, path: Path, since: int, excluded: list[tuple[int, ...]]) -> None:
-        """Take a path that is free from chunk `since` on, where `excluded` had been ruled out; split what is left."""
-        self.found.append(path)
-        m = len(self.chunks)
-        if since >= m:
-            return
-        log = path.log[since:]
-        ahead = path.log[:since].sum() + np.cumsum(log) - log
-        log = log[: max(1, int(np.searchsorted(-ahead, FAINT - ahead[0], side="right")))]
-        ahead = ahead[: len(log)]
-        with np.errstate(divide="ignore"):
-            other = np.where(self.ways[since : since + len(log)] > 1.5, np.log(-np.expm1(log)), -np.inf)
-        gone = [*excluded, path.of(since)]
-        if excluded:
-            chunk = self.chunks[since]
-            p = sum(math.exp(min(0.0, float(self.l.v.log[list(x)].sum() - self.l.total[chunk]))) for x in gone)
-            other[0] = math.log(max(1e-300, 1 - p)) if self.ways[since] - len(gone) > 0.5 else -np.inf
-        mass = ahead + other
-        ok = np.flatnonzero(np.isfinite(mass))
-        value = -np.logaddexp(-path.gumbel, np.log(-np.log(self._draw(len(log))[ok])) - mass[ok])
-        # at most as many states of a path are ever taken as samples are asked for, and one more for the threshold
-        best = np.argsort(-value, kind="stable")[: self.samples]
-        for i, x in zip(ok[best].tolist(), value[best].tolist(), strict=True):
-            rule = gone if i == 0 else [path.of(since + i)]
-            heapq.heappush(self.frontier, (-x, len(self.found) * 1_000_000 + i, len(self.found) - 1, since + i, rule))
+        self.n += 1
+        u = _uniform(_mixed(self.seed + np.array([self.n], np.uint64) * _MIX2))[0]
+        self.found.append(Path(ids, counts, log, float(-np.log(-np.log(u)))))
+        return self.found[-1], 0, []
 
     def threshold(self) -> float:
         """The largest perturbed ln P that is still to be found."""
@@ -407,11 +395,57 @@ class Search:
         seed = _mixed(self.seed + np.array([len(self.found) + 1], np.uint64) * _MIX1)[0]
         return self.found[k], i, rule, -value, *self.l.sample_other(int(self.chunks[i]), rule, seed)
 
-    def close(self, state: tuple, ids: np.ndarray, counts: np.ndarray, log: np.ndarray) -> None:
+    def close(self, state: tuple, ids: np.ndarray, counts: np.ndarray, log: np.ndarray) -> tuple[Path, int, list]:
         """Take the segmentation of a popped state, with the draws of the chunks after it."""
         path, i, rule, value, own, own_log = state
         ids = np.concatenate([path.ids[: path.before(i)], np.array(own, np.int32), ids])
-        self._add(Path(ids, np.concatenate([path.counts[:i], [len(own)], counts]), np.concatenate([path.log[:i], [own_log], log]), value), i, rule)
+        self.found.append(Path(ids, np.concatenate([path.counts[:i], [len(own)], counts]), np.concatenate([path.log[:i], [own_log], log]), value))
+        return self.found[-1], i, rule
+
+
+def split(lattices: Lattices, new: list[tuple[Search, Path, int, list]], samples: int) -> None:
+    """For new paths, each free from a chunk `since` on where some ways had been ruled out: push the states that are left, a
+    state for each chunk in which another segmentation may differ first. For all texts at once.
+
+    States behind a prefix whose ln mass has fallen by FAINT are left out: a draw would reach one of them with a probability
+    of about exp(-FAINT), which is less than its 52 bits tell apart."""
+    new = [(s, p, i, gone) for s, p, i, gone in new if i < len(s.chunks)]
+    if not new:
+        return
+    since = np.array([i for _, _, i, _ in new])
+    log = np.concatenate([p.log[i:] for _, p, i, _ in new])
+    sizes = np.array([len(p.log) - i for _, p, i, _ in new])
+    first = np.cumsum(sizes) - sizes
+    ahead = np.concatenate([np.cumsum(p.log[i:]) for _, p, i, _ in new]) - log  # text by text, whatever comes with it
+    at = np.flatnonzero(ahead >= -FAINT)
+    of = np.searchsorted(first, at, side="right") - 1
+    log, place = log[at], at - first[of]
+    ahead = ahead[at] + np.array([p.log[:i].sum() for _, p, i, _ in new])[of]
+    chunk = np.concatenate([s.chunks[i:] for s, _, i, _ in new])[at]
+    with np.errstate(divide="ignore"):
+        other = np.where(lattices.ways[lattices.start[chunk]] > 1.5, np.log(-np.expm1(log)), -np.inf)
+    rules = [[*gone, p.of(i)] for _, p, i, gone in new]
+    begins = np.searchsorted(of, np.arange(len(new)))
+    for t, (s, _, i, gone) in enumerate(new):
+        if gone:
+            chunk_ = s.chunks[i]
+            p = sum(math.exp(min(0.0, float(lattices.v.log[list(x)].sum() - lattices.total[chunk_]))) for x in rules[t])
+            other[begins[t]] = math.log(max(1e-300, 1 - p)) if s.ways[i] - len(rules[t]) > 0.5 else -np.inf
+        s.n += 1
+    mass = ahead + other
+    seeds = _mixed(np.array([s.seed for s, _, _, _ in new], np.uint64) + np.array([s.n for s, _, _, _ in new], np.uint64) * _MIX2)
+    ok = np.flatnonzero(np.isfinite(mass))
+    of, place, mass = of[ok], place[ok], mass[ok]
+    u = _uniform(seeds[of] + place.astype(np.uint64) * _GOLD)
+    value = -np.logaddexp(-np.array([p.gumbel for _, p, _, _ in new])[of], np.log(-np.log(u)) - mass)
+    order = np.lexsort((place, -value, of))
+    of, place, value = of[order], place[order], value[order]
+    # at most as many states of a path are ever taken as samples are asked for, and one more for the threshold
+    best = np.flatnonzero(np.arange(len(of)) - np.searchsorted(of, of) < samples)
+    for t, i, x in zip(of[best].tolist(), place[best].tolist(), value[best].tolist(), strict=True):
+        s, path, begin, _ = new[t]
+        rule = rules[t] if i == 0 else [path.of(begin + i)]
+        heapq.heappush(s.frontier, (-x, len(s.found) * 1_000_000 + i, len(s.found) - 1, begin + i, rule))
 
 
 def encode_slice(lattices: Lattices, texts: list[str], seeds: list[int], samples: int) -> list[list[tuple]]:
@@ -421,7 +455,7 @@ def encode_slice(lattices: Lattices, texts: list[str], seeds: list[int], samples
     chunk = lattices.numbers([c for p in parts for c in p])
     ends = np.cumsum([len(p) for p in parts])
     seeds_ = np.array(seeds, np.uint64)
-    searches = [Search(lattices, chunk[e - len(p) : e], s, samples) for p, e, s in zip(parts, ends, seeds_, strict=True)]
+    searches = [Search(lattices, chunk[e - len(p) : e], s) for p, e, s in zip(parts, ends, seeds_, strict=True)]
     salts = np.arange(max(map(len, parts), default=0) + 1, dtype=np.uint64)
 
     def drawn(todo: list[tuple[int, int]], turn: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -438,13 +472,11 @@ def encode_slice(lattices: Lattices, texts: list[str], seeds: list[int], samples
             a = b
 
     if texts:
-        for s, d in zip(searches, drawn([(t, 0) for t in range(len(texts))], 0), strict=True):
-            s.first(*d)
+        split(lattices, [(s, *s.first(*d)) for s, d in zip(searches, drawn([(t, 0) for t in range(len(texts))], 0), strict=True)], samples)
     for turn in range(1, samples):
         states = [(t, s.pop()) for t, s in enumerate(searches) if s.frontier]
         if states:
-            for (t, state), d in zip(states, drawn([(t, state[1] + 1) for t, state in states], turn), strict=True):
-                searches[t].close(state, *d)
+            split(lattices, [(searches[t], *searches[t].close(state, *d)) for (t, state), d in zip(states, drawn([(t, state[1] + 1) for t, state in states], turn), strict=True)], samples)
     out = []
     for s in searches:
         most, rows = s.threshold(), []
@@ -466,6 +498,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[
     perturbed ln P and ln of the probability that a search with this threshold includes them. Draws are seeded by the
     row's key, so equal rows get equal samples and reruns agree. Null texts are empty; an empty text has one
     segmentation, of no pieces; texts with fewer segmentations than samples give all of theirs. Null keys share a seed.
+    States of the search that a draw reaches with a probability of about exp(-FAINT) at most are left out.
     The model is read by the driver and sent to the tasks. One pass, no shuffle.
     """
     common.bounded_batches(docs.sparkSession)

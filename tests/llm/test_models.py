@@ -266,6 +266,16 @@ def test_few_segmentations_are_all_found(lattices):
         assert {tuple(f[0].tolist()) for f in each} == set(want) and all(f[3] == 0 for f in each)
 
 
+def test_faint_states_change_nothing(lattices, monkeypatch):
+    """The search with and without the states that it leaves out."""
+    long = [" ".join(texts(1, seed, 150)) for seed in range(40, 60)]
+    seeds = list(range(900, 920))
+    short = [[(tuple(f[0].tolist()), f[1], f[2]) for f in each] for each in sentence_pieces.encode_slice(lattices, long, seeds, 3)]
+    monkeypatch.setattr(sentence_pieces, "FAINT", math.inf)
+    whole = [[(tuple(f[0].tolist()), f[1], f[2]) for f in each] for each in sentence_pieces.encode_slice(lattices, long, seeds, 3)]
+    assert short == whole and all(len({f[0] for f in each}) == 3 for each in short)
+
+
 def test_encoding_round_trips(spark):
     odd = ["", None, "  two  blanks ", "tab\tand\nlines\r\n", "▁ literal ▁x", "emoji 🤦🏽 日本語 العربية", "\x00\x7f", "a" * 5000, " ".join(f"w{i}" for i in range(5000)), " "]
     df = spark.createDataFrame([(i, t, "own") for i, t in enumerate(odd)] + [(None, "x", "y"), (0, "", "own")], "doc_id long, text string, ids string")
