@@ -68,6 +68,27 @@ def evidence() -> Column:
     return F.concat_ws("\n", *[F.concat(F.lit(name), value) for name, value in lines])
 
 
+def next_try(status_code: Column, error: Column, attempt: Column, retry_after: Column, body: Column, max_chars: Column, backoff: float = 1.0, most: float = 60.0, attempts: int = 3) -> dict[str, Column]:
+    """What follows a model's reply: action (done, retry or next_provider), wait in seconds without the random part, and the
+    characters that the next try may send. attempt counts from 0. error: null, `network`, `invalid`, `no_key` or other.
+
+    A 429 waits as long as its header says, or its body, a second more, or twice as long each time; a 413 sends six tenths;
+    a broken connection waits twice as long each time. All else, and the last attempt, is left to the next provider."""
+    grown = F.lit(backoff) * F.pow(F.lit(2.0), attempt)
+    spoken = F.nullif(F.regexp_extract(body, r"(?i)retry in ([0-9.]+)s", 1), F.lit(""))
+    stated = F.nullif(F.regexp_extract(body, r'"retryDelay":\s*"([0-9.]+)s"', 1), F.lit(""))
+    limited, large = F.coalesce(status_code == 429, F.lit(False)), F.coalesce(status_code == 413, F.lit(False))
+    broken = F.coalesce(error == "network", F.lit(False))
+    waited = F.coalesce(retry_after.try_cast("double"), F.coalesce(spoken, stated).try_cast("double") + 1, grown)
+    again = (limited | large | broken) & (attempt + 1 < attempts)
+    done = F.coalesce((status_code == 200) & error.isNull(), F.lit(False))
+    return {
+        "action": F.when(done, "done").when(again, "retry").otherwise("next_provider"),
+        "wait": F.when(again, F.when(limited, F.least(F.lit(most), waited)).when(large, F.lit(0.5)).otherwise(grown)).otherwise(0.0),
+        "max_chars": F.when(large, F.greatest(F.lit(1000), F.floor(max_chars * 0.6))).otherwise(max_chars).cast("long"),
+    }
+
+
 def enrich(records: DataFrame, answers: DataFrame, as_of: Column, key: str = "input_idx") -> DataFrame:
     """Records with the descriptions of their answers (key, success, provider, raw, error), cleaned; adds enrichment_status
     (enriched, failed or skipped_unverified), enrichment_provider and enrichment_errors. Records that aren't verified are

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loam import schemas
 from loam.functions import urls
+from loam.operators import reporting
 
 # Cells that mean a missing value got through, and shapes of credentials.
 BAD_CELLS = ("none", "null", "nan", "undefined")
@@ -208,6 +209,20 @@ def publish(tables: dict[str, DataFrame], path: str, format: str = "parquet", cl
     return spark.createDataFrame(report, "name string, records long, bad_cells long, written boolean")
 
 
+#: How records of each sheet become rows.
+SHEETS = {"Startups": startup_rows, "Products": product_rows, "Research Papers": paper_rows, "Jobs": job_rows, "News": news_rows, "Entity Mapping Log": mapping_rows}
+
+
+def export(datasets: dict[str, DataFrame], path: str | None = None) -> DataFrame:
+    """Check all datasets of SHEETS, publish their rows and remove other tables. Without a path they are only checked. Returns
+    the checks, with what was written."""
+    checks = reporting.dataset_validation(datasets)
+    if path is None:
+        return checks
+    written = publish({name: SHEETS[name](df) for name, df in datasets.items()}, path, clean=True)
+    return checks.join(written, "name")
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """A report of one row, or few, as JSON."""
     report.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)

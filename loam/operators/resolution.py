@@ -20,6 +20,14 @@ def seed_catalog(spark: SparkSession, rows: Sequence[tuple[str, Sequence[str], S
     return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"position int, {SEED_SCHEMA}")
 
 
+def catalog_file(spark: SparkSession, path: str) -> DataFrame:
+    """A catalog from a JSON array of SEED_SCHEMA, which must be there; in the file's order."""
+    from loam.sources.files import json_array
+
+    rows = json_array(spark, path, SEED_SCHEMA, required=True).withColumn("at", F.monotonically_increasing_id())
+    return rows.select(F.col("at").cast("int").alias("position"), "canonical_name", "aliases", "products")
+
+
 def _last(df: DataFrame, *keys: str) -> DataFrame:
     """The last row by position for each key: later entries overwrite earlier ones."""
     rest = [c for c in df.columns if c not in keys]

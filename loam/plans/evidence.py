@@ -611,6 +611,21 @@ def enrichment_report(spark, sf_dir):
     return enriching.enrichment_report(_enriched(spark, sf_dir))
 
 
+@query(
+    """WITH r AS (SELECT p_partkey AS i, p_partkey % 10 AS c, p_size % 3 AS a FROM part)
+SELECT i, CASE WHEN c = 0 THEN 'done' WHEN c IN (1, 2, 3, 4, 5, 6) AND a < 2 THEN 'retry' ELSE 'next_provider' END AS action,
+  CASE WHEN a = 2 THEN 0.0 WHEN c = 1 THEN 7.5 WHEN c = 2 THEN 4.5 WHEN c = 3 THEN 13.0 WHEN c IN (4, 6) THEN 2.0 ** a WHEN c = 5 THEN 0.5 ELSE 0.0 END AS wait, CASE WHEN c = 5 THEN CASE WHEN a = 0 THEN 7200 ELSE 1000 END WHEN a = 0 THEN 12000 ELSE 1500 END AS max_chars FROM r"""
+)
+def model_retries(spark, sf_dir):
+    p = part(spark, sf_dir).withColumn("attempt", F.col("p_size") % 3)
+    code = F.expr(picked("i", "200", "429", "429", "429", "429", "413", None, "500", "200", None)).cast("int")
+    error = F.expr(picked("i", None, None, None, None, None, None, "network", None, "invalid", "no_key"))
+    after = F.expr(picked("i", None, "7.5", "soon", None, None, None, None, None, None, None))
+    body = F.expr(picked("i", "", "", "Please Retry in 3.5s", '{"retryDelay": "12s"}', "", "", "", "", "", ""))
+    found = enriching.next_try(code, error, F.col("attempt"), after, body, F.when(F.col("attempt") == 0, 12_000).otherwise(1_500))
+    return p.select("i", *[c.alias(n) for n, c in found.items()])
+
+
 # Texts
 
 

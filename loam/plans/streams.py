@@ -35,8 +35,31 @@ def stream_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finished(claims.claims(rows))
 
 
-QUERIES = {"stream_fresh": stream_fresh, "stream_claims": stream_claims}
+def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of the events that come together; how often one is remembered again depends on how files are dealt."""
+    return finished(claims.first_seen(_events(spark, sf_dir), ["user_id"]).select("user_id"))
+
+
+def stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = spark.read.parquet(f"{sf_dir}/pages.parquet").schema
+    return finished(claims.bounded(spark, f"{sf_dir}/page[s].parquet", schema).select("page_id"))
+
+
+def stream_claim_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items that are claimed, done or failed, and given back, in turn."""
+    events = _events(spark, sf_dir).withColumn("user_id", F.col("event_id"))
+    rows = _requests(spark, sf_dir, events.select("event_type", "user_id", "event_id"))
+    log = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(e).alias("event")) for k, e in enumerate(("COMPLETE", "CLAIM", "CLAIM", "FAIL", "RELEASE", "RELEASE", "CLAIM"))])
+    each = rows.withColumn("url", F.concat(F.lit("https://item.example/e"), "event_order")).select("source", "url", "worker_id", (F.col("event_order") * 10).alias("at"), F.explode(log).alias("x"))
+    states = claims.claims(each.select("source", "url", "worker_id", (F.col("at") + F.col("x.k")).alias("event_order"), F.col("x.event").alias("event")))
+    return finished(states).select("normalized_url", "status", (F.col("event_order") % 10).cast("int").alias("step"))
+
+
+QUERIES = {"stream_fresh": stream_fresh, "stream_claims": stream_claims, "stream_first_seen": stream_first_seen, "stream_bounded": stream_bounded, "stream_claim_log": stream_claim_log}
 SQL = {
+    "stream_first_seen": "SELECT DISTINCT user_id FROM events",
+    "stream_bounded": "SELECT page_id FROM pages",
+    "stream_claim_log": "SELECT 'https://item.example/e' || event_id AS normalized_url, unnest(['CLAIMED', 'FAILED', 'FREE', 'CLAIMED']) AS status, unnest([1, 3, 4, 6]) AS step FROM events",
     "stream_fresh": f"SELECT event_id FROM events WHERE ts >= TIMESTAMP '{EVENTS_AS_OF}' - INTERVAL 24 HOUR AND ts <= TIMESTAMP '{EVENTS_AS_OF}'",
     "stream_claims": """WITH c AS (SELECT event_type AS source, 'https://item.example/' || (user_id % 97) AS normalized_url, 'w' || (event_id % 7) AS worker_id, event_id AS event_order FROM events)
 SELECT source, normalized_url, arg_min(worker_id, event_order) AS worker_id, 'CLAIMED' AS status, min(event_order) AS event_order FROM c GROUP BY 1, 2""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -53,3 +53,8 @@ def fresh(events: DataFrame, as_of, ts: str = "ts", delay: str = "24 hours") ->
 def first_seen(events: DataFrame, keys: list[str], ts: str = "ts", within: str = "24 hours") -> DataFrame:
     """The first event of each key, remembered for a bounded time."""
     return events.withWatermark(ts, within).dropDuplicatesWithinWatermark(keys)
+
+
+def bounded(spark: SparkSession, path: str, schema, files: int = 1) -> DataFrame:
+    """A stream of Parquet files that takes so many at a time."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)

@@ -272,6 +272,27 @@ def test_tables_are_published_and_surplus_ones_go(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "report")).first()[0] == '{"n":1,"s":null}'
 
 
+def test_export_checks_and_publishes(spark, tmp_path):
+    startup = spark.createDataFrame([("1.0", None, ("S", "https://s.example"), ("Acme", (3, None, None, ["AI"], "d")), dt.datetime(2026, 1, 2))], schemas.STARTUP)
+    log = startup.select("schemaVersion", F.lit(None).cast("string").alias("recordType"), "source", F.lit("a").alias("raw_name"), F.lit("A").alias("canonical_name"), F.lit("STARTUP").alias("entity_type"), F.lit(None).cast("string").alias("source_url"), F.lit("ALIAS").alias("match_type"), F.lit(None).cast("double").alias("confidence"), F.lit(None).cast("string").alias("item_url"), F.lit(None).cast("string").alias("reason"))
+    got = {r["name"]: r for r in publishing.export({"Startups": startup, "Entity Mapping Log": log}, str(tmp_path)).collect()}
+    assert got["Startups"].verdict == "FAIL" and got["Startups"].written and got["Entity Mapping Log"].verdict == "PASS" and got["Entity Mapping Log"].records == 1
+    assert spark.read.parquet(str(tmp_path / "Startups")).first().itemUrl == "https://s.example" and spark.read.parquet(str(tmp_path / "Entity Mapping Log")).first().reason == "Matched via ALIAS"
+    assert publishing.export({"Startups": startup}).count() == 1
+
+
+def test_catalogs_come_from_files(spark, tmp_path):
+    (tmp_path / "seeds.json").write_text('[{"canonical_name": "OpenAI", "aliases": ["Open AI"], "products": ["Sora"]}, {"canonical_name": "Other", "aliases": [], "products": []}]')
+    dims = resolution.dimensions(resolution.catalog_file(spark, str(tmp_path / "seeds.json")))
+    got = resolution.resolve_startups(spark.createDataFrame([("open ai",), ("other",), ("x",)], "raw_name string"), dims).orderBy("raw_name").collect()
+    assert [(r.canonical_name, r.match_method) for r in got] == [("OpenAI", "ALIAS"), ("Other", "EXACT"), ("x", "UNRESOLVED")]
+
+
+def test_unknown_kinds_are_refused(spark):
+    with pytest.raises(ValueError):
+        crawling.keep_crawled(spark.createDataFrame([], schemas.CRAWL), now(), "RESEARCH")
+
+
 def test_json_arrays(spark, tmp_path):
     (tmp_path / "good.json").write_text('[{"a": 1, "b": "x"}, {"a": 2}]')
     (tmp_path / "bad.json").write_text('[{"a": 1, "b": "x"}, {"a": ')
