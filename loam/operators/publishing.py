@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loam import schemas
-from loam.functions import urls
+from loam.functions import dates, urls
+from loam.functions import text as strings
 from loam.operators import reporting
 
 # Cells that mean a missing value got through, and shapes of credentials.
@@ -54,18 +55,27 @@ def tool_rows(tools: DataFrame) -> DataFrame:
     return tools.select(*[cell(c, kind).alias(c) for c, kind in schemas.TOOL.items()])
 
 
+#: Columns that hold a flag or a text.
+FLAG_OR_TEXT = ("api_availability", "open_source_status", "signup_requirement")
+
+
 def read_tool_rows(rows: DataFrame) -> DataFrame:
-    """The inverse of tool_rows; '' is null, or an empty list."""
+    """Products of rows of strings, as people may have written them: blank cells are null, lists are separated by commas, flags
+    are said in several ways, numbers as prices become dollars, and what can't be read is null."""
 
     def back(c: str, kind: str) -> Column:
-        v = F.nullif(F.col(c), F.lit(""))
+        v = strings.blank_to_null(F.col(c))
         if kind == "boolean":
-            return v == "True"
+            return strings.as_bool(v)
         if kind == "array<string>":
-            return F.coalesce(F.split(v, ", "), F.array().cast(kind))
+            return strings.as_list(v)
+        if kind == "timestamp":
+            return dates.instant(v)
         if kind.startswith("map"):
             return F.from_json(v, kind)
-        return v.try_cast(kind)
+        if c in FLAG_OR_TEXT:
+            return strings.as_bool_text(v)
+        return strings.as_price(v) if c == "starting_price" else v.try_cast(kind)
 
     return rows.select(*[back(c, k).alias(c) for c, k in schemas.TOOL.items()])
 

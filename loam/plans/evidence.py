@@ -676,6 +676,12 @@ def atom_papers(spark, sf_dir):
     return _feeds(spark, sf_dir).select("arxiv_id", "title", F.array_join("authors", ",").alias("authors"), "published_date")
 
 
+@query(f"WITH {_PAPER_SQL}, f AS (SELECT i, min(i) OVER (PARTITION BY arxiv_id) AS first FROM e) SELECT CAST(floor(i / 10) AS BIGINT) AS batch, count(*) AS fetched, count(*) FILTER (i = first) AS new FROM f GROUP BY 1")
+def paper_batches(spark, sf_dir):
+    rows = _feeds(spark, sf_dir).withColumns({"batch": F.floor(F.col("arxiv_id").cast("long") / 10), "input_idx": F.col("published_date")})
+    return harvest.batch_totals(rows)
+
+
 _REPO_SQL = "r AS (SELECT CAST(p_partkey AS VARCHAR) AS arxiv_id, CASE WHEN p_partkey % 4 = 0 THEN 'https://github.com/o/r' || p_partkey END AS github_url, CASE WHEN p_partkey % 8 = 0 THEN CAST(p_size AS INTEGER) END AS github_stars FROM part)"
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loam import schemas
 from loam.functions import dates, pages, text, urls
 from loam.operators import claims, crawling, merging, publishing, reporting, resolution, scoring, searching, validation
-from loam.plans import curation, harvest
+from loam.plans import curation, harvest, tools_view
 from loam.plans.tools_view import AS_OF, SCORED_SQL, TOOLS_SQL, tools
 from loam.sources.files import table
 
@@ -236,21 +236,55 @@ def source_distribution(spark, sf_dir):
     return reporting.by_source(tools(spark, sf_dir), "current_status")
 
 
-@query(
-    f"""WITH {TOOLS_SQL} SELECT input_idx, coalesce(tool_name, '') AS tool_name, coalesce(company_developer, '') AS company_developer, CASE WHEN free_plan THEN 'True' WHEN NOT free_plan THEN 'False' ELSE '' END AS free_plan,
-  array_to_string(['Text', 'Image', 'Audio'][1:n_inputs], ', ') AS inputs, coalesce(strftime(TIMESTAMP '{AS_OF}' - to_days(CAST(age AS INTEGER)), '%Y-%m-%dT%H:%M:%S+00:00'), '') AS launch_date FROM tools"""
-)
+_STAMP = "'%Y-%m-%dT%H:%M:%S+00:00'"
+
+
+def _cell_sql(c: str, kind: str) -> str:
+    """A published cell by the values of the products' view."""
+    if c in tools_view.SCALARS:
+        return f"coalesce({c}, '')"
+    if c in tools_view.COUNTS:
+        return f"array_to_string({c}, ', ')"
+    known = {"free_plan": "CASE WHEN free_plan THEN 'True' ELSE '' END", "launch_date": f"coalesce(strftime(TIMESTAMP '{AS_OF}' - to_days(CAST(age AS INTEGER)), {_STAMP}), '')", "last_verified_date": f"strftime(TIMESTAMP '{AS_OF}', {_STAMP})"}
+    return known.get(c, "''")
+
+
+def _read_sql(c: str, kind: str) -> str:
+    """The same cell as it is read again, as a text."""
+    return {"boolean": f"CASE WHEN {c} THEN 'true' END" if c == "free_plan" else "NULL", "array<string>": _cell_sql(c, kind)}.get(kind, f"nullif(trim({_cell_sql(c, kind)}), '')")
+
+
+@query(f"WITH {TOOLS_SQL} SELECT {', '.join(f'{_cell_sql(c, k)} AS {c}' for c, k in schemas.TOOL.items())} FROM tools")
 def row_serialise(spark, sf_dir):
-    df = tools(spark, sf_dir)
-    return df.select("input_idx", *[publishing.cell(c, schemas.TOOL[c]).alias(c) for c in ("tool_name", "company_developer", "free_plan", "inputs", "launch_date")])
+    return publishing.tool_rows(tools(spark, sf_dir))
 
 
-@query(f"WITH {TOOLS_SQL} SELECT input_idx, company_developer, free_plan FROM tools")
+@query(f"WITH {TOOLS_SQL} SELECT {', '.join(f'{_read_sql(c, k)} AS {c}' for c, k in schemas.TOOL.items())} FROM tools")
 def row_round_trip(spark, sf_dir):
     """Products written as strings and read again."""
-    df = tools(spark, sf_dir)
-    back = publishing.read_tool_rows(publishing.tool_rows(df.withColumn("record_id", F.col("input_idx").cast("string"))))
-    return back.select(F.col("record_id").cast("long").alias("input_idx"), "company_developer", "free_plan")
+    back = publishing.read_tool_rows(publishing.tool_rows(tools(spark, sf_dir)))
+    shown = {"array<string>": lambda c: F.array_join(c, ", "), "timestamp": lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss+00:00")}
+    return back.select(*[shown.get(k, lambda c: F.col(c).cast("string"))(c).alias(c) for c, k in schemas.TOOL.items()])
+
+
+@query(
+    """SELECT p_partkey AS i, CASE p_partkey % 6 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true WHEN 3 THEN false END AS free_plan, CASE p_partkey % 4 WHEN 0 THEN '$' || printf('%.2f', CAST(p_size AS DOUBLE)) WHEN 1 THEN 'Free' WHEN 2 THEN 'ask' END AS starting_price,
+  CASE p_partkey % 3 WHEN 0 THEN 'True' WHEN 1 THEN 'False' ELSE 'On request' END AS api_availability, CASE p_partkey % 3 WHEN 0 THEN 'a|b c' WHEN 1 THEN '' ELSE 'x' END AS tags, CASE WHEN p_partkey % 2 = 0 THEN p_size + 0.5 END AS quality_score, CASE WHEN p_partkey % 2 = 0 THEN 1.5 END AS points FROM part"""
+)
+def field_coercions(spark, sf_dir):
+    """Cells as people write them."""
+    p = table(spark, sf_dir, "part")
+    made = {
+        "free_plan": "CASE p_partkey % 6 WHEN 0 THEN ' Yes' WHEN 1 THEN '0' WHEN 2 THEN 'TRUE' WHEN 3 THEN 'n' WHEN 4 THEN 'maybe' ELSE ' ' END",
+        "starting_price": "CASE p_partkey % 4 WHEN 0 THEN CAST(p_size AS STRING) WHEN 1 THEN '0' WHEN 2 THEN ' ask ' END",
+        "api_availability": "CASE p_partkey % 3 WHEN 0 THEN 'yes' WHEN 1 THEN ' FALSE' ELSE 'On request' END",
+        "tags": "CASE p_partkey % 3 WHEN 0 THEN ' a,, b c ,' WHEN 1 THEN ' ' ELSE 'x' END",
+        "quality_score": "CASE WHEN p_partkey % 2 = 0 THEN (p_size || '.5') ELSE 'high' END",
+        "quality_score_breakdown": "CASE WHEN p_partkey % 2 = 0 THEN '{\"a\": 1.5}' ELSE 'none' END",
+        "record_id": "CAST(p_partkey AS STRING)",
+    }
+    back = publishing.read_tool_rows(p.select(*[(F.expr(made[c]) if c in made else F.lit(None).cast("string")).alias(c) for c in schemas.TOOL]))
+    return back.select(F.col("record_id").cast("int").alias("i"), "free_plan", "starting_price", "api_availability", F.array_join("tags", "|").alias("tags"), "quality_score", F.element_at("quality_score_breakdown", "a").alias("points"))
 
 
 @query(
