@@ -156,8 +156,9 @@ def _matrix(texts: list[str | None]) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> Trees:
-    """Fit the trees on labelled documents outside the held-out fold. Documents with several labels take the lowest;
-    null ids and null labels don't train."""
+    """Fit the trees on labelled documents outside the held-out fold. Documents with several labels take the lowest, ids with
+    several texts one of these, by hash; null ids and null labels don't train."""
+    common.bounded_batches(docs.sparkSession)
     usable = labels.where(F.col("quality").isNotNull() & (common.remainder(F.col("doc_id"), FOLDS) != 0))
     share = max_rows / max(1, usable.count())
     sample = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(min(1, share) * (1 << 30)))
@@ -171,7 +172,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) ->
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["doc_id", "quality", "x"])
 
     # the sample has about max_rows rows whatever the input, so it can be broadcast and its statistics collected
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", F.col("quality").cast("int"), "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("quality"), F.min_by("text", F.xxhash64("text")).alias("text"))
     rows = sorted(rows.mapInArrow(run, "doc_id long, quality int, x array<double>").collect())
     x, y = np.array([r.x for r in rows]).reshape(len(rows), N_STATISTICS), np.array([r.quality for r in rows], np.float64)
     return fit(x, y)
@@ -182,6 +184,7 @@ def score_quality(docs: DataFrame, model: Trees, threshold: float = THRESHOLD) -
 
     Null texts score as empty ones. Null ids are not held out. Repeated rows score alike; other columns aren't read.
     """
+    common.bounded_batches(docs.sparkSession)
     rows = docs.select("doc_id", F.coalesce(common.remainder(F.col("doc_id"), FOLDS) == 0, F.lit(False)).alias("held_out"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -44,6 +44,42 @@ def test_flat_trees_score_as_walked_trees():
     assert (quality_classifier.fit(x, np.ones(400)).score(x) > 0.99).all()
 
 
+def plain_fit(x, y, trees, depth, rate, bins, l2, least):
+    """The boosting by its definition: every limit of every feature is tried at every node, one after another."""
+    share = (y.sum() + 0.5) / (len(y) + 1)
+    raw, limits = np.full(len(y), math.log(share / (1 - share))), [sorted(set(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1]))) for j in range(x.shape[1])]
+
+    def grow(rows, level, g, h):
+        if level == depth:
+            return lambda r, v=rate * g[rows].sum() / (h[rows].sum() + l2): v
+        part = lambda i: g[i].sum() ** 2 / (h[i].sum() + l2)
+        best, chosen = 1e-6, None
+        for j, edges in enumerate(limits):
+            for e in edges:
+                left, right = [i for i in rows if x[i, j] <= e], [i for i in rows if x[i, j] > e]
+                if h[left].sum() >= least and h[right].sum() >= least and (gain := part(left) + part(right) - part(rows)) > best + 1e-12:
+                    best, chosen = gain, (j, e, left, right)
+        if chosen is None:
+            return grow(rows, level + 1, g, h)
+        j, e, left, right = chosen
+        low, high = grow(left, level + 1, g, h), grow(right, level + 1, g, h)
+        return lambda r: low(r) if r[j] <= e else high(r)
+
+    for _ in range(trees):
+        p = 1 / (1 + np.exp(-raw))
+        tree = grow(list(range(len(y))), 0, y - p, p * (1 - p))
+        raw = raw + np.array([tree(r) for r in x])
+    return raw
+
+
+def test_boosting_against_a_plain_version():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(120, 4))
+    y = ((x[:, 0] > 0.2) ^ (x[:, 2] * x[:, 1] > 0)).astype(float)
+    model = quality_classifier.fit(x, y, trees=4, depth=3, rate=0.3, bins=8, l2=1.0, min_weight=2.0)
+    assert model.raw(x) == pytest.approx(plain_fit(x, y, 4, 3, 0.3, 8, 1.0, 2.0))
+
+
 def test_classifier_on_held_out_documents(spark):
     from tests.conftest import SF
 
