@@ -26,10 +26,6 @@ SLICE_BYTES = 4 << 20
 BATCH_BYTES, BATCH_ROWS = 4 << 20, 10_000
 
 
-#: The C library's option for the size from which blocks are mapped apart, and that size.
-M_MMAP_THRESHOLD, MAPPED_BYTES = -3, 1 << 20
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -81,12 +77,10 @@ def release(spark: SparkSession) -> None:
 
 
 def return_memory() -> None:
-    """Let this worker give freed memory back to the system at once. Workers live on between tasks, beside each other, and keep
-    what they have used at most; large blocks that the C library maps apart go back when they are freed."""
-    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such option
-        libc = ctypes.CDLL(None)
-        libc.mallopt(M_MMAP_THRESHOLD, MAPPED_BYTES)
-        libc.malloc_trim(0)
+    """Give what this worker has freed back to the system. Workers live on between tasks, beside each other, and else keep what
+    they have used at most."""
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such function
+        ctypes.CDLL(None).malloc_trim(0)
     pa.default_memory_pool().release_unused()
 
 
