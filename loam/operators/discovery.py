@@ -266,11 +266,9 @@ def representatives(candidates: DataFrame, order: str = "input_idx") -> DataFram
     """(order, rep): the record that each candidate is merged into. Nameless ones have none. Only keys go through Python."""
     site = F.replace(urls.parts(F.element_at("raw_metadata", "external_product_url")).host, F.lit("www."), F.lit(""))
     keyed = candidates.select(order, F.coalesce(site, F.lit("")).alias("site"), text.entity_key(F.col("tool_name")).alias("name")).where(F.length("name") >= 2)
-    of_block = merging.labelled(keyed, order, ["site", "name"])
-    sizes = of_block.groupBy("block").agg(F.count("*").alias("n"))
-    rows = keyed.join(of_block, order).join(sizes, "block")
-    alone = rows.where("n = 1").select(order, F.col(order).alias("rep"))
-    shared = rows.where("n > 1").select("block", order, "site", "name").groupBy("block").applyInPandas(lambda b: _represented(b, order), f"`{order}` long, rep long")
+    members = merging.labelled(keyed, order, ["site", "name"])
+    alone = keyed.join(members, order, "left_anti").select(order, F.col(order).alias("rep"))
+    shared = keyed.join(members, order).select("block", order, "site", "name").groupBy("block").applyInPandas(lambda b: _represented(b, order), f"`{order}` long, rep long")
     return alone.unionByName(shared)
 
 

@@ -36,7 +36,8 @@ def keys(tools: DataFrame) -> DataFrame:
 
 
 def labelled(keyed: DataFrame, order: str, columns: Sequence[str]) -> DataFrame:
-    """(order, block): records that share a value of a column, directly or over others, are in one block; '' is no value.
+    """(order, block) of the records that share a value of a column with others, directly or over others: these are in one
+    block. '' is no value.
 
     Only such records can be merged, so that blocks can be worked on apart. Labels travel over the keys that records share:
     each round, every record takes the least label of those that share one of its keys, and its label's label. Records
@@ -53,9 +54,8 @@ def labelled(keyed: DataFrame, order: str, columns: Sequence[str]) -> DataFrame:
         far = labels.select(F.col(order).alias("now"), F.col("block").alias("far"))
         after = checkpointed(step.join(far, "now").select(order, "was", F.least("now", "far").alias("block")))
         if after.where("was != block").isEmpty():
-            break
+            return after.select(order, "block")
         labels = after.select(order, "block")
-    return keyed.select(order).join(after.select(order, "block"), order, "left").select(order, F.coalesce("block", order).alias("block"))
 
 
 def _merge(kept: dict, copy: dict) -> None:
@@ -119,11 +119,10 @@ def merge_duplicates(tools: DataFrame, order: str = "input_idx") -> DataFrame:
     name_matches count those. Rows without a name go. Only blocks of two or more go through Python."""
     keyed = keys(tools).where("__name != ''")
     lists = {c: F.coalesce(F.col(c), F.array().cast("array<string>")) for c in schemas.LISTS} | {"discovery_references": F.coalesce(F.col("discovery_references"), F.array().cast(schemas.STAGE["discovery_references"]))}
-    of_block = checkpointed(labelled(keyed, order, ["__site", "__address", "__name"]))
-    sizes = of_block.groupBy("block").agg(F.count("*").alias("__n"))
-    keyed = keyed.withColumns(lists).join(of_block.join(sizes, "block").withColumnRenamed("block", "__block"), order)
+    members = labelled(keyed, order, ["__site", "__address", "__name"]).withColumnRenamed("block", "__block")
+    keyed = keyed.withColumns(lists)
     counts = ("domain_matches", "url_matches", "name_matches")
-    alone = keyed.where("__n = 1").select(*tools.columns, *[F.lit(0).cast("long").alias(c) for c in counts])
+    alone = keyed.join(members, order, "left_anti").select(*tools.columns, *[F.lit(0).cast("long").alias(c) for c in counts])
     schema = alone.schema
 
     def plain(value):
@@ -139,7 +138,7 @@ def merge_duplicates(tools: DataFrame, order: str = "input_idx") -> DataFrame:
             r.update(zip(counts, r["__merged"].values(), strict=True))
         return pd.DataFrame(out, columns=schema.names)
 
-    return alone.unionByName(keyed.where("__n > 1").drop("__n").groupBy("__block").applyInPandas(fold, schema))
+    return alone.unionByName(keyed.join(members, order).groupBy("__block").applyInPandas(fold, schema))
 
 
 def items_in_order(df: DataFrame, by: Sequence[str], column: str, order: str) -> DataFrame:
