@@ -58,14 +58,14 @@ def shared_table(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_tables(*tables: DataFrame) -> None:
+def drop_tables(*tables: DataFrame, shuffles: bool = True) -> None:
     """Delete the files of shared tables that nothing will read again, and the shuffles of what has been written."""
     for df in tables:
         spark = df.sparkSession
         for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
             path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-    if tables:
+    if tables and shuffles:
         release(tables[0].sparkSession)
 
 
