@@ -282,8 +282,8 @@ def weigh(blocks: DataFrame, known: DataFrame, root, buckets: int, least: int, m
 
     A token's probability is that of the longest retained context before it. If the token diverges there, this is its own
     p; else it is `fall` times its probability after the next shorter one. In logarithms that is a sum: a retained
-    context adds `fall` to the token behind it, and a context with a diverging token adds the rest up to p. known:
-    (key, n) of single words; root: log10 probability of a count."""
+    context adds `fall` to the token behind it, and a context with a diverging token adds the rest up to p. A sequence that is
+    both has two rows. known: (key, n) of single words; root: log10 probability of a count."""
     known = common.shared_table(known.withColumn("log_p", root(F.col("n"))), "lm-sequences-1")
     tables, weights = [known], []
     for k in range(2, max_depth + 2):
@@ -301,17 +301,19 @@ def weigh(blocks: DataFrame, known: DataFrame, root, buckets: int, least: int, m
         own = found.join(of_suffix.hint("merge"), "suffix").join(of_head.hint("merge"), "head").select("key", "head", "n", "before", was.alias("was"), p.alias("p"), diverges.alias("diverges"))
         left = lambda c: F.greatest(1 - F.sum(c), F.lit(1e-12))
         # own is dealt by head already, so that neither the sums by head nor their join moves it again
-        falls = own.where("diverges").groupBy("head").agg(F.log10(left("p") / left("was")).alias("fall"))
+        falls = own.where("diverges").groupBy("head").agg(F.log10(left("p") / left("was")).alias("fall"), F.min("key").alias("first"))
         joined = own.join(falls.hint("merge"), "head", "left")
         log_p = F.when(F.col("diverges"), F.log10("p")).otherwise(F.col("before") + F.coalesce(F.col("fall"), F.lit(0.0)))
         rest = F.when(F.col("diverges"), F.log10("p") - F.col("before") - F.col("fall")).alias("rest")
-        known = common.shared_table(joined.select("key", "n", log_p.alias("log_p"), rest, F.when(F.col("diverges"), F.col("head")).alias("head"), F.when(F.col("diverges"), F.col("fall")).alias("fall")), f"lm-sequences-{k}")
-        weights += [known.where("rest is not null").select("key", F.col("rest").alias("weight")), known.where("rest is not null").groupBy(F.col("head").alias("key")).agg(F.first("fall").alias("weight"))]
+        # a context's weight stands beside the first of its diverging symbols
+        once = lambda c: F.when(F.col("key") == F.col("first"), F.col(c)).alias(c)
+        known = common.shared_table(joined.select("key", "n", log_p.alias("log_p"), rest, once("head"), once("fall")), f"lm-sequences-{k}")
+        weights += [known.where("rest is not null").select("key", F.col("rest").alias("weight")), known.where("fall is not null").select(F.col("head").alias("key"), F.col("fall").alias("weight"))]
         tables.append(known)
         common.drop_tables(found)
     if not weights:
         return None
-    out = common.shared_table(reduce(DataFrame.unionByName, weights).groupBy("key").agg(F.sum("weight").alias("weight")), "lm-weights")
+    out = common.shared_table(reduce(DataFrame.unionByName, weights), "lm-weights")
     common.drop_tables(*tables)
     return out
 
@@ -354,7 +356,9 @@ def look_up(blocks: DataFrame, weights: DataFrame, bits, buckets: int, max_depth
         keys, weight = (np.concatenate([np.zeros(0, t), *[c.to_numpy() for c in right.column(i).chunks]]) for i, t in ((1, np.int64), (2, np.float64)))
         keys = keys.astype(np.int64).view(np.uint64)
         order = np.argsort(keys)
-        keys, weight, out = keys[order], weight[order], []
+        cuts, out = starts(keys[order]), []
+        keys = keys[order][cuts[:-1]]
+        weight = np.add.reduceat(weight[order], cuts[:-1]) if len(keys) else weight
         for bucket, block, k, want in zip(*(left.column(c).to_pylist() for c in ("bucket", "block", "k", "keys")), strict=True):
             want = np.frombuffer(want, np.uint64)
             found = np.zeros(len(want))
