@@ -6,6 +6,8 @@ import html.entities
 import json
 import re
 import unicodedata
+from collections import Counter
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -172,16 +174,44 @@ def without_hype(text: Column, words=ENRICHER_HYPE_WORDS) -> Column:
 
 
 def support_ratio(claim: Column, source: Column) -> Column:
-    """The share of a claim's words of over 4 characters that its source has, whatever the case; 1 if it has no such word."""
-    words = F.filter(F.split(F.lower(claim), r"(?U)\s+"), lambda w: F.length(w) > 4)
-    low = F.lower(source)
-    found = F.filter(words, lambda w: F.contains(low, w))
-    return F.when(F.size(words) > 0, F.size(found) / F.size(words)).otherwise(F.lit(1.0))
+    """The share of a claim's words of over 4 characters that its source has, whatever the case; 1 if it has no such word.
+
+    Built-in functions compare every word with every place of a text; Python has sets to look words' parts up in."""
+    return _support(F.lower(claim), F.lower(source))
 
 
 def is_forbidden(value: Column) -> Column:
     return F.lower(F.trim(value)).isin(*FORBIDDEN_LITERALS)
 
+_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_SEPARATORS = re.compile("[\x1c-\x1f]")
+
+
+def _long_words(text: str | None) -> list[str]:
+    words = (text or "").split() if not _SEPARATORS.search(text or "") else _BLANKS.split(text)  # no blanks here, but for split()
+    return [w for w in words if len(w) > 4]
+
+
+def _supported(claim: str | None, source: str | None) -> float:
+    words = Counter(_long_words(claim))
+    if not words:
+        return 1.0
+    # no word has a blank, so that one of the source's own words holds what the source has
+    own = dict.fromkeys(_long_words(source))
+    joined = " ".join(own)
+    if len(words) < 2_000:
+        return sum(n for w, n in words.items() if w in own or w in joined) / words.total()
+    # many words are looked for in a long text only if it has all their parts of five characters
+    parts = {joined[i : i + 5] for i in range(len(joined) - 4)}
+    there = lambda w: w in own or all(w[i : i + 5] in parts for i in range(len(w) - 4)) and w in joined
+    return sum(n for w, n in words.items() if there(w)) / words.total()
+
+
+@F.pandas_udf(T.DoubleType())
+def _support(claim: pd.Series, source: pd.Series) -> pd.Series:
+    return pd.Series(map(_supported, claim, source), dtype="float64")
+
+
 
 def is_placeholder(value: Column) -> Column:
     return F.regexp_like(F.trim(value), F.lit(r"(?s)^(\[.*\]|<.*>)$"))

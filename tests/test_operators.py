@@ -355,3 +355,25 @@ def test_markup_of_broken_pages():
     assert page.first(lambda e: e.has_class("b")).class_part("a") and markup.read(None).text() == "" and markup.read("<" * 50_000 + "a>").text(strip=False) is not None
     deep = markup.read("<div>" * 20_000 + "x")
     assert deep.text() == "x" and sum(1 for _ in deep.walk()) == 20_000
+
+
+def test_support_counts_words_within_words(spark):
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choices("abé", k=draw.randrange(3, 9)))
+    for size in (0, 5, 300, 9000):
+        claim, source = ("\t ".join(word() for _ in range(size)) for _ in range(2))
+        words = [w for w in claim.split() if len(w) > 4]
+        want = sum(w in source for w in words) / len(words) if words else 1.0
+        assert text._supported(claim, source) == want
+    rows = [("Longer words Longer", "xlongerx"), (None, "x"), ("wordy", None), ("first\x1cword", "afirst\x1cwordb")]
+    df = spark.createDataFrame(rows, "c string, s string")
+    assert [r[0] for r in df.coalesce(1).select(text.support_ratio(F.col("c"), F.col("s"))).collect()] == [2 / 3, 1.0, 0.0, 1.0]
+
+
+def test_support_of_a_long_text_is_found_in_time():
+    import time
+
+    claim = " ".join(f"word{i}" for i in range(60_000))
+    begin = time.perf_counter()
+    assert text._supported(claim, claim[::-1]) < 0.01
+    assert time.perf_counter() - begin < 20
