@@ -377,3 +377,26 @@ def test_support_of_a_long_text_is_found_in_time():
     begin = time.perf_counter()
     assert text._supported(claim, claim[::-1]) < 0.01
     assert time.perf_counter() - begin < 20
+
+
+def by_sql(spark, where, name, **tables):
+    """Rows of a query and of its SQL, sorted, on tables that are written to a folder."""
+    import duckdb
+
+    from loam import registry
+
+    con = duckdb.connect()
+    for table, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{where}/{table}.parquet")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{where}/{table}.parquet/*.parquet')")
+    got = [tuple(r) for r in registry.QUERIES[name](spark, str(where)).collect()]
+    return sorted(got, key=repr), sorted(con.execute(registry.ORACLE_SQL[name]).fetchall(), key=repr)
+
+
+@pytest.mark.parametrize("name", ["html_to_text"])
+def test_page_queries_read_the_entities_of_their_sql(spark, tmp_path, name):
+    heads = ["a &amp b", "&amp;lt; &lt;i&gt;", "&quot;x&quot; &copy &copy; &#39;", "&eacute;&middot;", "cut &am"]
+    rows = [(i, f"<title>t{i}</title><body><h1>{h}</h1><p>{h} c</p></body>") for i, h in enumerate(heads)]
+    got, want = by_sql(spark, tmp_path, name, pages=(rows, "page_id long, html string"))
+    assert got == want
+    assert one(spark, ["<h1>a &amp b &eacute;</h1>"], pages.title) == ["a & b é"]
