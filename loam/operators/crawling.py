@@ -21,13 +21,14 @@ def outcome(status_code: Column) -> Column:
     )
 
 
-def with_browser(plain: DataFrame, browser: DataFrame) -> DataFrame:
-    """One row for each url of `plain`: the browser's result where the plain page needs one and the browser succeeded."""
-    b = browser.select(F.col("url").alias("__url"), *[F.col(c).alias(f"__{c}") for c in ("status_code", "html", "success")])
-    joined = plain.join(b, F.col("url") == F.col("__url"), "left")
-    use = F.coalesce(F.col("__success"), F.lit(False)) & (~F.coalesce(F.col("success"), F.lit(False)) | F.coalesce(pages.needs_browser(F.col("html")), F.lit(True)))
-    picked = {c: F.when(use, F.col(f"__{c}")).otherwise(F.col(c)) for c in ("status_code", "html", "success")}
-    return joined.withColumn("used_browser", use).withColumns(picked).drop("__url", "__status_code", "__html", "__success")
+def with_browser(plain: DataFrame, browser: DataFrame, key: str = "url") -> DataFrame:
+    """One row for each row of `plain`: the browser's result where the plain page needs one and the browser succeeded. Results
+    belong together by `key`; of several of the browser that succeeded the one of least status and html counts."""
+    won = browser.where("success").groupBy(F.col(key).alias("__key")).agg(F.min(F.struct("status_code", "html", "success")).alias("__b"))
+    joined = plain.join(won, F.col(key) == F.col("__key"), "left")
+    use = F.col("__b").isNotNull() & (~F.coalesce(F.col("success"), F.lit(False)) | F.coalesce(pages.needs_browser(F.col("html")), F.lit(True)))
+    picked = {c: F.when(use, F.col("__b").getField(c)).otherwise(F.col(c)) for c in ("status_code", "html", "success")}
+    return joined.withColumn("used_browser", use).withColumns(picked).drop("__key", "__b")
 
 
 # Job boards whose listings are made in the browser.

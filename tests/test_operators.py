@@ -357,28 +357,6 @@ def test_markup_of_broken_pages():
     assert deep.text() == "x" and sum(1 for _ in deep.walk()) == 20_000
 
 
-def test_support_counts_words_within_words(spark):
-    draw = random.Random(3)
-    word = lambda: "".join(draw.choices("abé", k=draw.randrange(3, 9)))
-    for size in (0, 5, 300, 9000):
-        claim, source = ("\t ".join(word() for _ in range(size)) for _ in range(2))
-        words = [w for w in claim.split() if len(w) > 4]
-        want = sum(w in source for w in words) / len(words) if words else 1.0
-        assert text._supported(claim, source) == want
-    rows = [("Longer words Longer", "xlongerx"), (None, "x"), ("wordy", None), ("first\x1cword", "afirst\x1cwordb")]
-    df = spark.createDataFrame(rows, "c string, s string")
-    assert [r[0] for r in df.coalesce(1).select(text.support_ratio(F.col("c"), F.col("s"))).collect()] == [2 / 3, 1.0, 0.0, 1.0]
-
-
-def test_support_of_a_long_text_is_found_in_time():
-    import time
-
-    claim = " ".join(f"word{i}" for i in range(60_000))
-    begin = time.perf_counter()
-    assert text._supported(claim, claim[::-1]) < 0.01
-    assert time.perf_counter() - begin < 20
-
-
 def by_sql(spark, where, name, **tables):
     """Rows of a query and of its SQL, sorted, on tables that are written to a folder."""
     import duckdb
@@ -400,3 +378,39 @@ def test_page_queries_read_the_entities_of_their_sql(spark, tmp_path, name):
     got, want = by_sql(spark, tmp_path, name, pages=(rows, "page_id long, html string"))
     assert got == want
     assert one(spark, ["<h1>a &amp b &eacute;</h1>"], pages.title) == ["a & b é"]
+
+
+def test_pages_of_one_url_are_merged_by_id(spark, tmp_path):
+    rows = [(i, f"https://a.example/{i % 4}", "<p>x</p>") for i in range(24)]
+    got, want = by_sql(spark, tmp_path, "crawl_status_merge", pages=(rows, "page_id long, url string, html string"))
+    assert got == want
+
+
+def test_results_of_a_browser_do_not_multiply_pages(spark):
+    schema = "url string, status_code int, html string, success boolean"
+    plain = spark.createDataFrame([("u", 503, "", False), ("v", 503, "", False), ("w", 200, "x" * 600, True)], schema)
+    browser = spark.createDataFrame([("u", 200, "b", True), ("u", 200, "a", True), ("v", 500, "", False), ("w", 200, "c", True)], schema)
+    out = crawling.with_browser(plain, browser).select("url", "used_browser", "status_code", "html").collect()
+    assert sorted(map(tuple, out)) == [("u", True, 200, "a"), ("v", False, 503, ""), ("w", False, 200, "x" * 600)]
+
+
+def test_support_counts_words_within_words(spark):
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choices("abé", k=draw.randrange(3, 9)))
+    for size in (0, 5, 300, 9000):
+        claim, source = ("\t ".join(word() for _ in range(size)) for _ in range(2))
+        words = [w for w in claim.split() if len(w) > 4]
+        want = sum(w in source for w in words) / len(words) if words else 1.0
+        assert text._supported(claim, source) == want
+    rows = [("Longer words Longer", "xlongerx"), (None, "x"), ("wordy", None), ("first\x1cword", "afirst\x1cwordb")]
+    df = spark.createDataFrame(rows, "c string, s string")
+    assert [r[0] for r in df.coalesce(1).select(text.support_ratio(F.col("c"), F.col("s"))).collect()] == [2 / 3, 1.0, 0.0, 1.0]
+
+
+def test_support_of_a_long_text_is_found_in_time():
+    import time
+
+    claim = " ".join(f"word{i}" for i in range(60_000))
+    begin = time.perf_counter()
+    assert text._supported(claim, claim[::-1]) < 0.01
+    assert time.perf_counter() - begin < 20
