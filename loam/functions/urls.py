@@ -40,6 +40,8 @@ DISALLOWED_DOMAINS = (
     "twitter.com", "x.com", "facebook.com", "linkedin.com", "instagram.com", "youtube.com", "discord.com", "discord.gg",
     "reddit.com", "t.me", "telegram.org", "tiktok.com", "github.blog",
 )
+#: Lower-case scheme and host, no query, fragment or slash at the end: nothing that storage_url would change.
+PLAIN_URL = r"^[a-z][a-z0-9+.\-]*://[!-.0-@\[-~&&[^?#]]+(?:/(?:[^?#]*[^?#/])?)?(?<!/)\z"
 ITEM_SKIP = r"^(?:javascript:|mailto:|tel:|#)"
 
 
@@ -91,7 +93,8 @@ def storage_url(url: Column) -> Column:
     raw = F.trim(url)
     p = parts(raw)
     out = _joined(p, p.host, F.rtrim(p.path, F.lit("/")), kept_query(p.query, TRACKING_KEYS + ("fbclid", "gclid"), False, True))
-    return F.coalesce(F.when((p.scheme == "") | (p.host == ""), raw).otherwise(out), F.lit(""))
+    normal = F.regexp_like(raw, F.lit(PLAIN_URL))  # most are, and taking them apart is far dearer
+    return F.coalesce(F.when(normal | (p.scheme == "") | (p.host == ""), raw).otherwise(out), F.lit(""))
 
 
 def directory_url(url: Column) -> Column:

@@ -414,3 +414,35 @@ def test_support_of_a_long_text_is_found_in_time():
     begin = time.perf_counter()
     assert text._supported(claim, claim[::-1]) < 0.01
     assert time.perf_counter() - begin < 20
+
+
+def test_a_stream_has_few_states_for_many_items(spark, tmp_path):
+    from loam.streaming import claims as stream
+
+    draw = random.Random(6)
+    events = ("CLAIM", "COMPLETE", "FAIL", "RELEASE")
+    rows = [("s", f"https://a.example/{draw.randrange(60)}", f"w{draw.randrange(3)}", draw.choice(events), k) for k in range(600)]
+    schema = "source string, url string, worker_id string, event string, event_order long"
+    held, want = {}, []
+    for source, url, worker, event, order in rows:
+        had = held.get(url)
+        if event == "CLAIM" and had is None:
+            held[url] = (worker, "CLAIMED")
+        elif event in ("COMPLETE", "FAIL") and had:
+            held[url] = (had[0], {"COMPLETE": "COMPLETED", "FAIL": "FAILED"}[event])
+        elif event == "RELEASE" and had:
+            held[url] = None
+        else:
+            continue
+        want.append((source, url, *(held[url] or (None, "FREE")), order))
+    for part in (rows[:300], rows[300:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        q = stream.claims(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), buckets=4).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert 0 < q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect()), key=lambda r: r[-1]) == want
+
+
+def test_plain_urls_are_what_storage_urls_are(spark):
+    cases = {"https://a.b/c": "https://a.b/c", "https://a.b/": "https://a.b", "https://a.b": "https://a.b", "https://A.b/c": "https://a.b/c", "HTTPS://a.b/C": "https://a.b/C", "https://a.b/c?": "https://a.b/c", "https://a.b/c#d": "https://a.b/c", "https://a.b/c//": "https://a.b/c", "https://a.b?ref=x": "https://a.b", " https://a.b/C d ": "https://a.b/C d", "https://É.b/c": "https://é.b/c", "https:///c/": "https:///c/"}
+    assert one(spark, list(cases), urls.storage_url) == list(cases.values())
